@@ -4,21 +4,25 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise in the shared folder the session names in spark.checkpoint.dir.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in spark.checkpoint.dir; a temporary one only on a local master with none configured.
 
-    A temporary folder is set only on a local master with no folder configured (tests, laptops);
-    on a cluster without a folder this raises rather than write to one machine's disk.
+    On a cluster without a configured folder this raises rather than write to one machine's disk.
     """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+    return tempfile.mkdtemp(prefix="tabspark-")
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Materialise reliably; lost executors cannot take the data with them."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="tabspark-checkpoint-")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)

@@ -76,12 +76,10 @@ def to_timestamp_or_null(c: Column) -> Column:
     return F.try_to_timestamp(c.cast("string"))
 
 
-def digamma(c: Column) -> Column:
-    """psi(x) for x > 0: shift the argument up by 6, then the asymptotic series."""
-    x = c.cast("double")
-    z = x + 6.0
-    shift = sum((1.0 / (x + float(k)) for k in range(1, 6)), 1.0 / x)
-    z2 = z * z
-    series = (F.ln(z) - 0.5 / z - 1.0 / (12.0 * z2) + 1.0 / (120.0 * z2 * z2)
-              - 1.0 / (252.0 * z2 * z2 * z2) + 1.0 / (240.0 * z2 * z2 * z2 * z2))
-    return series - shift
+def digamma(x: str) -> str:
+    """SQL text of psi(x) for x > 0: shift the argument up by 6, then the asymptotic series."""
+    z = f"({x} + 6D)"
+    shift = " + ".join(f"1D / ({x} + {k}D)" for k in range(6))
+    series = (f"ln{z} - 0.5D / {z} - 1D / (12D * pow({z}, 2)) + 1D / (120D * pow({z}, 4))"
+              f" - 1D / (252D * pow({z}, 6)) + 1D / (240D * pow({z}, 8))")
+    return f"({series} - ({shift}))"

@@ -21,7 +21,7 @@ def collect_aggregates(df: DataFrame, exprs: dict[str, Column]) -> dict:
     """Evaluate named aggregates and return their single row as a dict, a few hundred per scan."""
     out: dict = {}
     for names in chunked(list(exprs), EXPRESSIONS_PER_SCAN):
-        row = df.agg(*[exprs[n].alias(f"a{i}") for i, n in enumerate(names)]).first()
+        row = df.agg(*[exprs[n].alias(f"a{i}") for i, n in enumerate(names)]).collect()[0]
         out.update({n: row[i] for i, n in enumerate(names)})
     return out
 

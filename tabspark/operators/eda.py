@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabspark.functions.statistics import adjusted_kurtosis, adjusted_skew, ratio
 from tabspark.functions.types import categorical_columns, dbl, numeric_columns, q
-from tabspark.operators.aggregate import class_values, collect_aggregates, per_feature, small_frame, value_counts
+from tabspark.operators.aggregate import class_values, collect_aggregates, long_values, per_feature, small_frame, value_counts
 from tabspark.operators.mapping import ValueMap, with_lookups
 from tabspark.operators.moments import correlation_pairs, dense_correlation, symmetric
 from tabspark.operators.mutual_info import categorical_information, numeric_information
@@ -238,14 +238,15 @@ def spearman(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def _rank_correlation(df: DataFrame, columns: list[str]) -> DataFrame:
     narrow = df.select(*[dbl(c).alias(c) for c in columns])
-    wanted = []
-    for c in columns:
-        ranks = average_ranks(narrow, q(c)).select(F.col("value").cast("string").alias("value"),
-                                                   F.col("rank").alias("result"), "n").persist()
-        size = ranks.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("t")).first()
-        wanted.append((c, ValueMap(c, frame=ranks, total=size["t"] or 0, info={"size": size["k"]}), q(c).cast("string")))
-    joined, ranks = with_lookups(narrow, wanted)
-    return correlation_pairs(joined, dict(zip(columns, ranks)))
+    counts = (long_values(narrow, {c: q(c) for c in columns}, "double").groupBy("feature", "value")
+              .agg(F.count(F.lit(1)).alias("n")).persist())
+    sizes = {r["feature"]: r for r in counts.groupBy("feature").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("t")).collect()}
+    ranks = (average_ranks(counts, sum(r["k"] for r in sizes.values()))
+             .select("feature", F.col("value").cast("string").alias("value"), F.col("rank").alias("result"), "n"))
+    wanted = [(c, ValueMap(c, frame=ranks.filter(F.col("feature") == c).drop("feature"), total=sizes[c]["t"] if c in sizes else 0,
+                           info={"size": sizes[c]["k"] if c in sizes else 0}), q(c).cast("string")) for c in columns]
+    joined, ranked = with_lookups(narrow, wanted)
+    return correlation_pairs(joined, dict(zip(columns, ranked)))
 
 
 def vif(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -108,21 +108,18 @@ def ordered_means(df: DataFrame, features: list[str], target: str, fold: Column,
         placed = (placed.join(offsets, [*group, "run"])
                   .select(*group, "f", "y", *[(F.col(f"b{g}") + F.col(f"e{g}")).alias(f"b{g}") for g in range(folds)]))
     # One scan of the ranked rows gives, for each held-out fold g, sum(y) and sum(y * psi(t + 1 + p)).
-    ahead = sum((F.col(f"b{g}") for g in range(folds)), F.lit(0))
+    ahead = " + ".join(f"b{g}" for g in range(folds))
     aggs = []
     for g in range(folds):
-        trains = F.col("f") != F.lit(g)
-        t = ahead - F.col(f"b{g}")
-        aggs += [F.sum(F.when(trains, F.col("y"))).alias(f"y{g}"),
-                 F.sum(F.when(trains, F.col("y") * digamma(t + F.lit(1.0 + p)))).alias(f"w{g}")]
-    weighted = placed.groupBy(*group).agg(*aggs)
-    joined = levels.join(weighted, group, "left")
+        psi = digamma(f"(CAST({ahead} - b{g} AS DOUBLE) + {1.0 + p!r}D)")
+        aggs += [F.expr(f"sum(CASE WHEN f <> {g} THEN y END) AS y{g}"),
+                 F.expr(f"sum(CASE WHEN f <> {g} THEN y * {psi} END) AS w{g}")]
+    joined = levels.join(placed.groupBy(*group).agg(*aggs), group, "left")
     results = []
     for g in range(folds):
-        prior = F.lit(priors[g]).cast("double")
-        n = F.col("n") - F.col(f"n{g}")
-        top_psi = digamma(n + F.lit(float(p)))
-        total = (F.coalesce(F.col(f"y{g}"), F.lit(0.0)) * top_psi - F.coalesce(F.col(f"w{g}"), F.lit(0.0))
-                 + F.lit(float(p)) * prior * (top_psi - digamma(F.lit(float(p)))))
-        results.append(F.when(n > 0, ratio(total, n)).otherwise(prior))
-    return joined.select(*group, F.array(*results).alias("result"), "n")
+        prior = "CAST(NULL AS DOUBLE)" if priors[g] is None else f"{float(priors[g])!r}D"
+        top_psi = digamma(f"(CAST(n - n{g} AS DOUBLE) + {float(p)!r}D)")
+        low_psi = digamma(f"{float(p)!r}D")
+        total = (f"coalesce(y{g}, 0D) * {top_psi} - coalesce(w{g}, 0D) + {float(p)!r}D * {prior} * ({top_psi} - {low_psi})")
+        results.append(f"CASE WHEN n > n{g} THEN ({total}) / (n - n{g}) ELSE {prior} END")
+    return joined.select(*group, F.expr(f"array({', '.join(results)}) AS result"), "n")

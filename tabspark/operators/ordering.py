@@ -38,9 +38,7 @@ def running_totals(df: DataFrame, group: str, order: list[str], weight: Column,
             .drop("_w", "_p", "_off"))
 
 
-def average_ranks(df: DataFrame, column: Column, rows_per_window: int = ROWS_PER_WINDOW) -> DataFrame:
-    """(value, rank, n): the 1-based average rank of every distinct non-null value."""
-    counts = (df.select(column.alias("value")).filter(F.col("value").isNotNull())
-              .groupBy("value").agg(F.count(F.lit(1)).alias("n")).withColumn("g", F.lit(0)))
-    ranked = running_totals(counts, "g", ["value"], F.col("n"), rows_per_window=rows_per_window)
-    return ranked.select("value", (F.col("before") + (F.col("n") + 1) / 2.0).alias("rank"), "n")
+def average_ranks(counts: DataFrame, rows: int | None = None, rows_per_window: int = ROWS_PER_WINDOW) -> DataFrame:
+    """Adds ``rank``, the 1-based average rank of a value within its feature, to (feature, value, n) rows."""
+    ranked = running_totals(counts, "feature", ["value"], F.col("n"), rows, rows_per_window)
+    return ranked.withColumn("rank", F.col("before") + (F.col("n") + 1) / 2.0).drop("before")

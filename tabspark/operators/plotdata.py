@@ -7,7 +7,7 @@ import math
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tabspark.functions.statistics import ratio
+from tabspark.functions.scalars import keep_null
 from tabspark.functions.types import categorical_columns, dbl, q
 from tabspark.operators.aggregate import class_values, collect_aggregates, long_values, per_feature, small_frame, value_counts
 from tabspark.operators.eda import (PCAModel, heatmap, importance, outlier_limits, target_eda, top_categories, _flags)
@@ -53,7 +53,7 @@ def histogram(df: DataFrame, features: list[str], bins: int | None = None) -> Da
         k = bins if bins is not None else _bins(got[(c, "n")], lo, hi, *quart[c])
         width = (hi - lo) / k if hi > lo else 1.0
         plan.append((c, lo, width))
-        assigned[c] = F.least(F.floor((dbl(c) - F.lit(lo)) / F.lit(width)), F.lit(k - 1)).cast("int")
+        assigned[c] = keep_null(q(c), F.least(F.floor((dbl(c) - F.lit(lo)) / F.lit(width)), F.lit(k - 1)).cast("int"))
     schema = "feature string, origin double, width double"
     if not plan:
         return small_frame(df.sparkSession, [], "feature string, bin int, low double, high double, n bigint")
@@ -108,7 +108,7 @@ def kde(df: DataFrame, features: list[str], target: str | None = None) -> DataFr
     width = {i: (got[(i, "hi")] - got[(i, "lo")]) / KDE_BINS for i in live}
     rows = []
     if live:
-        cells = long_values(df, {i: F.least(F.floor((e - F.lit(got[(i, "lo")])) / F.lit(width[i])), F.lit(KDE_BINS - 1))
+        cells = long_values(df, {i: keep_null(e, F.least(F.floor((e - F.lit(got[(i, "lo")])) / F.lit(width[i])), F.lit(KDE_BINS - 1)))
                                  for i, (_, _, e) in live.items()}, "int")
         counts = cells.filter(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
         hist = {i: np.zeros(KDE_BINS) for i in live}

@@ -10,8 +10,9 @@ from tabspark.operators.aggregate import collect_aggregates, long_values, per_fe
 from tabspark.operators.duplicates import count_duplicate_rows
 from tabspark.operators.quantiles import medians
 
-# Relative error of the distinct-count sketch that decides which columns get an exact count.
-SKETCH_ERROR = 0.01
+# Size of the distinct-count sketch that decides which columns get an exact count, and the margin it gets:
+# 2^12 registers have a standard error of 1.6 percent, so ten percent is more than six standard errors.
+SKETCH_LG, SKETCH_MARGIN = 12, 0.10
 
 
 def missing_profile(df: DataFrame, threshold: float = 50.0) -> DataFrame:
@@ -89,6 +90,11 @@ def _identity(df: DataFrame, c: str) -> Column:
     return (q(c) + F.lit(0.0)).cast("string") if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)) else q(c).cast("string")
 
 
+def distinct_sketch(df: DataFrame, c: str) -> Column:
+    """Approximate distinct count; the sketch is a small binary value, also for many columns at once."""
+    return F.hll_sketch_estimate(F.hll_sketch_agg(_identity(df, c), F.lit(SKETCH_LG)))
+
+
 def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """(feature, unique_values): exact distinct non-null values of all columns in one shuffle."""
     names = small_frame(df.sparkSession, [(c,) for c in columns], "feature string")
@@ -103,23 +109,23 @@ def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 def cardinality(df: DataFrame, categorical_only: bool = True, approximate: bool = False) -> DataFrame:
     columns = categorical_columns(df) if categorical_only else df.columns
     if approximate and columns:
-        return per_feature(df, columns, lambda c: {"unique_values": F.approx_count_distinct(q(c), SKETCH_ERROR)})
+        return per_feature(df, columns, lambda c: {"unique_values": distinct_sketch(df, c)})
     return distinct_counts(df, columns)
 
 
 def id_like_columns(df: DataFrame, columns: list[str], threshold: float) -> dict[str, float]:
     """Columns with distinct/rows strictly above the threshold, and that ratio.
 
-    A sketch rules out columns far below the threshold (ten standard errors); the rest are counted exactly.
+    A sketch rules out columns far below the threshold; the rest are counted exactly.
     """
     if not columns:
         return {}
     sketch = collect_aggregates(df, {"__rows__": F.count(F.lit(1)),
-                                     **{c: F.approx_count_distinct(q(c), SKETCH_ERROR) for c in columns}})
+                                     **{c: distinct_sketch(df, c) for c in columns}})
     rows = sketch.pop("__rows__")
     if not rows:
         return {}
-    close = [c for c in columns if sketch[c] / rows > threshold * (1 - 10 * SKETCH_ERROR)]
+    close = [c for c in columns if sketch[c] / rows > threshold * (1 - SKETCH_MARGIN)]
     if not close:
         return {}
     exact = {r["feature"]: r["unique_values"] / rows for r in distinct_counts(df, close).collect()}

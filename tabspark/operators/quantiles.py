@@ -28,6 +28,10 @@ def _present(columns: dict[str, Column]) -> list[Column]:
     return [F.nanvl(c.cast("double"), F.lit(None).cast("double")).alias(f"x{i}") for i, c in enumerate(columns.values())]
 
 
+def _pick(values: Column, positions: list[int]) -> Column:
+    return F.transform(F.array(*[F.lit(p) for p in positions]), lambda p: F.get(values, p.cast("int")))
+
+
 def order_statistics(df: DataFrame, columns: dict[str, Column], ranks, cells_limit: int = CELLS_IN_ONE_AGGREGATE,
                      resolve_limit: int = ROWS_TO_RESOLVE, bounds: int = BOUNDS,
                      sample_rows: int = SAMPLE_ROWS) -> dict[str, tuple[int, dict[int, float]]]:
@@ -46,8 +50,7 @@ def order_statistics(df: DataFrame, columns: dict[str, Column], ranks, cells_lim
     if sum(counts[names[i]] for i in live) <= cells_limit:
         exprs = {}
         for i in live:
-            picks = F.sort_array(F.collect_list(f"x{i}"))
-            exprs[names[i]] = F.transform(F.array(*[F.lit(r) for r in wanted[names[i]]]), lambda r, a=picks: F.get(a, r))
+            exprs[names[i]] = _pick(F.sort_array(F.collect_list(f"x{i}")), wanted[names[i]])
         for n, values in collect_aggregates(data, exprs).items():
             out[n][1].update(zip(wanted[n], values))
         return out
