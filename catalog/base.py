@@ -38,6 +38,11 @@ APP = (_VIEW.replace("<DAYDIFF>", "date_diff('day', CAST(o_orderdate AS DATE), D
        .replace("{orders}", "orders").replace("{customer}", "customer").replace("{nation}", "nation"))
 
 
+# One fifth of every class, by an arithmetic order of the key.
+_SPLIT = """SELECT *, row_number() OVER (PARTITION BY target ORDER BY (app_id * 7919) % 1000003, app_id)
+  <= CAST(floor(0.2 * count(*) OVER (PARTITION BY target) + 0.5) AS BIGINT) AS is_validation FROM app"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet")
 
@@ -78,11 +83,11 @@ def stack(source: str, columns: list[str], cast: str, extra: str = "target AS y,
     return " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS {cast}) AS v, {extra} FROM {source}" for c in columns)
 
 
-def sql(body: str, **ctes: str) -> str:
+def sql(body: str, split: tuple[str, str] = ("app_id % 5 <> 0", "app_id % 5 = 0"), source: str = "app", **ctes: str) -> str:
     """DuckDB SQL over the view `app`, stacked `num` and `cat`, splits `train` and `val`, and more named parts."""
     held = [c if c != "occupation" else "CASE WHEN app_id % 1000 = 0 THEN 'NEW' ELSE occupation END AS occupation" for c in COLUMNS]
-    parts = {"app": APP, "train": "SELECT * FROM app WHERE app_id % 5 <> 0",
-             "val": f"SELECT {', '.join(held)} FROM app WHERE app_id % 5 = 0",
+    parts = {"app": APP, "split": _SPLIT, "train": f"SELECT {', '.join(COLUMNS)} FROM {source} WHERE {split[0]}",
+             "val": f"SELECT {', '.join(held)} FROM {source} WHERE {split[1]}",
              "num": stack("app", NUM, "DOUBLE"), "cat": stack("app", CAT, "VARCHAR"),
              "tnum": stack("train", NUM, "DOUBLE"), "tcat": stack("train", CAT, "VARCHAR")}
     parts.update(ctes)

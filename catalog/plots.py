@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from catalog.base import CAT, COLUMNS, KEY, NUM, TARGET, applications, query, r, sql, stack
-from catalog.exploration import _CLASSES, _COUNTS, _IMPORTANCE, _TOP, HEATMAP_SQL
+from catalog.exploration import _CLASSES, _COUNTS, _IMPORTANCE, _IQR, _LIM, _TOP, _Z, HEATMAP_SQL
 from tabspark.operators import plotdata as D
 
 _BOXED = ["income", "credit", "annuity", "age_days"]
@@ -91,6 +93,12 @@ def d58(spark, sf):
     return D.projection_points(applications(spark, sf), TARGET, KEY, ["income", "credit", "annuity", "age_days"], 2000)
 
 
-@query("d59_plot_outlier_points")
+_SEEN = f"""SELECT app_id, v AS value, y AS target, {_IQR} OR {_Z} AS outlier FROM num JOIN lim USING (feature)
+  WHERE feature = 'annuity' AND v IS NOT NULL"""
+
+
+@query("d59_plot_outlier_points", sql(f"""SELECT app_id, {r('value', 'value')}, target, outlier FROM (
+  SELECT * FROM seen WHERE outlier UNION ALL
+  (SELECT * FROM seen WHERE NOT outlier ORDER BY (app_id * 7919) % 1000003, app_id LIMIT 2000))""", lim=_LIM, seen=_SEEN))
 def d59(spark, sf):
-    return D.outlier_points(applications(spark, sf), "annuity", KEY, TARGET, 2000)
+    return D.outlier_points(applications(spark, sf), "annuity", KEY, TARGET, 2000, order=F.expr("(app_id * 7919) % 1000003"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabspark.functions.scalars import keep_null
 from tabspark.functions.types import categorical_columns, dbl, q
@@ -158,11 +158,11 @@ def projection_points(df: DataFrame, target: str, key: str, columns: list[str],
 
 
 def outlier_points(df: DataFrame, feature: str, key: str, target: str | None = None, inliers: int = 5000,
-                   seed: int = 42) -> DataFrame:
+                   seed: int = 42, order: Column | None = None) -> DataFrame:
     """(key, value[, target], outlier): every outlier and a bounded sample of the other rows."""
     lim = outlier_limits(df, [feature])[feature]
     iqr, z = _flags(feature, lim, 3.0)
     rows = df.filter(q(feature).isNotNull()).select(
         q(key).alias(key), dbl(feature).alias("value"), *([q(target).alias(target)] if target else []), (iqr | z).alias("outlier"))
-    calm = bounded_sample(rows.filter(~F.col("outlier")), inliers, key, seed)
+    calm = bounded_sample(rows.filter(~F.col("outlier")), inliers, key, seed, order)
     return rows.filter("outlier").unionByName(calm)

@@ -29,7 +29,9 @@ def _present(columns: dict[str, Column]) -> list[Column]:
 
 
 def _pick(values: Column, positions: list[int]) -> Column:
-    return F.transform(F.array(*[F.lit(p) for p in positions]), lambda p: F.get(values, p.cast("int")))
+    """Elements of an array at the given positions; the outer transform evaluates the array once."""
+    at = F.expr(f"array({', '.join(map(str, positions))})")
+    return F.transform(F.array(values), lambda v: F.transform(at, lambda p: F.get(v, p)))[0]
 
 
 def order_statistics(df: DataFrame, columns: dict[str, Column], ranks, cells_limit: int = CELLS_IN_ONE_AGGREGATE,

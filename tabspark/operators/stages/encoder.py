@@ -18,19 +18,21 @@ class EncodingTransformer(Stage):
     """Categorical columns to numbers: one_hot, ordinal, frequency, target, catboost.
 
     On training data, target and catboost are out-of-fold: each row gets the statistic of the folds it is
-    not in. Folds come from a hash of the key, or from ``fold`` (0..k-1) if given; the catboost order from
-    another hash, or from ``order``. A wide one-hot column is available in long form (`one_hot_rows`).
+    not in. Folds come from a hash of the key, or from ``fold`` (0..k-1, SQL text or Column) if given; the
+    catboost order from another hash, or from ``order``. A wide one-hot column is available in long form
+    (`one_hot_rows`).
     """
 
     def __init__(self, default_strategy: str = "one_hot", column_strategies: dict | None = None, target_cv_folds: int = 5,
                  target_smoothing: float = 10.0, catboost_prior: float = 10.0, random_state: int = 42,
-                 handle_unknown: str = "ignore", fold: Column | None = None, order: Column | None = None):
+                 handle_unknown: str = "ignore", fold: str | Column | None = None, order: str | Column | None = None):
         if handle_unknown != "ignore":
             raise ValueError("handle_unknown supports 'ignore' only")
         self.default_strategy, self.column_strategies = default_strategy, column_strategies or {}
         self.target_cv_folds, self.target_smoothing = target_cv_folds, target_smoothing
         self.catboost_prior, self.random_state = catboost_prior, random_state
-        self.fold, self.order = fold, order
+        self.fold = F.expr(fold) if isinstance(fold, str) else fold
+        self.order = F.expr(order) if isinstance(order, str) else order
 
     def _of(self, *names: str) -> list[str]:
         return [c for c, s in self.strategy_.items() if s in names]
@@ -88,7 +90,7 @@ class EncodingTransformer(Stage):
 
     def _fold(self) -> Column:
         if self.fold is not None:
-            return self.fold
+            return self.fold.cast("int")
         if self.key is None:
             raise ValueError("out-of-fold encoding needs a key column (or an explicit fold)")
         return fold_of(q(self.key), self.target_cv_folds, self.random_state)
