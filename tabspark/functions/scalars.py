@@ -15,21 +15,21 @@ def nan_to_null(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
-def keep_null(c: Column, result: Column) -> Column:
-    """`greatest`/`least` skip nulls, so every clamp needs this guard."""
-    return F.when(c.isNotNull(), result)
+def keep_null(c: Column, result: Column, nullable: bool = True) -> Column:
+    """`greatest`/`least` skip nulls, so every clamp of a nullable column needs this guard."""
+    return F.when(c.isNotNull(), result) if nullable else result
 
 
-def log_floor(c: Column) -> Column:
-    return keep_null(c, F.ln(F.greatest(c, F.lit(POSITIVE_FLOOR))))
+def log_floor(c: Column, nullable: bool = True) -> Column:
+    return keep_null(c, F.ln(F.greatest(c, F.lit(POSITIVE_FLOOR))), nullable)
 
 
-def log1p_floor(c: Column) -> Column:
-    return keep_null(c, F.log1p(F.greatest(c, F.lit(LOG1P_FLOOR))))
+def log1p_floor(c: Column, nullable: bool = True) -> Column:
+    return keep_null(c, F.log1p(F.greatest(c, F.lit(LOG1P_FLOOR))), nullable)
 
 
-def sqrt_floor(c: Column) -> Column:
-    return keep_null(c, F.sqrt(F.greatest(c, F.lit(0.0))))
+def sqrt_floor(c: Column, nullable: bool = True) -> Column:
+    return keep_null(c, F.sqrt(F.greatest(c, F.lit(0.0))), nullable)
 
 
 def box_cox(c: Column, lam: float) -> Column:
@@ -53,14 +53,14 @@ def yeo_johnson(c: Column, lam: float) -> Column:
     return F.when(c >= 0, positive).when(c < 0, negative)
 
 
-def clip(c: Column, low: float | None, high: float | None) -> Column:
+def clip(c: Column, low: float | None, high: float | None, nullable: bool = True) -> Column:
     """Clip to inclusive limits; a missing limit is no limit."""
     out = c.cast("double")
     if high is not None and not math.isnan(high):
         out = F.least(out, F.lit(float(high)))
     if low is not None and not math.isnan(low):
         out = F.greatest(out, F.lit(float(low)))
-    return keep_null(c, out)
+    return keep_null(c, out, nullable)
 
 
 def within(c: Column, low: float, high: float) -> Column:

@@ -32,6 +32,13 @@ class ValueMap:
 def build_maps(frame: DataFrame, features: list[str], result_type: str = "double",
                limit: int = BROADCAST_ENTRIES) -> dict[str, ValueMap]:
     """Maps per feature from (feature, value, result, n) rows; collected only below the checked limit."""
+    head = frame.limit(limit + 1).collect()
+    if len(head) <= limit:
+        out = {f: ValueMap(f, entries={}, result_type=result_type) for f in features}
+        for r in head:
+            out[r["feature"]].entries[r["value"]] = r["result"]
+            out[r["feature"]].total += r["n"]
+        return out
     frame = frame.persist()
     sizes = {r["feature"]: (r["k"], r["t"]) for r in
              frame.groupBy("feature").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("t")).collect()}

@@ -28,15 +28,15 @@ def order_of(key: Column, seed: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(seed), F.lit("order")), F.lit(1 << 52))
 
 
-def fold_priors(df: DataFrame, target: str, fold: Column, folds: int) -> tuple[float, list[float | None]]:
-    """The mean of the target over all rows, and over all folds but each."""
+def fold_priors(df: DataFrame, target: str, fold: Column, folds: int) -> tuple[float, list[float | None], int]:
+    """The mean of the target over all rows, the mean over all folds but each, and the number of rows."""
     rows = (df.select(q(target).cast("double").alias("y"), fold.alias("f")).groupBy("f")
-            .agg(F.count("y").alias("n"), F.sum("y").alias("s")).collect())
+            .agg(F.count("y").alias("n"), F.sum("y").alias("s"), F.count(F.lit(1)).alias("rows")).collect())
     n, s = sum(r["n"] for r in rows), sum(r["s"] or 0.0 for r in rows)
     own = {r["f"]: (r["n"], r["s"] or 0.0) for r in rows}
     def mean(a, b):
         return a / b if b else None
-    return mean(s, n), [mean(s - own.get(f, (0, 0.0))[1], n - own.get(f, (0, 0.0))[0]) for f in range(folds)]
+    return mean(s, n), [mean(s - own.get(f, (0, 0.0))[1], n - own.get(f, (0, 0.0))[0]) for f in range(folds)], sum(r["rows"] for r in rows)
 
 
 def smoothed_means(df: DataFrame, features: list[str], target: str, m: float, prior: float) -> DataFrame:
@@ -70,7 +70,8 @@ def out_of_fold_means(df: DataFrame, features: list[str], target: str, fold: Col
 
 
 def ordered_means(df: DataFrame, features: list[str], target: str, fold: Column, folds: int, p: float,
-                  priors: list[float | None], order: Column, tie: Column, order_span: tuple[float, float] | None = None,
+                  priors: list[float | None], order: Column, tie: Column, total_rows: int,
+                  order_span: tuple[float, float] | None = None,
                   rows_per_run: int = ROWS_PER_RUN) -> DataFrame:
     """Per level and held-out fold: the mean over its training rows of the ordered target statistic.
 
@@ -85,8 +86,7 @@ def ordered_means(df: DataFrame, features: list[str], target: str, fold: Column,
                                             fold.alias("f"), order.cast("double").alias("o"), tie.alias("tie")])
     levels = (rows.groupBy("feature", "value")
               .agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("f") == F.lit(g)).alias(f"n{g}") for g in range(folds)]))
-    top = levels.agg(F.max("n").alias("m")).first()["m"] or 0
-    runs = max(1, math.ceil(top / rows_per_run))
+    runs = max(1, math.ceil(total_rows / rows_per_run))  # no level has more rows than the table
     if runs > 1:
         if order_span is None:
             span = df.agg(F.min(order.cast("double")), F.max(order.cast("double"))).first()

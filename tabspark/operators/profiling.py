@@ -113,16 +113,17 @@ def cardinality(df: DataFrame, categorical_only: bool = True, approximate: bool
     return distinct_counts(df, columns)
 
 
-def id_like_columns(df: DataFrame, columns: list[str], threshold: float) -> dict[str, float]:
+def id_like_columns(df: DataFrame, columns: list[str], threshold: float, sketch: dict | None = None,
+                    rows: int | None = None) -> dict[str, float]:
     """Columns with distinct/rows strictly above the threshold, and that ratio.
 
-    A sketch rules out columns far below the threshold; the rest are counted exactly.
+    A sketch (given, or taken here) rules out columns far below the threshold; the rest are counted exactly.
     """
     if not columns:
         return {}
-    sketch = collect_aggregates(df, {"__rows__": F.count(F.lit(1)),
-                                     **{c: distinct_sketch(df, c) for c in columns}})
-    rows = sketch.pop("__rows__")
+    if sketch is None:
+        sketch = collect_aggregates(df, {"__rows__": F.count(F.lit(1)), **{c: distinct_sketch(df, c) for c in columns}})
+        rows = sketch.pop("__rows__")
     if not rows:
         return {}
     close = [c for c in columns if sketch[c] / rows > threshold * (1 - SKETCH_MARGIN)]
@@ -175,6 +176,8 @@ class DataProfiler:
         cell = sum((_bytes(f) for f in df.schema.fields), F.lit(0).cast("long"))
         exprs: dict = {"rows": F.count(F.lit(1)), "bytes": F.sum(cell)}
         exprs.update({("null", c): F.count_if(q(c).isNull()) for c in df.columns})
+        usable = [c for c in df.columns if c != target and fams[c] != "other"]
+        exprs.update({("distinct", c): distinct_sketch(df, c) for c in usable})
         if target is not None:
             exprs.update({"pos": F.count_if(q(target) == 1), "neg": F.count_if(q(target) == 0)})
             if fams[target] == "numeric":
@@ -182,8 +185,7 @@ class DataProfiler:
         got = collect_aggregates(df, exprs)
         n = got["rows"]
         missing = [(c, got[("null", c)], 100.0 * got[("null", c)] / n if n else None) for c in df.columns]
-        usable = [c for c in df.columns if c != target and fams[c] != "other"]
-        leaks = set(id_like_columns(df, usable, 0.95))
+        leaks = set(id_like_columns(df, usable, 0.95, {c: got[("distinct", c)] for c in usable}, n))
         leaks |= {k[1] for k, v in got.items() if isinstance(k, tuple) and k[0] == "corr" and v is not None and abs(v) > 0.95}
         out = {
             "dataset_stats": small_frame(spark, [(n, len(df.columns), (got["bytes"] or 0) / 1024.0 / 1024.0)],

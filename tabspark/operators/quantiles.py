@@ -10,6 +10,7 @@ answer, so results are exact whatever the sample was.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 
 import numpy as np
 import pandas as pd
@@ -17,7 +18,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabspark.operators.aggregate import collect_aggregates, small_frame
 
-CELLS_IN_ONE_AGGREGATE = 4_000_000
+ROWS_PER_COLUMN = 1_000_000     # direct path: values of one column that one task may sort ...
+CELLS_IN_TOTAL = 24_000_000     # ... and of all columns together
 ROWS_TO_RESOLVE = 4_000_000
 BOUNDS = 1024
 SAMPLE_ROWS = 50_000
@@ -28,55 +30,84 @@ def _present(columns: dict[str, Column]) -> list[Column]:
     return [F.nanvl(c.cast("double"), F.lit(None).cast("double")).alias(f"x{i}") for i, c in enumerate(columns.values())]
 
 
-def _pick(values: Column, positions: list[int]) -> Column:
-    """Elements of an array at the given positions; the outer transform evaluates the array once."""
-    at = F.expr(f"array({', '.join(map(str, positions))})")
-    return F.transform(F.array(values), lambda v: F.transform(at, lambda p: F.get(v, p)))[0]
+def _stacked(data: DataFrame, live: list[int]) -> DataFrame:
+    """(f, v): the non-null values of the positional columns as rows."""
+    cells = ", ".join(f"struct({i} AS f, x{i} AS v)" for i in live)
+    return data.select(F.expr(f"inline(array({cells}))")).filter("v IS NOT NULL")
 
 
-def order_statistics(df: DataFrame, columns: dict[str, Column], ranks, cells_limit: int = CELLS_IN_ONE_AGGREGATE,
+def _numbers(values) -> Column:
+    return F.expr("array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")")
+
+
+def order_statistics(df: DataFrame, columns: dict[str, Column], ranks, counts: dict[str, int] | None = None,
+                     rows_limit: int = ROWS_PER_COLUMN, cells_limit: int = CELLS_IN_TOTAL,
                      resolve_limit: int = ROWS_TO_RESOLVE, bounds: int = BOUNDS,
                      sample_rows: int = SAMPLE_ROWS) -> dict[str, tuple[int, dict[int, float]]]:
     """name -> (count of non-null values, {0-based rank: value}).
 
-    ``ranks`` maps (name, count) to the wanted ranks of that column.
+    ``ranks`` maps (name, count) to the wanted ranks of that column; ``counts``, when already known,
+    saves a scan.
     """
     names = list(columns)
     data = df.select(*_present(columns))
-    counts = collect_aggregates(data, {n: F.count(f"x{i}") for i, n in enumerate(names)})
+    if counts is None:
+        counts = collect_aggregates(data, {n: F.count(f"x{i}") for i, n in enumerate(names)})
     wanted = {n: sorted({r for r in ranks(n, counts[n]) if 0 <= r < counts[n]}) for n in names}
     out: dict[str, tuple[int, dict[int, float]]] = {n: (int(counts[n]), {}) for n in names}
     live = [i for i, n in enumerate(names) if wanted[n]]
     if not live:
         return out
-    if sum(counts[names[i]] for i in live) <= cells_limit:
-        exprs = {}
-        for i in live:
-            exprs[names[i]] = _pick(F.sort_array(F.collect_list(f"x{i}")), wanted[names[i]])
-        for n, values in collect_aggregates(data, exprs).items():
-            out[n][1].update(zip(wanted[n], values))
-        return out
-    _select_by_buckets(data, names, live, wanted, counts, out, resolve_limit, bounds, sample_rows)
+    sizes = [counts[names[i]] for i in live]
+    if max(sizes) <= rows_limit and sum(sizes) <= cells_limit:
+        _sort_directly(data, names, live, wanted, out)
+    else:
+        _select_by_buckets(data, names, live, wanted, counts, out, resolve_limit, bounds, sample_rows)
     return out
 
 
+FEW_RANKS = 64
+
+
+def _sort_directly(data, names, live, wanted, out):
+    """Distinct values with counts (combined before the shuffle), a running total per column, the wanted ranks."""
+    cells = _stacked(data, live).groupBy("f", "v").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("f").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    cells = cells.withColumn("upto", F.sum("n").over(w)).select("f", "v", (F.col("upto") - F.col("n")).alias("lo"), F.col("upto").alias("hi"))
+    if max(len(wanted[names[i]]) for i in live) <= FEW_RANKS:
+        asks = ", ".join(f"{i}, array({', '.join(f'{r}L' for r in wanted[names[i]])})" for i in live)
+        hits = cells.filter(F.expr(f"exists(element_at(map({asks}), f), r -> r >= lo AND r < hi)"))
+    else:
+        asked = {i: np.asarray(wanted[names[i]], dtype="int64") for i in live}
+
+        def holds_a_rank(batches):
+            for pdf in batches:
+                for f, part in pdf.groupby("f"):
+                    a = asked[int(f)]
+                    yield part[np.searchsorted(a, part["lo"].to_numpy()) < np.searchsorted(a, part["hi"].to_numpy())]
+
+        hits = cells.mapInPandas(holds_a_rank, cells.schema)
+    for row in hits.collect():  # at most one row per wanted rank
+        ranks, found = wanted[names[row["f"]]], out[names[row["f"]]][1]
+        for at in range(bisect_left(ranks, row["lo"]), bisect_left(ranks, row["hi"])):
+            found[ranks[at]] = row["v"]
+
+
 def _sample_bounds(data: DataFrame, live: list[int], rows: int, inside: dict[int, list[tuple[float, float]]] | None,
                    inside_rows: int, bounds: int, sample_rows: int, seed: int) -> dict[int, np.ndarray]:
-    """Per column, ascending cut points from a random sample (restricted to the open intervals in ``inside``)."""
+    """Per column, ascending cut points from a random sample (restricted to the span of ``inside``)."""
     fraction = min(1.0, sample_rows / max(1, inside_rows if inside else rows))
     sample = data if fraction >= 1.0 else data.sample(fraction=fraction, seed=seed)
-    probs = F.array(*[F.lit((k + 1) / bounds) for k in range(bounds - 1)])
-    exprs = {}
-    for i in live:
-        x = F.col(f"x{i}")
-        if inside is not None:
-            lo = min(a for a, _ in inside[i])
-            hi = max(b for _, b in inside[i])
-            hit = (x > F.lit(lo)) & (x <= F.lit(hi))
-            x = F.when(hit, x)
-        exprs[i] = F.percentile(x, probs)
-    got = collect_aggregates(sample, exprs)
-    return {i: np.unique(np.asarray(got[i] if got[i] is not None else [], dtype="float64")) for i in live}
+    cells = _stacked(sample, live)
+    if inside is not None:
+        keep = F.lit(False)
+        for i in live:
+            lo, hi = min(a for a, _ in inside[i]), max(b for _, b in inside[i])
+            keep = keep | ((F.col("f") == i) & (F.col("v") > F.lit(lo)) & (F.col("v") <= F.lit(hi)))
+        cells = cells.filter(keep)
+    probs = _numbers((k + 1) / bounds for k in range(bounds - 1))
+    got = {r["f"]: r["p"] for r in cells.groupBy("f").agg(F.percentile("v", probs).alias("p")).collect()}
+    return {i: np.unique(np.asarray(got.get(i) or [], dtype="float64")) for i in live}
 
 
 def _bucket_counts(data: DataFrame, cuts: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
@@ -134,16 +165,16 @@ def _sample_intervals(data, live, inside, load, bounds, sample_rows, seed):
     """Fresh cut points inside each wanted bucket separately: few wanted ranks, deep refinement."""
     fraction = min(1.0, sample_rows * 4 / max(1, load))
     sample = data if fraction >= 1.0 else data.sample(fraction=fraction, seed=seed)
-    exprs = {}
+    which = F.lit(None).cast("int")
+    most = max(len(v) for v in inside.values())
     for i in live:
-        each = max(16, bounds // max(1, len(inside[i])))
-        probs = F.array(*[F.lit((k + 1) / each) for k in range(each - 1)])
         for j, (lo, hi) in enumerate(inside[i]):
-            x = F.col(f"x{i}")
-            exprs[(i, j)] = F.percentile(F.when((x > F.lit(lo)) & (x <= F.lit(hi)), x), probs)
-    got = collect_aggregates(sample, exprs)
-    return {i: np.unique(np.concatenate([np.asarray(got[(i, j)] or [], dtype="float64")
-                                         for j in range(len(inside[i]))])) for i in live}
+            which = F.when((F.col("f") == i) & (F.col("v") > F.lit(lo)) & (F.col("v") <= F.lit(hi)), F.lit(j)).otherwise(which)
+    each = max(16, bounds // most)
+    probs = _numbers((k + 1) / each for k in range(each - 1))
+    rows = (_stacked(sample, live).withColumn("j", which).filter("j IS NOT NULL").groupBy("f", "j")
+            .agg(F.percentile("v", probs).alias("p")).collect())
+    return {i: np.unique(np.asarray([v for r in rows if r["f"] == i for v in r["p"]], dtype="float64")) for i in live}
 
 
 def _resolve(data, names, live, wanted, cuts, targets, out):

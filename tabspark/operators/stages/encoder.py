@@ -62,7 +62,7 @@ class EncodingTransformer(Stage):
             self.default_.update({c: -1.0 if self.strategy_[c] == "ordinal" else 0.0 for c in ordinal})
         if target_like:
             folds = self.target_cv_folds
-            self.prior_, self.fold_priors_ = fold_priors(df, self.target, self._fold(), folds)
+            self.prior_, self.fold_priors_, self.rows_ = fold_priors(df, self.target, self._fold(), folds)
             for name, m in (("target", self.target_smoothing), ("catboost", self.catboost_prior)):
                 mine = self._of(name)
                 if mine:
@@ -140,7 +140,7 @@ class EncodingTransformer(Stage):
             tie = q(key) if key is not None else F.lit(0)
             span = None if self.order is not None else (0.0, float(1 << 52))
             oof.update(build_maps(ordered_means(df, ordered, target, fold, folds, self.catboost_prior, self.fold_priors_,
-                                                order, tie, span), ordered, "array<double>"))
+                                                order, tie, self.rows_, span), ordered, "array<double>"))
         plain = [c for c in df.columns if c in self.maps_ and c not in held]
         keys = {c: (F.coalesce(q(c).cast("string"), F.lit(NULL_LEVEL)) if self.strategy_[c] == "catboost" else q(c).cast("string"))
                 for c in held}

@@ -44,9 +44,10 @@ class MissingValueTransformer(Stage):
         numbers = {c for c in plan if family[c] in ("numeric", "boolean")}
         scan = {("null", c): F.count_if(q(c).isNull()) for c in cols}
         scan.update({("mean", c): F.avg(dbl(c)) for c in numbers if plan[c][0] in ("mean", "knn", "iterative")})
+        scan.update({("n", c): F.count(F.nanvl(dbl(c), F.lit(None).cast("double"))) for c in numbers})
         got = collect_aggregates(df, scan) if scan else {}
         mid = [c for c in numbers if plan[c][0] == "median"]
-        medians_ = medians(df, {c: dbl(c) for c in mid}) if mid else {}
+        medians_ = medians(df, {c: dbl(c) for c in mid}, counts={c: got[("n", c)] for c in mid}) if mid else {}
         modes = self._modes(df, [c for c in plan if c not in numbers and plan[c][0] in ("most_frequent", "mode")])
         self.fill_, self.report_ = {}, {}
         for c, (strategy, given) in plan.items():

@@ -86,7 +86,7 @@ class OutlierTransformer(Stage):
     def _apply(self, df: DataFrame) -> DataFrame:
         if self.strategy != "clip":
             return df
-        return self.replace(df, {c: clip(q(c), lo, hi) for c, (lo, hi) in self.limits_.items() if c in df.columns})
+        return self.replace(df, {c: clip(q(c), lo, hi, df.schema[c].nullable) for c, (lo, hi) in self.limits_.items() if c in df.columns})
 
     def fit_transform(self, df: DataFrame, target: str | None = None, key: str | None = None) -> DataFrame:
         self.fit(df, target, key)

@@ -15,7 +15,7 @@ STRATEGIES = ("standard", "minmax", "robust", "quantile", "none")
 MAX_QUANTILES = 1000
 
 
-def quantile_position(c: Column, grid: list[float], output: str = "uniform") -> Column:
+def quantile_position(c: Column, grid: list[float], output: str = "uniform", nullable: bool = True) -> Column:
     """Position in [0, 1] by linear interpolation over a quantile grid, averaged from both sides on ties."""
     knots = np.asarray(grid, dtype="float64")
 
@@ -35,7 +35,7 @@ def quantile_position(c: Column, grid: list[float], output: str = "uniform") ->
             out = np.array([norm.inv_cdf(min(max(p, 1e-7), 1 - 1e-7)) if p == p else p for p in out])
         return pd.Series(out)
 
-    return F.when(c.isNotNull(), position(c))
+    return F.when(c.isNotNull(), position(c)) if nullable else position(c)
 
 
 class FeatureScaler(Stage):
@@ -58,7 +58,7 @@ class FeatureScaler(Stage):
         scan = {"rows": F.count(F.lit(1))}
         for c in cols:
             scan[(c, "odd")] = F.count_if(~dbl(c).isin(0.0, 1.0))
-            scan[(c, "n")] = F.count(q(c))
+            scan[(c, "n")] = F.count(F.nanvl(dbl(c), F.lit(None).cast("double")))
             if strategy[c] == "standard":
                 scan[(c, "a")], scan[(c, "b")] = F.avg(dbl(c)), F.stddev_pop(dbl(c))
             elif strategy[c] == "minmax":
@@ -69,11 +69,12 @@ class FeatureScaler(Stage):
             if strategy[c] not in STRATEGIES:
                 raise ValueError(f"unknown scaling strategy: {strategy[c]}")
         robust = [c for c in cols if strategy[c] == "robust"]
-        spread = quantiles(df, {c: dbl(c) for c in robust}, [0.25, 0.5, 0.75]) if robust else {}
+        counts = {c: got[(c, "n")] for c in cols}
+        spread = quantiles(df, {c: dbl(c) for c in robust}, [0.25, 0.5, 0.75], counts=counts) if robust else {}
         ranked = [c for c in cols if strategy[c] == "quantile"]
         k = max(1, min(self.n_quantiles, got["rows"]))
         probs = [i / (k - 1) for i in range(k)] if k > 1 else [0.0]
-        grids = quantiles(df, {c: dbl(c) for c in ranked}, probs) if ranked else {}
+        grids = quantiles(df, {c: dbl(c) for c in ranked}, probs, counts=counts) if ranked else {}
         for c in cols:
             if strategy[c] in ("standard", "minmax"):
                 self.scalers_[c] = (strategy[c], got[(c, "a")], got[(c, "b")] or 1.0)
@@ -87,7 +88,7 @@ class FeatureScaler(Stage):
         new = {}
         for c, (kind, a, b) in self.scalers_.items():
             if c in df.columns:
-                new[c] = quantile_position(dbl(c), a, self.output) if kind == "quantile" else (dbl(c) - F.lit(a)) / F.lit(b)
+                new[c] = quantile_position(dbl(c), a, self.output, df.schema[c].nullable) if kind == "quantile" else (dbl(c) - F.lit(a)) / F.lit(b)
         return self.replace(df, new)
 
     def get_reports(self) -> dict:

@@ -37,7 +37,7 @@ class FeatureTransformer(Stage):
         new = {}
         for c, p in self.fitted_params_.items():
             if c in df.columns:
-                new[c] = STATIC[p["type"]](dbl(c)) if p["type"] in STATIC else LEARNED[p["type"]](dbl(c), p["lambda"])
+                new[c] = STATIC[p["type"]](dbl(c), df.schema[c].nullable) if p["type"] in STATIC else LEARNED[p["type"]](dbl(c), p["lambda"])
         return self.replace(df, new)
 
     def get_reports(self) -> dict:

@@ -159,7 +159,8 @@ class PreprocessingPipeline:
             run["leakage_analysis"] = report
             if self.leakage_settings["fail_on_detection"] and any(report.values()):
                 raise ValueError(f"leakage validation failed: {report}")
-        shape = (df.count(), len(self._features(df)))
+        rows = self.schema_validator.rows_
+        shape = (df.count() if rows is None else rows, len(self._features(df)))
         rows_changed = False
         for name, stage in self.steps_:
             started, before = time.time(), len(self._features(df))

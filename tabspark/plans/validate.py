@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tabspark.functions.statistics import safe_corr
 from tabspark.functions.types import families, family_of, is_integer, numeric_columns, q
 from tabspark.operators.aggregate import collect_aggregates, small_frame
-from tabspark.operators.profiling import id_like_columns
+from tabspark.operators.profiling import distinct_sketch, id_like_columns
 
 PASSED = "Passed"
 
@@ -19,6 +19,7 @@ class SchemaValidator:
         self.target_column, self.key_column, self.allow_extra_columns = target_column, key_column, allow_extra_columns
         self.expected_schema_: dict[str, str] = {}
         self._family: dict[str, str] = {}
+        self.rows_: int | None = None
 
     def fit(self, df: DataFrame) -> "SchemaValidator":
         self.expected_schema_ = {f.name: f.dataType.simpleString() for f in df.schema.fields}
@@ -54,7 +55,8 @@ class SchemaValidator:
 
     def _check_values(self, df: DataFrame, is_train: bool, report: dict) -> None:
         if is_train and self.target_column in df.columns:
-            nulls = collect_aggregates(df, {"n": F.count_if(q(self.target_column).isNull())})["n"]
+            got = collect_aggregates(df, {"n": F.count_if(q(self.target_column).isNull()), "rows": F.count(F.lit(1))})
+            nulls, self.rows_ = got["n"], got["rows"]
             if nulls:
                 report["target_check"] = f"Target contains {nulls} missing values"
         if self.key_column and self.key_column in df.columns:
@@ -83,13 +85,15 @@ class LeakageValidator:
         for c in cols:
             exprs[(c, "low")], exprs[(c, "high")] = F.min(q(c)), F.max(q(c))
         exprs.update({(c, "corr"): safe_corr(q(c), label) for c in numeric})
+        countable = [c for c in cols if is_integer(df.schema[c].dataType) or fams[c] == "categorical"]
+        exprs.update({(c, "distinct"): distinct_sketch(df, c) for c in countable})
         got = collect_aggregates(df, exprs)
         if got["__rows__"] == 0:
             return report
         report["near_constant_columns"] = [c for c in cols if got[(c, "low")] is None or got[(c, "low")] == got[(c, "high")]]
         varied = [c for c in cols if c not in report["near_constant_columns"]]
-        countable = [c for c in varied if is_integer(df.schema[c].dataType) or fams[c] == "categorical"]
-        ids = id_like_columns(df, countable, self.cardinality_threshold)
+        ids = id_like_columns(df, [c for c in countable if c in varied], self.cardinality_threshold,
+                              {c: got[(c, "distinct")] for c in countable}, got["__rows__"])
         report["id_like_columns"] = [c for c in varied if c in ids]
         report["highly_correlated_columns"] = {
             c: got[(c, "corr")] for c in varied
