@@ -15,7 +15,7 @@ STRATEGIES = ("standard", "minmax", "robust", "quantile", "none")
 MAX_QUANTILES = 1000
 
 
-def quantile_position(c: Column, grid: list[float], output: str = "uniform", nullable: bool = True) -> Column:
+def quantile_position(c: Column, grid: list[float], nullable: bool = True) -> Column:
     """Position in [0, 1] by linear interpolation over a quantile grid, averaged from both sides on ties."""
     knots = np.asarray(grid, dtype="float64")
 
@@ -29,25 +29,18 @@ def quantile_position(c: Column, grid: list[float], output: str = "uniform", nul
         out[v == knots[0]] = 0.0
         out[v == knots[-1]] = 1.0
         out = np.where(np.isnan(v), np.nan, np.clip(out, 0.0, 1.0))
-        if output == "normal":
-            from statistics import NormalDist
-            norm = NormalDist()
-            out = np.array([norm.inv_cdf(min(max(p, 1e-7), 1 - 1e-7)) if p == p else p for p in out])
         return pd.Series(out)
 
     return F.when(c.isNotNull(), position(c)) if nullable else position(c)
 
 
 class FeatureScaler(Stage):
-    """standard (ddof 0), minmax, robust, quantile or none per column; 0/1 columns are left alone.
-
-    ``output`` is 'uniform' (default) or 'normal' for the quantile scaler.
-    """
+    """standard (ddof 0), minmax, robust, quantile (uniform on [0, 1]) or none per column; 0/1 columns are left alone."""
 
     def __init__(self, default_strategy: str = "standard", column_strategies: dict | None = None,
-                 exclude_cols: list[str] | None = None, n_quantiles: int = MAX_QUANTILES, output: str = "uniform"):
+                 exclude_cols: list[str] | None = None, n_quantiles: int = MAX_QUANTILES):
         self.default_strategy, self.column_strategies = default_strategy, column_strategies or {}
-        self.exclude_cols, self.n_quantiles, self.output = list(exclude_cols or []), n_quantiles, output
+        self.exclude_cols, self.n_quantiles = list(exclude_cols or []), n_quantiles
 
     def _learn(self, df: DataFrame) -> None:
         cols = [c for c in numeric_columns(df) if c in self.feature_names_in_ and c not in self.exclude_cols]
@@ -88,7 +81,7 @@ class FeatureScaler(Stage):
         new = {}
         for c, (kind, a, b) in self.scalers_.items():
             if c in df.columns:
-                new[c] = quantile_position(dbl(c), a, self.output, df.schema[c].nullable) if kind == "quantile" else (dbl(c) - F.lit(a)) / F.lit(b)
+                new[c] = quantile_position(dbl(c), a, df.schema[c].nullable) if kind == "quantile" else (dbl(c) - F.lit(a)) / F.lit(b)
         return self.replace(df, new)
 
     def get_reports(self) -> dict:
