@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,3 +27,13 @@ def checkpoint(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write to a new Parquet folder in the shared folder and read it back.
+
+    Like a checkpoint, but columnar: later passes read only the columns they use.
+    """
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/tabspark-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

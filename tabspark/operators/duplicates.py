@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tabspark.functions.types import q
 from tabspark.operators.aggregate import collect_aggregates
+from tabspark.operators.columnwise import value_profile
 from tabspark.operators.mapping import BROADCAST_ENTRIES
 
 
@@ -78,14 +79,10 @@ def duplicate_columns(df: DataFrame, features: list[str]) -> list[str]:
     One scan of order-free signatures proposes pairs; a second scan compares only those row by row.
     """
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    exprs = {}
-    for c in features:
-        exprs[(c, "nulls")] = F.count_if(q(c).isNull())
-        exprs[(c, "hash")] = F.sum(F.pmod(F.xxhash64(q(c)), F.lit(1 << 31)).cast("decimal(38,0)"))
-    got = collect_aggregates(df, exprs)
+    got = value_profile(df, features, distinct=False)
     groups: dict[tuple, list[str]] = {}
     for c in features:
-        groups.setdefault((types[c], got[(c, "nulls")], got[(c, "hash")]), []).append(c)
+        groups.setdefault((types[c], *got[c].values()), []).append(c)
     pairs = [p for g in groups.values() if len(g) > 1 for p in itertools.combinations(g, 2)]
     if not pairs:
         return []

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tabspark.functions.statistics import ratio, safe_corr
+from tabspark.functions.statistics import ratio
 from tabspark.functions.types import categorical_columns, dbl, families, numeric_columns, q
 from tabspark.operators.aggregate import collect_aggregates, long_values, per_feature, small_frame, value_counts
+from tabspark.operators.columnwise import constant_columns, equal_counts, numeric_stats, value_profile
 from tabspark.operators.duplicates import count_duplicate_rows
 from tabspark.operators.quantiles import medians
 
-# Size of the distinct-count sketch that decides which columns get an exact count, and the margin it gets:
-# 2^12 registers have a standard error of 1.6 percent, so ten percent is more than six standard errors.
-SKETCH_LG, SKETCH_MARGIN = 12, 0.10
+# A distinct-count sketch decides which columns get an exact count; ten percent are six of its standard errors.
+SKETCH_MARGIN = 0.10
 
 
 def missing_profile(df: DataFrame, threshold: float = 50.0) -> DataFrame:
@@ -63,25 +63,21 @@ def constant_features(df: DataFrame, near_constant_threshold: float = 99.0) -> D
         share = ratio(F.col("top") * 100.0, F.col("t"))
         status = F.when(F.coalesce("k", F.lit(0)) <= 1, "constant").when(share >= near_constant_threshold, "near_constant")
         return rows.select("feature", status.alias("status"), share.alias("top_share")).filter("status IS NOT NULL")
-    probes = {c: F.when(q(c).isNotNull(), _majority_probe(df, c)) for c in usable}
-    mid = medians(df, probes)
-    exact = {}
-    for c in usable:
-        exact[(c, "min")], exact[(c, "max")] = F.min(q(c)), F.max(q(c))
-        exact[(c, "n")] = F.count(q(c))
-        if mid[c] is not None:
-            # Exact value behind the probe; a hash collision can only lower the share counted next.
-            exact[(c, "cand")] = F.min(F.when(probes[c] == F.lit(mid[c]), q(c)))
-    got = collect_aggregates(df, exact)
-    varied = [c for c in usable if got[(c, "n")] and got[(c, "min")] != got[(c, "max")]]
-    shares = collect_aggregates(df, {c: F.count_if(q(c) == F.lit(got[(c, "cand")])) for c in varied
-                                     if got.get((c, "cand")) is not None})
-    rows = []
-    for c in usable:
-        if c not in varied:
-            rows.append((c, "constant", 100.0 if got[(c, "n")] else None))
-        elif c in shares and 100.0 * shares[c] / got[(c, "n")] >= near_constant_threshold:
-            rows.append((c, "near_constant", 100.0 * shares[c] / got[(c, "n")]))
+    profile = value_profile(df, usable, distinct=False)
+    constant = constant_columns(df, profile)
+    varied = [c for c in usable if c not in constant]
+    probes = {c: F.when(q(c).isNotNull(), _majority_probe(df, c)) for c in varied}
+    mid = medians(df, probes, counts={c: profile[c]["n"] for c in varied}) if varied else {}
+    hits = equal_counts(df, {c: (probes[c], mid[c]) for c in varied}) if varied else {}
+    near = [c for c in varied if 100.0 * hits[c] / profile[c]["n"] >= near_constant_threshold]
+    # The probe of a text is a hash: count the value itself before it is reported.
+    texts = [c for c in near if families(df)[c] != "numeric"]
+    if texts:
+        value = collect_aggregates(df, {c: F.min(F.when(probes[c] == F.lit(mid[c]), q(c))) for c in texts})
+        hits.update(collect_aggregates(df, {c: F.count_if(q(c) == F.lit(value[c])) for c in texts}))
+    rows = [(c, "constant", 100.0 if profile[c]["n"] else None) for c in constant]
+    rows += [(c, "near_constant", 100.0 * hits[c] / profile[c]["n"]) for c in near
+             if 100.0 * hits[c] / profile[c]["n"] >= near_constant_threshold]
     return small_frame(df.sparkSession, rows, "feature string, status string, top_share double")
 
 
@@ -90,11 +86,6 @@ def _identity(df: DataFrame, c: str) -> Column:
     return (q(c) + F.lit(0.0)).cast("string") if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)) else q(c).cast("string")
 
 
-def distinct_sketch(df: DataFrame, c: str) -> Column:
-    """Approximate distinct count; the sketch is a small binary value, also for many columns at once."""
-    return F.hll_sketch_estimate(F.hll_sketch_agg(_identity(df, c), F.lit(SKETCH_LG)))
-
-
 def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """(feature, unique_values): exact distinct non-null values of all columns in one shuffle."""
     names = small_frame(df.sparkSession, [(c,) for c in columns], "feature string")
@@ -109,7 +100,8 @@ def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 def cardinality(df: DataFrame, categorical_only: bool = True, approximate: bool = False) -> DataFrame:
     columns = categorical_columns(df) if categorical_only else df.columns
     if approximate and columns:
-        return per_feature(df, columns, lambda c: {"unique_values": distinct_sketch(df, c)})
+        got = value_profile(df, columns)
+        return small_frame(df.sparkSession, [(c, got[c]["distinct"]) for c in columns], "feature string, unique_values bigint")
     return distinct_counts(df, columns)
 
 
@@ -122,8 +114,8 @@ def id_like_columns(df: DataFrame, columns: list[str], threshold: float, sketch:
     if not columns:
         return {}
     if sketch is None:
-        sketch = collect_aggregates(df, {"__rows__": F.count(F.lit(1)), **{c: distinct_sketch(df, c) for c in columns}})
-        rows = sketch.pop("__rows__")
+        rows = df.count()
+        sketch = {c: p["distinct"] for c, p in value_profile(df, columns).items()}
     if not rows:
         return {}
     close = [c for c in columns if sketch[c] / rows > threshold * (1 - SKETCH_MARGIN)]
@@ -139,8 +131,9 @@ def leakage_profile(df: DataFrame, target: str | None = None, corr_threshold: fl
     columns = [c for c in df.columns if c != target and families(df)[c] != "other"]
     flagged = {(c, "unique_ratio") for c in id_like_columns(df, columns, unique_ratio_threshold)}
     if target in numeric_columns(df):
-        got = collect_aggregates(df, {c: safe_corr(q(c), q(target)) for c in numeric_columns(df, [target])})
-        flagged |= {(c, "target_correlation") for c, v in got.items() if v is not None and abs(v) > corr_threshold}
+        others = numeric_columns(df, [target])
+        got = numeric_stats(df, {c: q(c) for c in others}, q(target)) if others else {}
+        flagged |= {(c, "target_correlation") for c, s in got.items() if s["corr"] is not None and abs(s["corr"]) > corr_threshold}
     return small_frame(df.sparkSession, sorted(flagged), "feature string, reason string")
 
 
@@ -168,25 +161,27 @@ class DataProfiler:
         self.target_column = target_column
 
     def run(self, df: DataFrame) -> dict[str, DataFrame]:
-        """Size, missing values, target balance and correlations come from one fused scan."""
+        """Three scans (size and target, value profile, correlations) serve all small reports."""
         target = self.target_column
         if target is not None:
             _require(df, target)
         spark, fams = df.sparkSession, families(df)
         cell = sum((_bytes(f) for f in df.schema.fields), F.lit(0).cast("long"))
         exprs: dict = {"rows": F.count(F.lit(1)), "bytes": F.sum(cell)}
-        exprs.update({("null", c): F.count_if(q(c).isNull()) for c in df.columns})
-        usable = [c for c in df.columns if c != target and fams[c] != "other"]
-        exprs.update({("distinct", c): distinct_sketch(df, c) for c in usable})
         if target is not None:
             exprs.update({"pos": F.count_if(q(target) == 1), "neg": F.count_if(q(target) == 0)})
-            if fams[target] == "numeric":
-                exprs.update({("corr", c): safe_corr(q(c), q(target)) for c in numeric_columns(df, [target])})
         got = collect_aggregates(df, exprs)
         n = got["rows"]
-        missing = [(c, got[("null", c)], 100.0 * got[("null", c)] / n if n else None) for c in df.columns]
-        leaks = set(id_like_columns(df, usable, 0.95, {c: got[("distinct", c)] for c in usable}, n))
-        leaks |= {k[1] for k, v in got.items() if isinstance(k, tuple) and k[0] == "corr" and v is not None and abs(v) > 0.95}
+        known = [c for c in df.columns if fams[c] != "other"]
+        values = value_profile(df, known)
+        nested = collect_aggregates(df, {c: F.count(q(c)) for c in df.columns if c not in known})
+        nulls = {c: n - (values[c]["n"] if c in values else nested[c]) for c in df.columns}
+        missing = [(c, nulls[c], 100.0 * nulls[c] / n if n else None) for c in df.columns]
+        usable = [c for c in known if c != target]
+        leaks = set(id_like_columns(df, usable, 0.95, {c: values[c]["distinct"] for c in usable}, n))
+        if target in numeric_columns(df) and len(numeric_columns(df)) > 1:
+            corr = numeric_stats(df, {c: q(c) for c in numeric_columns(df, [target])}, q(target))
+            leaks |= {c for c, s in corr.items() if s["corr"] is not None and abs(s["corr"]) > 0.95}
         out = {
             "dataset_stats": small_frame(spark, [(n, len(df.columns), (got["bytes"] or 0) / 1024.0 / 1024.0)],
                                          "rows bigint, columns bigint, memory_mb double"),

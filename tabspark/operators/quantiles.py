@@ -16,13 +16,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tabspark.operators.aggregate import collect_aggregates, small_frame
+from tabspark.operators.aggregate import small_frame
+from tabspark.operators.columnwise import present_counts
 
 ROWS_PER_COLUMN = 1_000_000     # direct path: values of one column that one task may sort ...
 CELLS_IN_TOTAL = 24_000_000     # ... and of all columns together
 ROWS_TO_RESOLVE = 4_000_000
-BOUNDS = 1024
-SAMPLE_ROWS = 50_000
+BOUNDS = 512
+SAMPLE_ROWS = 20_000
 
 
 def _present(columns: dict[str, Column]) -> list[Column]:
@@ -52,7 +53,7 @@ def order_statistics(df: DataFrame, columns: dict[str, Column], ranks, counts: d
     names = list(columns)
     data = df.select(*_present(columns))
     if counts is None:
-        counts = collect_aggregates(data, {n: F.count(f"x{i}") for i, n in enumerate(names)})
+        counts = present_counts(data, {n: F.col(f"x{i}") for i, n in enumerate(names)})
     wanted = {n: sorted({r for r in ranks(n, counts[n]) if 0 <= r < counts[n]}) for n in names}
     out: dict[str, tuple[int, dict[int, float]]] = {n: (int(counts[n]), {}) for n in names}
     live = [i for i, n in enumerate(names) if wanted[n]]

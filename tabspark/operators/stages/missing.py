@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from tabspark.functions.scalars import missing_flag
 from tabspark.functions.types import dbl, family_of, q
 from tabspark.operators.aggregate import collect_aggregates, value_counts
+from tabspark.operators.columnwise import numeric_stats
 from tabspark.operators.quantiles import medians
 from tabspark.operators.stages.base import Stage
 
@@ -42,12 +43,10 @@ class MissingValueTransformer(Stage):
                 raise ValueError(f"unknown {'numerical' if numeric else 'categorical'} imputation strategy: {strategy}")
             plan[c] = (strategy, own.get("fill_value", self.num_fill_value if numeric else self.cat_fill_value))
         numbers = {c for c in plan if family[c] in ("numeric", "boolean")}
-        scan = {("null", c): F.count_if(q(c).isNull()) for c in cols}
-        scan.update({("mean", c): F.avg(dbl(c)) for c in numbers if plan[c][0] in ("mean", "knn", "iterative")})
-        scan.update({("n", c): F.count(F.nanvl(dbl(c), F.lit(None).cast("double"))) for c in numbers})
-        got = collect_aggregates(df, scan) if scan else {}
+        nulls = collect_aggregates(df, {c: F.count_if(q(c).isNull()) for c in cols})
+        stats = numeric_stats(df, {c: dbl(c) for c in cols if c in numbers}) if numbers else {}
         mid = [c for c in numbers if plan[c][0] == "median"]
-        medians_ = medians(df, {c: dbl(c) for c in mid}, counts={c: got[("n", c)] for c in mid}) if mid else {}
+        medians_ = medians(df, {c: dbl(c) for c in mid}, counts={c: stats[c]["n"] for c in mid}) if mid else {}
         modes = self._modes(df, [c for c in plan if c not in numbers and plan[c][0] in ("most_frequent", "mode")])
         self.fill_, self.report_ = {}, {}
         for c, (strategy, given) in plan.items():
@@ -61,11 +60,11 @@ class MissingValueTransformer(Stage):
             elif strategy == "constant":
                 value = given
             else:
-                value = got[("mean", c)]
+                value = stats[c]["mean"]
             self.fill_[c] = 0.0 if value is None else float(value)
             self.report_[c] = {"strategy": strategy} if strategy in ("knn", "iterative") else \
                 {"strategy": strategy, "value": self.fill_[c]}
-        self.missing_indicator_cols_ = [c + SUFFIX for c in cols if got[("null", c)]] if self.add_indicators else []
+        self.missing_indicator_cols_ = [c + SUFFIX for c in cols if nulls[c]] if self.add_indicators else []
         self.numeric_ = numbers
         self.feature_names_out_ = [c for c in cols if c in plan or family[c] in ("datetime", "other")] + self.missing_indicator_cols_
 

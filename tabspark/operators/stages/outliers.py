@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tabspark.functions.scalars import clip, within
 from tabspark.functions.types import dbl, numeric_columns, q
-from tabspark.operators.aggregate import collect_aggregates
+from tabspark.operators.columnwise import numeric_stats, outside_counts
 from tabspark.operators.iforest import IsolationForest
 from tabspark.operators.quantiles import medians, quantiles
 from tabspark.operators.stages.base import Stage
@@ -30,8 +30,8 @@ class OutlierTransformer(Stage):
         wanted = self.feature_names_in_ if self.columns is None else self.columns
         cols = [c for c in self.feature_names_in_ if c in wanted and (c in numeric or self.columns is not None)]
         if self.skip_binary and cols:
-            odd = collect_aggregates(df, {c: F.count_if(~dbl(c).isin(0.0, 1.0)) for c in cols})
-            cols = [c for c in cols if odd[c]]
+            got = numeric_stats(df, {c: dbl(c) for c in cols})
+            cols = [c for c in cols if got[c]["odd"]]
         self.limits_, self.outlier_counts_, self.forest_ = {}, {}, None
         if not cols:
             return
@@ -39,10 +39,9 @@ class OutlierTransformer(Stage):
             self._learn_forest(df, cols)
             return
         if self.method == "z_score":
-            got = collect_aggregates(df, {(c, s): f for c in cols for s, f in
-                                          (("m", F.avg(dbl(c))), ("s", F.when(F.count(q(c)) > 1, F.stddev_samp(dbl(c)))))})
+            got = numeric_stats(df, {c: dbl(c) for c in cols})
             for c in cols:
-                m, s = got[(c, "m")], got[(c, "s")]
+                m, s = got[c]["mean"], got[c]["std"]
                 if m is None:
                     continue
                 # One value only: no deviation, so no limits (the limits would be undefined).
@@ -54,9 +53,9 @@ class OutlierTransformer(Stage):
                     continue
                 reach = self.threshold * (b - a) if self.method == "iqr" else 0.0
                 self.limits_[c] = (a - reach, b + reach)
-        self.outlier_counts_ = collect_aggregates(df, {
-            c: F.count_if((dbl(c) < F.lit(lo)) | (dbl(c) > F.lit(hi))) for c, (lo, hi) in self.limits_.items() if lo == lo})
-        self.outlier_counts_.update({c: 0 for c, (lo, _) in self.limits_.items() if lo != lo})
+        known = {c: (dbl(c), lo, hi) for c, (lo, hi) in self.limits_.items() if lo == lo}
+        counts = outside_counts(df, known) if known else {}
+        self.outlier_counts_ = {c: counts.get(c, 0) for c in self.limits_}
 
     def _filled(self, columns: list[str]) -> dict[str, Column]:
         return {c: F.coalesce(dbl(c), F.lit(self.isolation_fill_values_[c])) for c in columns}

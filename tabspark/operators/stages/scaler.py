@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabspark.functions.types import dbl, numeric_columns, q
-from tabspark.operators.aggregate import collect_aggregates
+from tabspark.operators.columnwise import numeric_stats
 from tabspark.operators.quantiles import quantiles
 from tabspark.operators.stages.base import Stage
 
@@ -48,29 +48,24 @@ class FeatureScaler(Stage):
         if not cols:
             return
         strategy = {c: self.column_strategies.get(c, self.default_strategy) for c in cols}
-        scan = {"rows": F.count(F.lit(1))}
-        for c in cols:
-            scan[(c, "odd")] = F.count_if(~dbl(c).isin(0.0, 1.0))
-            scan[(c, "n")] = F.count(F.nanvl(dbl(c), F.lit(None).cast("double")))
-            if strategy[c] == "standard":
-                scan[(c, "a")], scan[(c, "b")] = F.avg(dbl(c)), F.stddev_pop(dbl(c))
-            elif strategy[c] == "minmax":
-                scan[(c, "a")], scan[(c, "b")] = F.min(dbl(c)), F.max(dbl(c)) - F.min(dbl(c))
-        got = collect_aggregates(df, scan)
-        cols = [c for c in cols if got[(c, "n")] and got[(c, "odd")]]
+        got = numeric_stats(df, {c: dbl(c) for c in cols})
+        cols = [c for c in cols if got[c]["n"] and got[c]["odd"]]
         for c in cols:
             if strategy[c] not in STRATEGIES:
                 raise ValueError(f"unknown scaling strategy: {strategy[c]}")
         robust = [c for c in cols if strategy[c] == "robust"]
-        counts = {c: got[(c, "n")] for c in cols}
+        counts = {c: got[c]["n"] for c in cols}
         spread = quantiles(df, {c: dbl(c) for c in robust}, [0.25, 0.5, 0.75], counts=counts) if robust else {}
         ranked = [c for c in cols if strategy[c] == "quantile"]
-        k = max(1, min(self.n_quantiles, got["rows"]))
+        k = max(1, min(self.n_quantiles, df.count())) if ranked else 1
         probs = [i / (k - 1) for i in range(k)] if k > 1 else [0.0]
         grids = quantiles(df, {c: dbl(c) for c in ranked}, probs, counts=counts) if ranked else {}
         for c in cols:
-            if strategy[c] in ("standard", "minmax"):
-                self.scalers_[c] = (strategy[c], got[(c, "a")], got[(c, "b")] or 1.0)
+            s = got[c]
+            if strategy[c] == "standard":
+                self.scalers_[c] = ("standard", s["mean"], s["std_pop"] or 1.0)
+            elif strategy[c] == "minmax":
+                self.scalers_[c] = ("minmax", s["lo"], (s["hi"] - s["lo"]) or 1.0)
             elif strategy[c] == "robust":
                 q1, mid, q3 = spread[c]
                 self.scalers_[c] = ("robust", mid, (q3 - q1) or 1.0)

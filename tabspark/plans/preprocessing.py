@@ -7,7 +7,7 @@ from copy import deepcopy
 
 from pyspark.sql import DataFrame
 
-from tabspark.functions.lineage import checkpoint
+from tabspark.functions.lineage import written
 from tabspark.functions.types import q
 from tabspark.operators.stages import (DataCleaner, EncodingTransformer, FeatureScaler, FeatureTransformer,
                                        MissingValueTransformer, OutlierTransformer, RareCategoryTransformer)
@@ -20,6 +20,8 @@ COMPONENTS = {
     "encoder": EncodingTransformer, "outliers": OutlierTransformer, "transformations": FeatureTransformer,
     "scaler": FeatureScaler,
 }
+# Columns added by one stage beyond which its output is written before the next fit.
+WIDE = 100
 # Section names of the older configuration form.
 ALIASES = {"imputation": "missing", "encoding": "encoder", "scaling": "scaler"}
 
@@ -96,8 +98,10 @@ class PreprocessingPipeline:
     """fit_transform on training data, transform on any split; the target and the key travel in the row.
 
     ``component_registry`` adds or replaces stage classes (anything with fit/transform/get_reports).
-    With ``materialize``, the frame is checkpointed after a stage that dropped training rows, because every
-    later fit would otherwise repeat that stage's shuffle; all other stages are projections and need none.
+    With ``materialize``, the training frame is written to the shared folder after a stage that dropped rows,
+    because every later fit would otherwise repeat that stage's shuffle, and after one that added many columns
+    (a wide one-hot encoding), so that later fits read columns instead of evaluating hundreds of expressions.
+    All other stages are projections and need none.
     Reports are written under ``reports_dir`` when it is given.
     """
 
@@ -169,10 +173,10 @@ class PreprocessingPipeline:
             else:
                 stage.fit(df, target, key)
                 df = stage.transform(df)
-            if getattr(stage, "changes_rows", False):
-                rows_changed = True
-                if self.materialize:
-                    df = checkpoint(df)
+            changed = getattr(stage, "changes_rows", False)
+            rows_changed = rows_changed or changed
+            if self.materialize and stage is not self.steps_[-1][1] and (changed or len(df.columns) > before + WIDE):
+                df = written(df)
             self.tracker.log_step(name, before, len(self._features(df)), time.time() - started)
             for report_name, payload in stage.get_reports().items():
                 self.tracker.record(report_name, payload)

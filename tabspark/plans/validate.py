@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tabspark.functions.statistics import safe_corr
 from tabspark.functions.types import families, family_of, is_integer, numeric_columns, q
 from tabspark.operators.aggregate import collect_aggregates, small_frame
-from tabspark.operators.profiling import distinct_sketch, id_like_columns
+from tabspark.operators.columnwise import constant_columns, numeric_stats, value_profile
+from tabspark.operators.profiling import id_like_columns
 
 PASSED = "Passed"
 
@@ -81,23 +81,18 @@ class LeakageValidator:
         cols = [c for c in df.columns if c != target and c not in (exclude or []) and fams[c] != "other"]
         numeric = [c for c in numeric_columns(df) if c in cols] if fams[target] in ("numeric", "boolean") else []
         label = q(target).cast("double")
-        exprs: dict = {"__rows__": F.count(F.lit(1))}
-        for c in cols:
-            exprs[(c, "low")], exprs[(c, "high")] = F.min(q(c)), F.max(q(c))
-        exprs.update({(c, "corr"): safe_corr(q(c), label) for c in numeric})
-        countable = [c for c in cols if is_integer(df.schema[c].dataType) or fams[c] == "categorical"]
-        exprs.update({(c, "distinct"): distinct_sketch(df, c) for c in countable})
-        got = collect_aggregates(df, exprs)
-        if got["__rows__"] == 0:
+        rows = df.count()
+        if rows == 0:
             return report
-        report["near_constant_columns"] = [c for c in cols if got[(c, "low")] is None or got[(c, "low")] == got[(c, "high")]]
+        values = value_profile(df, cols)
+        corr = {c: s["corr"] for c, s in numeric_stats(df, {c: q(c) for c in numeric}, label).items()} if numeric else {}
+        report["near_constant_columns"] = constant_columns(df, values)
         varied = [c for c in cols if c not in report["near_constant_columns"]]
-        ids = id_like_columns(df, [c for c in countable if c in varied], self.cardinality_threshold,
-                              {c: got[(c, "distinct")] for c in countable}, got["__rows__"])
+        countable = [c for c in varied if is_integer(df.schema[c].dataType) or fams[c] == "categorical"]
+        ids = id_like_columns(df, countable, self.cardinality_threshold, {c: values[c]["distinct"] for c in countable}, rows)
         report["id_like_columns"] = [c for c in varied if c in ids]
         report["highly_correlated_columns"] = {
-            c: got[(c, "corr")] for c in varied
-            if got.get((c, "corr")) is not None and abs(got[(c, "corr")]) >= self.correlation_threshold}
+            c: corr[c] for c in varied if corr.get(c) is not None and abs(corr[c]) >= self.correlation_threshold}
         return report
 
 
