@@ -53,6 +53,10 @@ def prepare(train: DataFrame, held: DataFrame, model: str) -> None:
     run(plan.transform(held))
 
 
+# Still minutes long on one machine; run them by name.
+BY_NAME = ("wide_linear", "wide_neural_network")
+
+
 def main() -> None:
     memory = os.environ.get("BENCH_MEMORY", "16g")
     spark = build_session("bench", f"local[{CPUS}]", CPUS, **{"spark.driver.memory": memory})
@@ -85,7 +89,7 @@ def main() -> None:
     only = sys.argv[1:]
     cold, warm = {}, {}
     for name, work in queries.items():
-        if only and name not in only:
+        if name not in only if only else name in BY_NAME:
             continue
         for times in (cold, warm):
             started = time.time()

@@ -13,9 +13,20 @@ from tabspark.functions.statistics import ratio
 from tabspark.functions.types import q
 from tabspark.operators.aggregate import collect_aggregates
 
+# Columns stacked in one scan; more are done in several scans, each reading only its own columns.
+STACK = 80
 SKETCH_LG = 12  # 2^12 registers: a standard error of 1.6 percent
 
 
+def in_parts(columns, work) -> dict:
+    """The merged results of ``work`` on at most STACK columns (a dict or a list) at a time."""
+    names, out = list(columns), {}
+    for i in range(0, len(names), STACK):
+        part = names[i:i + STACK]
+        out.update(work({c: columns[c] for c in part} if isinstance(columns, dict) else part))
+    return out
+
+
 def _stack(df: DataFrame, exprs: list[Column], keep: dict[str, Column] | None = None) -> DataFrame:
     """(keep..., f, v): non-null values with their column number."""
     keep = keep or {}
@@ -37,6 +48,8 @@ def numeric_stats(df: DataFrame, columns: dict[str, Column], target: Column | No
 
     NaN counts as missing; corr is pairwise-complete and None without variance on either side.
     """
+    if len(columns) > STACK:
+        return in_parts(columns, lambda part: numeric_stats(df, part, target))
     exprs = [F.nanvl(c.cast("double"), F.lit(None).cast("double")) for c in columns.values()]
     v = F.col("v")
     aggs = {"n": F.count(v), "lo": F.min(v), "hi": F.max(v), "mean": F.avg(v), "std_pop": F.stddev_pop(v),
@@ -52,6 +65,8 @@ def numeric_stats(df: DataFrame, columns: dict[str, Column], target: Column | No
 
 def present_counts(df: DataFrame, columns: dict[str, Column]) -> dict[str, int]:
     """name -> values that are neither null nor NaN."""
+    if len(columns) > STACK:
+        return in_parts(columns, lambda part: present_counts(df, part))
     exprs = [F.nanvl(c.cast("double"), F.lit(None).cast("double")) for c in columns.values()]
     got = _by_column(_stack(df, exprs), list(columns), {"n": F.count("v")}, {"n": 0})
     return {c: s["n"] for c, s in got.items()}
@@ -59,6 +74,8 @@ def present_counts(df: DataFrame, columns: dict[str, Column]) -> dict[str, int]:
 
 def outside_counts(df: DataFrame, limits: dict[str, tuple[Column, float, float]]) -> dict[str, int]:
     """name -> values strictly outside (low, high)."""
+    if len(limits) > STACK:
+        return in_parts(limits, lambda part: outside_counts(df, part))
     low, high = ("array(" + ", ".join(f"{x[k]!r}D" for x in limits.values()) + ")" for k in (1, 2))
     rows = _stack(df, [c.cast("double") for c, _, _ in limits.values()])
     hit = F.expr(f"v < get({low}, f) OR v > get({high}, f)")
@@ -67,6 +84,8 @@ def outside_counts(df: DataFrame, limits: dict[str, tuple[Column, float, float]]
 
 def equal_counts(df: DataFrame, values: dict[str, tuple[Column, float]]) -> dict[str, int]:
     """name -> values equal to the given one."""
+    if len(values) > STACK:
+        return in_parts(values, lambda part: equal_counts(df, part))
     wanted = "array(" + ", ".join(f"{x!r}D" for _, x in values.values()) + ")"
     rows = _stack(df, [c.cast("double") for c, _ in values.values()])
     return {c: s["k"] for c, s in _by_column(rows, list(values), {"k": F.count_if(F.expr(f"v = get({wanted}, f)"))}, {"k": 0}).items()}
@@ -80,6 +99,8 @@ def value_profile(df: DataFrame, columns: list[str], distinct: bool = True) -> d
     """
     if not columns:
         return {}
+    if len(columns) > STACK:
+        return in_parts(columns, lambda part: value_profile(df, part, distinct))
     h = F.col("v")
     aggs = {"n": F.count(h), "xor": F.bit_xor(h), "lo": F.min(h), "hi": F.max(h)}
     if distinct:

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabspark.operators.aggregate import small_frame
-from tabspark.operators.columnwise import present_counts
+from tabspark.operators.columnwise import STACK, in_parts, present_counts
 
 ROWS_PER_COLUMN = 1_000_000     # direct path: values of one column that one task may sort ...
 CELLS_IN_TOTAL = 24_000_000     # ... and of all columns together
@@ -50,6 +50,9 @@ def order_statistics(df: DataFrame, columns: dict[str, Column], ranks, counts: d
     ``ranks`` maps (name, count) to the wanted ranks of that column; ``counts``, when already known,
     saves a scan.
     """
+    if len(columns) > STACK:
+        return in_parts(columns, lambda part: order_statistics(df, part, ranks, counts, rows_limit, cells_limit,
+                                                               resolve_limit, bounds, sample_rows))
     names = list(columns)
     data = df.select(*_present(columns))
     if counts is None:

@@ -236,3 +236,20 @@ def test_bounded_sample_is_exact_and_repeatable(spark):
 def test_checkpoint_cuts_the_lineage(spark):
     df = checkpoint(spark.range(10).withColumn("x", F.col("id") + 1))
     assert "ExistingRDD" in df._jdf.queryExecution().toString() and df.count() == 10
+
+
+def test_wide_tables_in_parts(spark):
+    """More columns than one stack holds: statistics and quantiles per column stay right."""
+    from tabspark.operators.columnwise import STACK, numeric_stats, outside_counts, value_profile
+
+    names = [f"c{i}" for i in range(STACK + 9)]
+    df = spark.range(50).select(*[F.expr(f"CAST((id * {i + 3}) % 37 AS DOUBLE) AS {c}") for i, c in enumerate(names)])
+    pdf = df.toPandas()
+    cols = {c: F.col(c) for c in names}
+    stats, mid = numeric_stats(df, cols), quantiles(df, cols, [0.5])
+    out = outside_counts(df, {c: (F.col(c), 5.0, 30.0) for c in names})
+    for c in names:
+        assert stats[c]["mean"] == pytest.approx(pdf[c].mean()) and stats[c]["n"] == 50
+        assert mid[c] == [pdf[c].median()]
+        assert out[c] == int(((pdf[c] < 5) | (pdf[c] > 30)).sum())
+    assert set(value_profile(df, names)) == set(names)
