@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabspark.llm.common import remainder, share, slices
 
-BITS, SHARDS = 18, 8
+BITS, SHARDS = 18, 4
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 #: Hashes of words that a worker keeps at hand.
 REMEMBERED = 400_000
@@ -53,7 +53,7 @@ class Features:
 class FollowTheRegularisedLeader:
     """Per-coordinate updates with l1 and l2 penalties."""
 
-    def __init__(self, size: int, rate: float = 0.5, beta: float = 1.0, l1: float = 0.05, l2: float = 0.1):
+    def __init__(self, size: int, rate: float = 4.0, beta: float = 1.0, l1: float = 0.01, l2: float = 0.01):
         self.z, self.n = np.zeros(size), np.zeros(size)
         self.rate, self.beta, self.l1, self.l2 = rate, beta, l1, l2
 
@@ -74,7 +74,7 @@ def logistic(v: float) -> float:
 
 
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
-          rows: int = 20_000, epochs: int = 3, bits: int = BITS) -> np.ndarray:
+          rows: int = 20_000, epochs: int = 5, bits: int = BITS) -> np.ndarray:
     """Weights (2^bits and the constant) from about `rows` labelled documents at most, drawn by a hash of the key."""
     marked = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg((F.avg(label) >= 0.5).cast("int").alias("label"))
     n = marked.count()
