@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabspark.llm.common import slices, vocabulary_file
+from tabspark.llm.common import ship, slices, vocabulary_file
 from tabspark.llm.encoder import encoder
 from tabspark.llm.packing import TOKENIZER
 
@@ -56,6 +56,7 @@ def attribute(docs: DataFrame, sections: str | None = None, key: str = "doc_id",
     """key, section (from 0), start, end, n_tokens, n_crossing (of these, tokens that cross its boundary); one row per section. No shuffle."""
     if rule not in ("first", "most"):
         raise ValueError(f"no such rule: {rule}")
+    ship(docs.sparkSession)
     with open(tokenizer, encoding="utf-8") as f:
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
     names = ["key", "section", "start", "end", "n_tokens", "n_crossing"]

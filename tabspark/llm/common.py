@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterator
+import tempfile
+import uuid
+import zipfile
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -31,14 +34,30 @@ def vocabulary_file(name: str, folder: str = VOCABULARIES) -> str:
     return os.path.join(folder, name)
 
 
-def over_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(work, schema)
-
-
 def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, once an application: their Python need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    target = os.path.join(tempfile.mkdtemp(prefix="tabspark-"), "tabspark.zip")
+    with zipfile.ZipFile(target, "w") as archive:
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(top)))
+    context.addPyFile(target)
+    _shipped.add(context.applicationId)
+
+
 def slices(rows: pa.RecordBatch, text: str, most_bytes: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of about `most_bytes` of text (a single longer text stays whole)."""
     start = size = 0
@@ -54,8 +73,6 @@ def slices(rows: pa.RecordBatch, text: str, most_bytes: int = 4_000_000) -> Iter
 
 def scratch_path(spark: SparkSession, what: str) -> str:
     """A new path in the shared folder; Spark makes the folder when it writes."""
-    import uuid
-
     return f"{shared_folder(spark).rstrip('/')}/llm-{what}-{uuid.uuid4().hex}"
 
 

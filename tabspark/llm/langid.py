@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabspark.llm.common import batch, discard, remainder, settled, share, slices, vocabulary_file
+from tabspark.llm.common import batch, discard, remainder, settled, share, ship, slices, vocabulary_file
 
 PIECES = "piece_bpe_32k.model"
 #: Longest piece used, in characters, and longest run of letters that is scored in one go.
@@ -194,6 +194,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     Fits on a sample of about `per_language` documents of each language, drawn by a hash of the key; whole texts are used. What reaches
     the driver is one row per piece of the vocabulary.
     """
+    ship(docs.sparkSession)
     pieces = vocabulary() if pieces is None else pieces
     docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
     sizes = {r["lang"]: r["n"] for r in docs.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -252,6 +253,7 @@ class Scorer:
 
 def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`key`, lang_pred, score (posterior under equal priors) and bits (per letter, null for `und`) of every row. One pass, no shuffle."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,6 +271,7 @@ def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: s
 
 def accepted(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """The rows, with all their columns, whose text is in one of the learned languages: not `und`, at most FOREIGN_BITS bits a letter."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabspark.llm.common import settled, slices, vocabulary_file
+from tabspark.llm.common import settled, ship, slices, vocabulary_file
 from tabspark.llm.encoder import encoder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -28,6 +28,7 @@ WINDOW, END = 2048, 1
 
 def encoded(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: str = vocabulary_file(TOKENIZER), end: int = END) -> DataFrame:
     """part, place (tokens before it in the part), key, tokens (little-endian, ids and `end`), width (bytes an id); one row per document."""
+    ship(docs.sparkSession)
     with open(tokenizer, encoding="utf-8") as f:
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
 

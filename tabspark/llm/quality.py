@@ -20,7 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabspark.llm.common import remainder, share, slices
+from tabspark.llm.common import remainder, share, ship, slices
 
 BITS, SHARDS = 18, 4
 TOKEN = re.compile(r"\w+|[^\w\s]+")
@@ -76,6 +76,7 @@ def logistic(v: float) -> float:
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
           rows: int = 20_000, epochs: int = 5, bits: int = BITS) -> np.ndarray:
     """Weights (2^bits and the constant) from about `rows` labelled documents at most, drawn by a hash of the key."""
+    ship(docs.sparkSession)
     marked = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg((F.avg(label) >= 0.5).cast("int").alias("label"))
     n = marked.count()
     drawn = marked.filter(share("key", 17) < rows / max(n, 1)).withColumn("order", F.xxhash64("key", F.lit(5)))
@@ -99,6 +100,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
 def score(docs: DataFrame, weights: np.ndarray, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`key`, score (0 to 1) and predicted of every row; one pass, no shuffle."""
+    ship(docs.sparkSession)
     shared, bits = docs.sparkSession.sparkContext.broadcast(weights), int(np.log2(len(weights) - 1))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tabspark.llm.common import settled
+from tabspark.llm.common import settled, ship
 
 BLOCK, QUERIES = 4096, 512
 #: Coordinates computed first, and the least cosine at which that pays.
@@ -131,7 +131,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector: s
         rows = df.filter(sound(F.col(vector)) & F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("id"), integers(F.col(vector), scale).alias("v"))
         return rows.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))
 
-    spark = vectors.sparkSession
+    ship(vectors.sparkSession)
     blocks = _blocks(clean(vectors), BLOCK, -F.col("norm"), "vectors")
     asked = _blocks(clean(queries), QUERIES, -F.col("norm"), "queries")
 
