@@ -9,6 +9,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tabspark.functions.lineage import shared_folder
@@ -61,7 +62,7 @@ def ship(spark: SparkSession) -> None:
 def slices(rows: pa.RecordBatch, text: str, most_bytes: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of about `most_bytes` of text (a single longer text stays whole)."""
     start = size = 0
-    lengths = pa.compute.binary_length(rows.column(text)).fill_null(0).to_pylist()
+    lengths = pc.binary_length(rows.column(text)).fill_null(0).to_pylist()
     for i, n in enumerate(lengths):
         if size + n > most_bytes and i > start:
             yield rows.slice(start, i - start)

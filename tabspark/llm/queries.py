@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabspark.llm import attribution, langid, neardup, packing, quality, topk
+from tabspark.llm import attribution, langid, neardup, packing, quality, secret_scan, topk
 from tabspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,4 +30,5 @@ register("op6_exact_top_k", topk.op6_exact_top_k, "embeddings", sql="""
     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
     SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 5""")
 register("op7_near_duplicates", neardup.op7_near_duplicates, "documents")
+register("op9_secrets", secret_scan.op9_secrets, "documents")
 register("op10_quality", quality.op10_quality, "documents", "labels")
