@@ -45,20 +45,22 @@ def matches(text: Column, pattern: str) -> Column:
         return F.struct((start + pair["size"]).alias("at"), F.concat(done["spans"], F.array(F.struct(start.alias("start"), (start + pair["size"]).alias("end")))).alias("spans"))
 
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
-    return F.aggregate(F.transform(found, lambda size, i: F.struct(between[i].alias("gap"), size.alias("size"))), zero, add)["spans"]
+    return F.aggregate(F.transform(found, lambda size, i: F.struct(F.get(between, i).alias("gap"), size.alias("size"))), zero, add)["spans"]
+
+
+def _of_kind(text: Column, kind: str) -> Column:
+    pattern, group, least = PATTERNS[kind]
+    quick = QUICK.get(kind, pattern)
+    spans = F.transform(matches(text, quick), lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), s["end"].alias("end")))
+    if kind not in QUICK:
+        sizes = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.length)
+        spans = F.filter(spans, lambda s, i: F.get(sizes, i) >= least)
+    return F.when(text.rlike(quick), spans).otherwise(F.array().cast(SPAN))
 
 
 def _patterned(text: Column) -> Column:
     """Spans of the fixed patterns, each with the number of its kind."""
-    every = []
-    for k, (kind, (pattern, group, least)) in enumerate(PATTERNS.items()):
-        spans = matches(text, QUICK.get(kind, pattern))
-        spans = F.transform(spans, lambda s, k=k: F.struct(s["start"].alias("start"), F.lit(k).alias("kind"), s["end"].alias("end")))
-        if kind not in QUICK:
-            sizes = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.length)
-            spans = F.filter(spans, lambda s, i, sizes=sizes: sizes[i] >= least)
-        every.append(F.when(text.rlike(QUICK.get(kind, pattern)), spans).otherwise(F.array().cast(SPAN)))
-    return F.array_sort(F.concat(*every))
+    return F.array_sort(F.concat(*[_of_kind(text, kind) for kind in PATTERNS]))
 
 
 def _long_tokens(text: Column) -> Column:
