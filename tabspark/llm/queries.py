@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabspark.llm import attribution, langid, neardup, packing, quality, secret_scan, topk
+from tabspark.llm import attribution, decontam, langid, licenses, neardup, packing, pii, quality, secret_scan, topk
 from tabspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,8 +20,10 @@ def register(name: str, operator: Callable[..., DataFrame], *tables: str, sql: s
 
 
 register("op1_language_id", langid.op1_language_id, "documents")
+register("op2_pii", pii.op2_pii, "documents")
 register("op3_token_counts", attribution.op3_token_counts, "documents")
 register("op4_packing", packing.op4_packing, "documents")
+register("op5_licenses", licenses.op5_licenses, "documents")
 register("op6_exact_top_k", topk.op6_exact_top_k, "embeddings", sql="""
     WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
                WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
@@ -30,5 +32,6 @@ register("op6_exact_top_k", topk.op6_exact_top_k, "embeddings", sql="""
     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
     SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 5""")
 register("op7_near_duplicates", neardup.op7_near_duplicates, "documents")
+register("op8_decontamination", decontam.op8_decontamination, "documents", "benchmark")
 register("op9_secrets", secret_scan.op9_secrets, "documents")
 register("op10_quality", quality.op10_quality, "documents", "labels")
