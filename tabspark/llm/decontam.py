@@ -95,5 +95,11 @@ def _placed(width: int):
     return lambda h, i: F.struct(F.lit(width).alias("width"), i.alias("at"), h.alias("hash"))
 
 
+def without_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
+    """The rows, with all their columns, of documents that leak no item; rows with a null id stay."""
+    bad = settled(leaks(docs, benchmark, key, **options).select(F.col(key).alias("bad")).distinct(), "leaks")
+    return docs.join(F.broadcast(bad) if bad.count() <= BROADCAST_IDS else bad, F.col(key) == F.col("bad"), "left_anti")
+
+
 def op8_decontamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return leaks(docs, benchmark)

@@ -311,5 +311,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     return out.withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True)))
 
 
+def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
+    """The rows, with all their columns, of the smallest id in each component; of rows with equal ids one stays (any, if they differ)."""
+    found = near_duplicates(docs, key, text, words, threshold)
+    gone = settled(found.filter(~F.col("kept")).select(F.col(key).alias("gone")).distinct(), "gone")
+    repeated = settled(found.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("gone")).agg(F.count("*").alias("n")).filter("n > 1").select("gone"), "repeated")
+    small = lambda ids: F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    kept = docs.join(small(gone), F.col(key).cast("bigint") == F.col("gone"), "left_anti")
+    if repeated.isEmpty():
+        return kept
+    again = F.col(key).cast("bigint") == F.col("gone")
+    return kept.join(small(repeated), again, "left_anti").unionByName(kept.join(small(repeated), again, "left_semi").dropDuplicates([key]))
+
+
 def op7_near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return near_duplicates(docs, words=3, threshold=(85, 100))
