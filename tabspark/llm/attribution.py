@@ -62,9 +62,9 @@ def attribute(docs: DataFrame, sections: str | None = None, key: str = "doc_id",
     names = ["key", "section", "start", "end", "n_tokens", "n_crossing"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(spec.value, spans=True)
+        encode = encoder(spec.value)
         for rows in batches:
-            for some in slices(rows, "text", 1_000_000):
+            for some in slices(rows, "text"):
                 texts, owner, found = some.column("text").to_pylist(), [], []
                 given = some.column("sections").to_pylist() if sections else [None] * len(texts)
                 for i, (t, (first, end), cuts) in enumerate(zip(texts, encode.located(texts), given)):

@@ -1,113 +1,92 @@
-"""Encoding whole texts with a public tokenizer, remembering the parts between spaces.
+"""Encoding whole texts with a public tokenizer.
 
-A byte-level tokenizer never puts a single space between two non-space characters inside a token, so a text may be cut
-before such spaces: the parts' tokens, one after another, are the text's tokens. Parts repeat, so each is encoded once.
-Tokenizers of other kinds encode every text in one go.
+A byte-level tokenizer whose ids follow the order of its merges is run through tiktoken with its own vocabulary as ranks: the ids
+are the same, at a third of the time. Its tokens are runs of bytes, so their lengths give their places in the text.
+Tokenizers of other kinds encode by themselves.
 """
 
 from __future__ import annotations
 
 import json
 import os
-import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
 
-#: Parts, and characters in them, that a worker keeps at hand; it starts anew beyond that.
-PARTS, CHARACTERS = 300_000, 8_000_000
-CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Fixed value: how byte-level tokenizers split a text before merging.
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-def parts_of(text: str) -> list[str]:
-    """The text, cut before single spaces; the spaces themselves are left out."""
-    parts = text.split(" ")
-    plain = all(parts[1:]) and not any(p[0].isspace() or p[-1].isspace() for p in parts if p)
-    return parts if plain else CUT.split(text)
+def byte_of_letter() -> dict[str, int]:
+    """The letters by which byte-level vocabularies write bytes: printable ones stand for themselves, the others follow from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
 class Encoder:
-    """Token ids, and if asked their spans, of texts. `spec` is the tokenizer's JSON."""
+    """Token ids, and their spans, of texts. `spec` is the tokenizer's JSON."""
 
-    def __init__(self, spec: str, spans: bool = False):
+    def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         rules = json.loads(spec)
-        before = rules.get("pre_tokenizer") or {}
-        self.by_part = before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and not rules.get("normalizer") and not rules.get("post_processor")
-        self.tokenizer, self.spans = Tokenizer.from_str(spec), spans
+        before, model = rules.get("pre_tokenizer") or {}, rules["model"]
+        self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() < 1 << 16 else "<u4")
-        self.known: dict = {}
-        self.size = 0
-
-    def _encode(self, texts: list[str]) -> list:
-        run = self.tokenizer.encode_batch if self.spans else self.tokenizer.encode_batch_fast
-        return [self._kept(e.ids, *zip(*e.offsets)) if self.spans and e.ids else self._kept(e.ids, (), ()) for e in run(texts, add_special_tokens=False)]
-
-    def _kept(self, ids, first=(), end=()):
-        ids = np.asarray(ids, self.dtype).tobytes()
-        return (ids, np.asarray(first, "<i4").tobytes(), np.asarray(end, "<i4").tobytes()) if self.spans else ids
-
-    def _encode_parts(self, parts: list[str]) -> list:
-        """Parts without white space at either end, each with its space: one text of them all, cut where they begin."""
-        e = self.tokenizer.encode(" " + " ".join(parts), add_special_tokens=False)
-        ids, spans = np.array(e.ids, self.dtype), np.array(e.offsets, "<i4")
-        begins = np.cumsum([0] + [len(p) + 1 for p in parts])
-        at = np.searchsorted(spans[:, 0], begins).tolist()
-        if not self.spans:
-            raw, w = ids.tobytes(), self.dtype.itemsize
-            return [raw[w * a:w * b] for a, b in zip(at, at[1:])]
-        return [self._kept(ids[a:b], spans[a:b, 0] - base, spans[a:b, 1] - base) for a, b, base in zip(at, at[1:], begins.tolist())]
-
-    def _learn(self, texts: list[list[str]]) -> None:
-        """Encode the parts that are not at hand: first parts as they are, under (part,), the others with their space."""
-        new = {p for parts in texts for p in parts[1:]} | {(parts[0],) for parts in texts}
-        fresh = new.difference(self.known)
-        if len(self.known) + len(fresh) > PARTS or self.size > CHARACTERS:
-            self.known, self.size, fresh = {}, 0, new
-        self.size += sum(map(len, fresh))
-        inner = [p for p in fresh if isinstance(p, str) and p and not p[0].isspace() and not p[-1].isspace()]
-        rest = list(fresh.difference(inner))
-        self.known.update(zip(rest, self._encode([p[0] if isinstance(p, tuple) else " " + p for p in rest])))
-        for k in range(0, len(inner), 5000):
-            self.known.update(zip(inner[k:k + 5000], self._encode_parts(inner[k:k + 5000])))
+        self.byte_level = before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and not rules.get("normalizer") and not rules.get("post_processor")
+        self.byte_level = self.byte_level and before.get("use_regex", True) and self._ranked(model)
+
+    def _ranked(self, model: dict) -> bool:
+        """Whether ids follow the order of merges, as ranks do; if so, makes the quick encoding."""
+        import tiktoken
+
+        letters, vocabulary = byte_of_letter(), model.get("vocab", {})
+        merged = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in model.get("merges", [])]
+        special = {t["content"] for t in json.loads(self.tokenizer.to_str()).get("added_tokens", [])}
+        plain = {t: i for t, i in vocabulary.items() if t not in special}
+        if merged != sorted(merged) or not all(c in letters for t in plain for c in t) or sum(len(t) == 1 for t in plain) != 256 or len(merged) + 256 != len(plain):
+            return False
+        ranks = {bytes(letters[c] for c in t): i for t, i in plain.items()}
+        self.quick = tiktoken.Encoding("quick", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+        self.widths = np.zeros(max(ranks.values()) + 1, "i8")
+        for t, i in ranks.items():
+            self.widths[i] = len(t)
+        return True
+
+    def _slow(self, texts: list[str]) -> list:
+        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian integers of `dtype`; none for null and empty texts."""
         texts = [t or "" for t in texts]
-        if not self.by_part:
-            return self._encode(texts)
-        every = [parts_of(t) for t in texts]
-        self._learn(every)
-        known = self.known
-        return [known[p[0],] + b"".join(map(known.__getitem__, p[1:])) for p in every]
+        if not self.byte_level:
+            return self._slow(texts)
+        kind, run = "H" if self.dtype.itemsize == 2 else "I", self.quick.encode_ordinary
+        return [array(kind, run(t)).tobytes() for t in texts]
 
     def located(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """First character and end of every token of each text. A token within one character has that character's span."""
         texts = [t or "" for t in texts]
-        read = lambda b: np.frombuffer(b, "<i4").astype("i8")
-        if not self.by_part:
-            return [(read(s), read(e)) for _, s, e in self._encode(texts)]
-        every = [parts_of(t) for t in texts]
-        self._learn(every)
+        if not self.byte_level:
+            spans = [np.array(e.offsets, "i8").reshape(-1, 2) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+            return [(s[:, 0], s[:, 1]) for s in spans]
         out = []
-        for parts in every:
-            got = [self.known[parts[0],], *map(self.known.__getitem__, parts[1:])]
-            n = np.fromiter((len(s) >> 2 for _, s, _ in got), "i8", len(got))
-            ahead = np.zeros(len(parts), "i8")
-            ahead[1:] = np.cumsum(np.fromiter(map(len, parts), "i8", len(parts)))[:-1] + np.arange(len(parts) - 1)
-            base = np.repeat(ahead, n)
-            out.append((read(b"".join(s for _, s, _ in got)) + base, read(b"".join(e for _, _, e in got)) + base))
+        for text, ids in zip(texts, self.ids(texts)):
+            ends = np.cumsum(self.widths[np.frombuffer(ids, self.dtype)])
+            starts = np.append(0, ends[:-1]) if len(ends) else ends
+            if not text.isascii():
+                raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), "u1")
+                place = np.cumsum((raw & 0xC0) != 0x80) - 1
+                starts, ends = place[starts], place[ends - 1] + 1
+            out.append((starts, ends))
         return out
 
 
 @lru_cache(maxsize=4)
-def _kept(spec: str, spans: bool) -> Encoder:
-    return Encoder(spec, spans)
-
-
-def encoder(spec: str, spans: bool = False) -> Encoder:
-    """One per worker process, so that its parts stay at hand from task to task."""
-    return _kept(spec, spans)
+def encoder(spec: str) -> Encoder:
+    """One per worker process, from task to task."""
+    return Encoder(spec)
