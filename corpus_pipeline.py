@@ -9,7 +9,7 @@ result; extra columns travel along.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tabspark.llm import decontam, langid, neardup, packing, secret_scan
 from tabspark.llm.common import settled, table
@@ -32,11 +32,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark, and n_chars follows; the documents stay."""
-    found = secret_scan.scan(docs, secret_scan.learn(docs))
-    clean = found.withColumn("text", secret_scan.redacted(F.col("text"), F.col("spans")))
-    if "n_chars" in docs.columns:
-        clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return clean.select(*docs.columns)
+    return secret_scan.without_secrets(docs, secret_scan.learn(docs), size="n_chars")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

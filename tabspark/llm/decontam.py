@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tabspark.llm.common import settled
+from tabspark.llm.common import fresh, settled
 
 WINDOW = 8
 #: Windows an alignment needs (all, where an item has fewer): 5 are 12 words in a row.
@@ -97,8 +97,9 @@ def _placed(width: int):
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """The rows, with all their columns, of documents that leak no item; rows with a null id stay."""
-    bad = settled(leaks(docs, benchmark, key, **options).select(F.col(key).alias("bad")).distinct(), "leaks")
-    return docs.join(F.broadcast(bad) if bad.count() <= BROADCAST_IDS else bad, F.col(key) == F.col("bad"), "left_anti")
+    name = fresh(docs, "bad")
+    bad = settled(leaks(docs, benchmark, key, **options).select(F.col(key).alias(name)).distinct(), "leaks")
+    return docs.join(F.broadcast(bad) if bad.count() <= BROADCAST_IDS else bad, F.col(key) == F.col(name), "left_anti")
 
 
 def op8_decontamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabspark.functions.lineage import checkpoint
-from tabspark.llm.common import settled, ship
+from tabspark.llm.common import fresh, settled, ship
 from tabspark.llm.components import components
 
 TREES, DEPTH, LEAST, REGION = 16, 12, 5, 16
@@ -314,13 +314,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
     """The rows, with all their columns, of the smallest id in each component; of rows with equal ids one stays (any, if they differ)."""
     found = near_duplicates(docs, key, text, words, threshold)
-    gone = settled(found.filter(~F.col("kept")).select(F.col(key).alias("gone")).distinct(), "gone")
-    repeated = settled(found.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("gone")).agg(F.count("*").alias("n")).filter("n > 1").select("gone"), "repeated")
+    name = fresh(docs, "gone")
+    gone = settled(found.filter(~F.col("kept")).select(F.col(key).alias(name)).distinct(), "gone")
+    repeated = settled(found.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias(name)).agg(F.count("*").alias("n")).filter("n > 1").select(name), "repeated")
     small = lambda ids: F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    kept = docs.join(small(gone), F.col(key).cast("bigint") == F.col("gone"), "left_anti")
+    again = F.col(key).cast("bigint") == F.col(name)
+    kept = docs.join(small(gone), again, "left_anti")
     if repeated.isEmpty():
         return kept
-    again = F.col(key).cast("bigint") == F.col("gone")
     return kept.join(small(repeated), again, "left_anti").unionByName(kept.join(small(repeated), again, "left_semi").dropDuplicates([key]))
 
 

@@ -158,7 +158,7 @@ WAYS = {"mail": _mail, "address": _address, "date": _date, "ssn": _ssn, "phone":
 
 def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """The rows with `text` rewritten and `pii`, an array of (kind, start, end, pseudonym) for every value that was replaced."""
-    source = F.coalesce(F.col(text), F.lit(""))
+    source = F.coalesce(F.col("source"), F.lit(""))
     pattern = _pattern()
 
     def treat(m: Column) -> Column:
@@ -170,7 +170,7 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
 
     some = source.rlike(r"[0-9@]")
     found = F.when(some, F.transform(F.regexp_extract_all(source, F.lit(pattern), F.lit(0)), treat)).otherwise(F.array().cast("array<struct<kind:string,old:string,new:string>>"))
-    rows = docs.withColumn("found", found).withColumn("between", F.when(F.size("found") > 0, F.split(source, pattern, -1)))
+    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("source")).withColumn("found", found).withColumn("between", F.when(F.size("found") > 0, F.split(source, pattern, -1)))
 
     def add(done: Column, pair: Column) -> Column:
         start = done["at"] + F.length(pair["gap"])
@@ -185,7 +185,9 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     joined = F.array_join(F.flatten(F.transform("between", lambda gap, i: F.array(gap, F.coalesce(F.get("found", i)["new"], F.lit(""))))), "")
     none = F.array().cast("array<struct<kind:string,start:int,end:int,pseudonym:string>>")
     any_ = F.size("found") > 0
-    return rows.withColumn("pii", F.when(any_, kept).otherwise(none)).withColumn(text, F.when(any_, joined).otherwise(F.col(text))).drop("found", "between")
+    new = F.when(any_, joined).otherwise(F.col("source"))
+    kept_columns = [c for c in docs.columns if c != "pii"]
+    return rows.select(*[(new if c == text else F.col("row")[c]).alias(c) for c in kept_columns], F.when(any_, kept).otherwise(none).alias("pii"))
 
 
 def op2_pii(spark: SparkSession, docs: DataFrame, key: str = "a key for tests only") -> DataFrame:

@@ -134,6 +134,14 @@ def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     return F.when(F.size(spans) == 0, text).otherwise(F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))))
 
 
+def without_secrets(docs: DataFrame, model: list[float], text: str = "text", size: str | None = None) -> DataFrame:
+    """The rows with all their columns, secrets replaced by a mark; `size` names a column that holds the text's length and follows it."""
+    found = scan(docs.select(F.struct("*").alias("row"), F.col(text).alias("text")), model)
+    found = found.withColumn("clean", redacted(F.col("text"), F.col("spans")))
+    length = lambda: F.length("clean").cast(docs.schema[size].dataType)
+    return found.select(*[(F.col("clean") if c == text else length() if c == size else F.col("row")[c]).alias(c) for c in docs.columns])
+
+
 def op9_secrets(spark: SparkSession, docs: DataFrame) -> DataFrame:
     found = scan(docs.select("doc_id", "text"), learn(docs))
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("bigint").alias(f"n_{KINDS[k]}")

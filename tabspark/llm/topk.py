@@ -11,7 +11,8 @@ one score per query, kept in the blocks themselves, is passed along. Ties go to
 
 Defined results: null vectors and vectors with a null, NaN or infinite component take no part; vectors meet queries of the same dimension
 only; rows with the same id are all candidates, but never for a query with that id; a query id that repeats gives the result of each of its
-rows; a null id takes no part; empty tables give no row. Products are exact while they stay within 64 bits (past 2^53 Python's integers are used).
+rows; a null id takes no part; empty tables give no row. Products are exact (past 2^53 in Python's integers); beyond 64 bits they
+are the nearest such number.
 """
 
 from __future__ import annotations
@@ -85,7 +86,8 @@ def products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     if most < 2.0 ** 53:
         return (queries @ vectors.T).astype("i8")
     whole = lambda m: np.array([[int(x) for x in row] for row in m], object).reshape(m.shape)
-    return (whole(queries) @ whole(vectors).T).astype("i8")
+    exact = whole(queries) @ whole(vectors).T
+    return np.array([[max(-1 << 63, min((1 << 63) - 1, x)) for x in row] for row in exact], "i8").reshape(exact.shape)
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
