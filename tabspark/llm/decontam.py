@@ -46,12 +46,17 @@ def windows(words: str, width: str) -> Column:
 
 
 def _items(benchmark: DataFrame, key: str, text: str, window: int) -> DataFrame:
-    """item, raw, words, width, total (windows used), and per window its place and hash."""
+    """item, form, raw, words, width, and per window its place and hash.
+
+    Form 1 has the first word as a name, which it is taken for where the item stands inside of a sentence; its other windows are those of form 0.
+    """
     rows = benchmark.filter(F.col(key).isNotNull()).select(F.col(key).alias("item"), raw_words(F.col(text)).alias("raw"))
+    named = rows.filter("size(raw) > 0 AND raw[0] >= 'A'").withColumn("raw", F.expr("concat(array(concat('@', raw[0])), slice(raw, 2, size(raw)))"))
+    rows = rows.withColumn("form", F.lit(0)).unionByName(named.withColumn("form", F.lit(1)))
     rows = rows.withColumn("words", template("raw")).filter(F.size("words") > 0).withColumn("width", F.least(F.lit(window), F.size("words")))
     literal = F.expr(f"size(filter(slice(words, w.pos + 1, width), x -> x NOT IN ('#', '%', '@'))) >= {window // 2}")
     placed = rows.withColumn("w", F.explode(F.expr("transform(sequence(0, size(words) - width), i -> named_struct('pos', i, 'hash', xxhash64(slice(words, i + 1, width))))")))
-    return placed.filter(literal).select("item", "raw", "words", "width", F.col("w.pos").alias("pos"), F.col("w.hash").alias("hash"))
+    return placed.filter(literal).filter("form = 0 OR w.pos = 0").select("item", "form", "raw", "words", "width", F.col("w.pos").alias("pos"), F.col("w.hash").alias("hash"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text",
@@ -77,11 +82,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     placed = near.select("copy", F.explode(F.flatten(F.array(*every))).alias("w")).select("copy", "w.*")
     met = placed.join(items.select("item", "pos", "width", "hash"), ["width", "hash"])
     aligned = met.groupBy("copy", "item", (F.col("at") - F.col("pos")).alias("shift")).agg(F.collect_set("pos").alias("at"), F.max("width").alias("width"))
-    totals = items.groupBy("item").agg(F.countDistinct("pos").alias("total"), F.first("raw").alias("item_raw"), F.first("words").alias("item_words"))
-    held = aligned.join(totals, "item").filter(F.size("at") >= F.least(F.lit(enough), F.col("total"))).join(near.select("copy", "doc", "raw"), "copy")
-    covered = F.expr("array_sort(array_distinct(flatten(transform(at, p -> sequence(p, p + width - 1)))))")
-    slots = F.expr("transform(filter(covered, p -> item_words[p] IN ('#', '%', '@')), p -> named_struct('asked', item_raw[p], 'given', raw[p + shift]))")
-    judged = held.withColumn("covered", covered).withColumn("slots", slots)
+    totals = items.groupBy("item").agg(F.countDistinct("pos").alias("total"), F.min_by("raw", "form").alias("item_raw"), F.min_by("words", "form").alias("item_words"))
+    held = aligned.join(totals, "item").filter(F.size("at") >= F.least(F.lit(enough), F.col("total"))).join(near, "copy")
+    # slots between the first and the last word of the alignment that have the same type on both sides
+    span = "sequence(array_min(at), array_max(at) + width - 1)"
+    slots = F.expr(f"transform(filter({span}, p -> item_words[p] IN ('#', '%', '@') AND words[p + shift] = item_words[p]), p -> named_struct('asked', item_raw[p], 'given', raw[p + shift]))")
+    judged = held.withColumn("slots", slots)
     consistent = F.size(F.array_distinct("slots")) == F.size(F.array_distinct(F.transform("slots", lambda s: s["asked"])))
     verbatim = F.forall("slots", lambda s: s["asked"] == s["given"])
     good = judged.filter(consistent).select("doc", "item", F.struct(F.size("at").cast("bigint").alias("n_windows"), (-(F.col("shift") + F.array_min("at"))).cast("bigint").alias("before"),
