@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -108,9 +107,4 @@ def run_folder(spark: SparkSession) -> str:
     """A new folder for one run, in the cluster's shared folder (a temporary one in local runs)."""
     from tabspark.functions.lineage import shared_folder
 
-    base = shared_folder(spark)
-    if "://" in base:
-        import uuid
-        return f"{base.rstrip('/')}/run-{uuid.uuid4().hex}"
-    os.makedirs(base, exist_ok=True)
-    return tempfile.mkdtemp(prefix="run-", dir=base)
+    return f"{shared_folder(spark).rstrip('/')}/run-{uuid.uuid4().hex}"

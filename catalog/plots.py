@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.base import CAT, COLUMNS, KEY, NUM, TARGET, applications, query, r, sql, stack
+from catalog.edges import density_sql
 from catalog.exploration import _CLASSES, _COUNTS, _IMPORTANCE, _IQR, _LIM, _TOP, _Z, HEATMAP_SQL
 from tabspark.operators import plotdata as D
+from tabspark.operators.eda import heatmap, importance
 
 _BOXED = ["income", "credit", "annuity", "age_days"]
 
@@ -27,10 +29,10 @@ _B = 40
 _RANGE = "SELECT feature, min(v) AS lo, (max(v) - min(v)) / %d AS w FROM num GROUP BY feature HAVING max(v) > min(v)" % _B
 
 
-@query("d52_plot_histogram", sql(f"""SELECT feature, bin, {r('lo + bin * w', 'low', 3)}, {r('lo + (bin + 1) * w', 'high', 3)}, n FROM (
-  SELECT s.feature, CAST(least(floor((v - lo) / w), {_B - 1}) AS INT) AS bin, any_value(lo) AS lo, any_value(w) AS w, count(*) AS n
+@query("d52_plot_histogram", sql(f"""SELECT feature, bin, {r('lo + bin * w', 'low')}, {r('lo + (bin + 1) * w', 'high')}, n FROM (
+  SELECT s.feature, CAST(least(floor((v - lo) / w), {_B - 1}) AS BIGINT) AS bin, any_value(lo) AS lo, any_value(w) AS w, count(*) AS n
   FROM num s JOIN rng ON s.feature = rng.feature WHERE v IS NOT NULL AND s.feature IN ('income', 'credit', 'annuity', 'age_days')
-  GROUP BY 1, 2)""", rng=_RANGE), digits=3)
+  GROUP BY 1, 2)""", rng=_RANGE))
 def d52(spark, sf):
     return D.histogram(applications(spark, sf), _BOXED, _B)
 
@@ -51,9 +53,12 @@ def d52b(spark, sf):
     return D.box_stats(applications(spark, sf), _BOXED)
 
 
-@query("d52_plot_kde")
+_BOXES = "SELECT feature, v, y FROM num WHERE feature IN ('income', 'credit', 'annuity', 'age_days')"
+
+
+@query("d52_plot_kde", sql(density_sql("boxes"), boxes=_BOXES), digits=3)
 def d52k(spark, sf):
-    return D.kde(applications(spark, sf), _BOXED)
+    return D.kde(applications(spark, sf), _BOXED).withColumn("density", F.col("density") * 1e9)
 
 
 @query("d53_plot_category_counts", sql("SELECT feature, value, n, CAST(position AS INT) AS position FROM top WHERE position <= 20",
@@ -67,9 +72,9 @@ def d54(spark, sf):
     return D.box_stats(applications(spark, sf), _BOXED, TARGET)
 
 
-@query("d54_plot_kde_by_target")
+@query("d54_plot_kde_by_target", sql(density_sql("boxes", ", y"), boxes=_BOXES), digits=3)
 def d54k(spark, sf):
-    return D.kde(applications(spark, sf), _BOXED, TARGET)
+    return D.kde(applications(spark, sf), _BOXED, TARGET).withColumn("density", F.col("density") * 1e9)
 
 
 @query("d55_plot_category_vs_target", sql(f"""SELECT feature, value, n, n0 AS n_negative, n1 AS n_positive, {r('rate', 'target_rate')},
@@ -80,12 +85,12 @@ def d55(spark, sf):
 
 @query("d56_plot_corr_heatmap", HEATMAP_SQL)
 def d56(spark, sf):
-    return D.correlation_heatmap(applications(spark, sf), NUM, 5)
+    return heatmap(applications(spark, sf), NUM, 5)
 
 
 @query("d57_plot_importance", sql("SELECT feature, mutual_info FROM ranking ORDER BY mutual_info DESC, feature LIMIT 3", **_IMPORTANCE))
 def d57(spark, sf):
-    return D.importance_bars(applications(spark, sf), TARGET, 3)
+    return importance(applications(spark, sf), TARGET, 3)
 
 
 @query("d58_plot_projection")

@@ -4,13 +4,30 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from tabspark.functions.types import q
 
 # The floors that keep logarithms and powers defined.
 POSITIVE_FLOOR = 1e-9
 LOG1P_FLOOR = -1.0 + 1e-9
 
 
+def missing(df: DataFrame, name: str) -> Column:
+    """Null, or NaN in a float column."""
+    if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
+        return q(name).isNull() | F.isnan(q(name))
+    return q(name).isNull()
+
+
+def without_nan(df: DataFrame) -> DataFrame:
+    """NaN of float columns as null, so that all operators see one kind of missing value; one projection."""
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    if not floats:
+        return df
+    return df.select([F.when(~F.isnan(q(c)), q(c)).alias(c) if c in floats else q(c) for c in df.columns])
+
+
 def nan_to_null(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tabspark.functions.scalars import without_nan
 from tabspark.functions.statistics import adjusted_kurtosis, adjusted_skew, ratio
 from tabspark.functions.types import categorical_columns, dbl, numeric_columns, q
 from tabspark.operators.aggregate import class_values, collect_aggregates, long_values, per_feature, small_frame, value_counts
@@ -179,7 +180,7 @@ def feature_insights(df: DataFrame, columns: list[str]) -> DataFrame:
     return numeric_univariate(df, columns).select("feature", "mean", "skew", "kurtosis")
 
 
-def importance(df: DataFrame, target: str, top_n: int | None = 30) -> DataFrame:
+def importance(df: DataFrame, target: str, top_n: int | None = None) -> DataFrame:
     """(feature, mutual_info) of all columns: numeric nulls take the median, a categorical null is a level."""
     numeric, categorical = numeric_columns(df, [target]), categorical_columns(df, [target])
     known = df.filter(q(target).isNotNull())
@@ -220,6 +221,7 @@ def spearman(df: DataFrame, columns: list[str]) -> DataFrame:
 
     Columns without nulls share one ranking. Ranks live per distinct value and are looked up per row.
     """
+    df = without_nan(df)
     nulls = collect_aggregates(df, {c: F.count_if(q(c).isNull()) for c in columns})
     full = [c for c in columns if nulls[c] == 0]
     parts = []
@@ -237,7 +239,7 @@ def spearman(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _rank_correlation(df: DataFrame, columns: list[str]) -> DataFrame:
-    narrow = df.select(*[dbl(c).alias(c) for c in columns])
+    narrow = df.select(*[(dbl(c) + F.lit(0.0)).alias(c) for c in columns])  # -0.0 and 0.0 are one value, also as text
     counts = (long_values(narrow, {c: q(c) for c in columns}, "double").groupBy("feature", "value")
               .agg(F.count(F.lit(1)).alias("n")).persist())
     sizes = {r["feature"]: r for r in counts.groupBy("feature").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("t")).collect()}
@@ -436,10 +438,13 @@ def summary_report(df: DataFrame, target: str, mi: DataFrame) -> DataFrame:
 
 
 class EDAOrchestrator:
-    """Runs every exploration section and returns the named result DataFrames."""
+    """Runs every exploration section and returns the named result DataFrames.
 
-    def __init__(self, target_column: str, max_numeric: int | None = 15, max_categorical: int | None = 10,
-                 max_heatmap: int | None = 30):
+    All columns take part; the limits are for callers who want figures of the first few only.
+    """
+
+    def __init__(self, target_column: str, max_numeric: int | None = None, max_categorical: int | None = None,
+                 max_heatmap: int | None = None):
         self.target, self.max_numeric, self.max_categorical = target_column, max_numeric, max_categorical
         self.max_heatmap = max_heatmap
 
@@ -466,7 +471,10 @@ class EDAOrchestrator:
             "target": lambda: target_eda(df, self.target),
             "target_distribution": lambda: plotdata.target_distribution(df, self.target),
             "box": lambda: plotdata.box_stats(df, first_num),
+            "box_by_target": lambda: plotdata.box_stats(df, first_num, self.target),
             "histogram": lambda: plotdata.histogram(df, first_num),
+            "density": lambda: plotdata.kde(df, first_num),
+            "density_by_target": lambda: plotdata.kde(df, first_num, self.target),
             "categories": lambda: plotdata.category_counts(df, first_cat),
             "numeric_bivariate": lambda: numeric_bivariate(df, self.target, first_num),
             "target_rates": lambda: target_rates(df, self.target, first_cat),
@@ -479,7 +487,7 @@ class EDAOrchestrator:
             "target_relationships": lambda: target_relationships(df, self.target, first_num, first_cat),
             "feature_insights": lambda: feature_insights(df, first_num),
         }
-        needs_num = {"box", "histogram", "numeric_bivariate", "heatmap", "projection", "feature_insights"}
+        needs_num = {"box", "box_by_target", "histogram", "density", "density_by_target", "numeric_bivariate", "heatmap", "projection", "feature_insights"}
         needs_cat = {"categories", "target_rates", "category_vs_target"}
         chosen = sections or tuple(makers)
         return {s: makers[s]() for s in chosen

@@ -6,7 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabspark.operators.sampling import bounded_sample
 
@@ -62,13 +62,11 @@ class IsolationForest:
         data = df.select(F.col(key).alias("_key"), *[c.cast("double").alias(f"x{i}") for i, c in enumerate(columns.values())])
         rows = data.count()
         self.psi = min(self.sample, rows)
-        if rows >= self.trees * self.psi:
-            drawn = bounded_sample(data, self.trees * self.psi, "_key", self.seed)
-            drawn = drawn.withColumn("tree", F.pmod(F.xxhash64("_key", F.lit(self.seed + 1)), F.lit(self.trees)).cast("int"))
-        else:  # fewer rows than trees x sample (a bounded number): every tree draws its own share of all rows
-            each = data.select("*", F.explode(F.sequence(F.lit(0), F.lit(self.trees - 1))).alias("tree"))
-            roll = F.pmod(F.xxhash64("_key", "tree", F.lit(self.seed)), F.lit(1_000_000))
-            drawn = each.filter(roll < F.lit(int(1_000_000 * self.psi / max(1, rows))))
+        # a pool of at most trees x sample rows; from it every tree takes the sample with the smallest hashes of (key, tree)
+        pool = bounded_sample(data, self.trees * self.sample, "_key", self.seed)
+        each = pool.select("*", F.explode(F.sequence(F.lit(0), F.lit(self.trees - 1))).alias("tree"))
+        roll = Window.partitionBy("tree").orderBy(F.xxhash64("_key", "tree", F.lit(self.seed)), "_key")
+        drawn = each.withColumn("_r", F.row_number().over(roll)).filter(F.col("_r") <= self.psi).drop("_r")
         nodes = drawn.groupBy("tree").applyInPandas(_grow(len(self.columns), self.seed), NODES).collect()
         self.model = self._pack(nodes)
         return self

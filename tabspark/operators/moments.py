@@ -55,7 +55,7 @@ def correlation_pairs(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     if len(names) < 2:
         return small_frame(spark, [], "feature_i string, feature_j string, corr double")
     if len(names) <= NATIVE_COLUMNS:
-        narrow = df.select(*[c.cast("double").alias(f"x{i}") for i, c in enumerate(columns.values())])
+        narrow = df.select(*[F.nanvl(c.cast("double"), F.lit(None).cast("double")).alias(f"x{i}") for i, c in enumerate(columns.values())])
         pairs = {f"{i}:{j}": (i, j) for i, j in itertools.combinations(range(len(names)), 2)}
         rows = per_feature(narrow, list(pairs), lambda p: {
             "corr": safe_corr(F.col(f"x{pairs[p][0]}"), F.col(f"x{pairs[p][1]}"))})

@@ -4,20 +4,19 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tabspark.functions.scalars import keep_null
+from tabspark.functions.scalars import keep_null, nan_to_null
 from tabspark.functions.types import categorical_columns, dbl, q
 from tabspark.operators.aggregate import class_values, collect_aggregates, long_values, per_feature, small_frame, value_counts
-from tabspark.operators.eda import (PCAModel, heatmap, importance, outlier_limits, target_eda, top_categories, _flags)
+from tabspark.operators.eda import PCAModel, outlier_limits, target_eda, top_categories, _flags
 from tabspark.operators.profiling import missing_profile
 from tabspark.operators.quantiles import quantiles
 from tabspark.operators.sampling import bounded_sample
 
-KDE_BINS = 4096
 KDE_POINTS = 200
-MAX_BINS = 4096
+# Bins of a density are this part of its bandwidth wide; only filled bins are kept.
+KDE_FINE = 8
 
 
 def missing_top(df: DataFrame, top_n: int = 20) -> DataFrame:
@@ -37,7 +36,7 @@ def _bins(n: int, lo: float, hi: float, q1: float, q3: float) -> int:
     sturges = (hi - lo) / (math.log2(n) + 1.0)
     fd = 2.0 * (q3 - q1) / n ** (1.0 / 3.0)
     width = min(fd, sturges) if fd > 0 else sturges
-    return max(1, min(MAX_BINS, math.ceil((hi - lo) / width)))
+    return max(1, min(1 << 53, math.ceil((hi - lo) / width)))
 
 
 def histogram(df: DataFrame, features: list[str], bins: int | None = None) -> DataFrame:
@@ -53,11 +52,11 @@ def histogram(df: DataFrame, features: list[str], bins: int | None = None) -> Da
         k = bins if bins is not None else _bins(got[(c, "n")], lo, hi, *quart[c])
         width = (hi - lo) / k if hi > lo else 1.0
         plan.append((c, lo, width))
-        assigned[c] = keep_null(q(c), F.least(F.floor((dbl(c) - F.lit(lo)) / F.lit(width)), F.lit(k - 1)).cast("int"))
+        assigned[c] = keep_null(q(c), F.least(F.floor((dbl(c) - F.lit(lo)) / F.lit(width)), F.lit(k - 1)).cast("bigint"))
     schema = "feature string, origin double, width double"
     if not plan:
-        return small_frame(df.sparkSession, [], "feature string, bin int, low double, high double, n bigint")
-    counts = (long_values(df, assigned, "int").filter(F.col("value").isNotNull())
+        return small_frame(df.sparkSession, [], "feature string, bin bigint, low double, high double, n bigint")
+    counts = (long_values(df, assigned, "bigint").filter(F.col("value").isNotNull())
               .groupBy("feature", F.col("value").alias("bin")).agg(F.count(F.lit(1)).alias("n")))
     return (counts.join(F.broadcast(small_frame(df.sparkSession, plan, schema)), "feature")
             .select("feature", "bin", (F.col("origin") + F.col("bin") * F.col("width")).alias("low"),
@@ -94,34 +93,35 @@ def box_stats(df: DataFrame, features: list[str], target: str | None = None) ->
 
 
 def kde(df: DataFrame, features: list[str], target: str | None = None) -> DataFrame:
-    """(feature[, target_value], x, density): Gaussian density (Scott's rule) from a fine histogram of all rows.
+    """(feature[, target_value], x, density): Gaussian density (Scott's rule) of all rows at KDE_POINTS places.
 
-    The executors reduce the rows to at most 4096 bins per curve; only those are smoothed.
+    Rows are folded into bins of an eighth of the bandwidth, so far values do not coarsen them; of these only
+    the filled ones exist, and each adds its share to the places on the executors.
     """
     classes = [None] if target is None else class_values(df, target)
-    curves = {f"{i}": (c, k, dbl(c) if k is None else F.when(q(target) == F.lit(k), dbl(c)))
+    curves = {f"{i}": (c, k, nan_to_null(dbl(c)) if k is None else F.when(q(target) == F.lit(k), nan_to_null(dbl(c))))
               for i, (c, k) in enumerate((c, k) for c in features for k in classes)}
     got = collect_aggregates(df, {(i, s): f for i, (_, _, e) in curves.items() for s, f in
                                   (("n", F.count(e)), ("lo", F.min(e)), ("hi", F.max(e)),
                                    ("s", F.when(F.count(e) > 1, F.stddev_samp(e))))})
     live = {i: v for i, v in curves.items() if got[(i, "s")]}
-    width = {i: (got[(i, "hi")] - got[(i, "lo")]) / KDE_BINS for i in live}
-    rows = []
-    if live:
-        cells = long_values(df, {i: keep_null(e, F.least(F.floor((e - F.lit(got[(i, "lo")])) / F.lit(width[i])), F.lit(KDE_BINS - 1)))
-                                 for i, (_, _, e) in live.items()}, "int")
-        counts = cells.filter(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
-        hist = {i: np.zeros(KDE_BINS) for i in live}
-        for r in counts.collect():  # at most 4096 rows per curve
-            hist[r["feature"]][r["value"]] = r["n"]
-        for i, (c, k, _) in live.items():
-            n, lo, hi, s = (got[(i, f)] for f in ("n", "lo", "hi", "s"))
-            h = s * n ** (-1.0 / 5.0)
-            centers = lo + (np.arange(KDE_BINS) + 0.5) * width[i]
-            xs = np.linspace(lo - 3 * h, hi + 3 * h, KDE_POINTS)
-            d = np.exp(-0.5 * ((xs[:, None] - centers[None, :]) / h) ** 2) @ hist[i] / (n * h * math.sqrt(2 * math.pi))
-            rows += [(c, None if k is None else str(k), float(x), float(v)) for x, v in zip(xs, d)]
-    out = small_frame(df.sparkSession, rows, "feature string, target_value string, x double, density double")
+    shape = "feature string, name string, target_value string, n bigint, origin double, last double, h double"
+    rows = [(i, c, None if k is None else str(k), got[(i, "n")], got[(i, "lo")], got[(i, "hi")], got[(i, "s")] * got[(i, "n")] ** -0.2)
+            for i, (c, k, _) in live.items()]
+    plan = small_frame(df.sparkSession, rows, shape)
+    nothing = small_frame(df.sparkSession, [], "feature string, value bigint")
+    cells = long_values(df, {i: F.floor((e - F.lit(got[(i, "lo")])) / F.lit(r[6] / KDE_FINE)) for (i, (_, _, e)), r in zip(live.items(), rows)},
+                        "bigint") if live else nothing
+    filled = cells.filter(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("m"))
+    low = F.col("origin") - 3 * F.col("h")
+    step = (F.col("last") + 3 * F.col("h") - low) / F.lit(KDE_POINTS - 1)
+    each = filled.join(F.broadcast(plan), "feature").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(KDE_POINTS - 1))))
+    away = (low + F.col("i") * step - F.col("origin") - (F.col("value") + 0.5) * F.col("h") / F.lit(float(KDE_FINE))) / F.col("h")
+    sums = each.groupBy("feature", "i").agg(F.sum(F.col("m") * F.exp(-0.5 * away * away)).alias("t"))
+    out = sums.join(F.broadcast(plan), "feature").select(
+        F.col("name").alias("feature"), "target_value", (low + F.col("i") * step).alias("x"),
+        (F.col("t") / (F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi)))).alias("density"))
+    out = out.orderBy("feature", "target_value", "x")
     return out if target else out.drop("target_value")
 
 
@@ -142,27 +142,21 @@ def category_vs_target(df: DataFrame, target: str, features: list[str] | None =
                     F.lit(overall).cast("double").alias("global_rate")))
 
 
-def correlation_heatmap(df: DataFrame, columns: list[str] | None = None, top_n: int = 20) -> DataFrame:
-    return heatmap(df, columns, top_n)
-
-
-def importance_bars(df: DataFrame, target: str, top_n: int = 30) -> DataFrame:
-    return importance(df, target, top_n)
-
-
-def projection_points(df: DataFrame, target: str, key: str, columns: list[str], points: int = 5000, seed: int = 42) -> DataFrame:
-    """(key, target, pc1, pc2): a bounded sample of the projection of all complete rows."""
+def projection_points(df: DataFrame, target: str, key: str, columns: list[str], points: int | None = None, seed: int = 42) -> DataFrame:
+    """(key, target, pc1, pc2) of all complete rows; ``points`` asks for a sample of so many."""
     complete = df.na.drop("any", subset=columns)
     model = PCAModel(2).fit(complete, columns)
-    return model.transform(bounded_sample(complete, points, key, seed), [key, target])
+    return model.transform(complete if points is None else bounded_sample(complete, points, key, seed), [key, target])
 
 
-def outlier_points(df: DataFrame, feature: str, key: str, target: str | None = None, inliers: int = 5000,
+def outlier_points(df: DataFrame, feature: str, key: str, target: str | None = None, inliers: int | None = None,
                    seed: int = 42, order: Column | None = None) -> DataFrame:
-    """(key, value[, target], outlier): every outlier and a bounded sample of the other rows."""
+    """(key, value[, target], outlier) of all rows; ``inliers`` asks for a sample of so many of the rows that are none."""
     lim = outlier_limits(df, [feature])[feature]
     iqr, z = _flags(feature, lim, 3.0)
     rows = df.filter(q(feature).isNotNull()).select(
         q(key).alias(key), dbl(feature).alias("value"), *([q(target).alias(target)] if target else []), (iqr | z).alias("outlier"))
+    if inliers is None:
+        return rows
     calm = bounded_sample(rows.filter(~F.col("outlier")), inliers, key, seed, order)
     return rows.filter("outlier").unionByName(calm)

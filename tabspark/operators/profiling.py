@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tabspark.functions.statistics import ratio
+from tabspark.functions.scalars import missing, without_nan
 from tabspark.functions.types import categorical_columns, dbl, families, numeric_columns, q
 from tabspark.operators.aggregate import collect_aggregates, long_values, per_feature, small_frame, value_counts
 from tabspark.operators.columnwise import constant_columns, equal_counts, numeric_stats, value_profile
@@ -17,7 +18,7 @@ SKETCH_MARGIN = 0.10
 
 def missing_profile(df: DataFrame, threshold: float = 50.0) -> DataFrame:
     """(feature, missing_count, missing_pct, high_missing): high means strictly above the threshold."""
-    rows = per_feature(df, df.columns, lambda c: {"missing_count": F.count_if(q(c).isNull()),
+    rows = per_feature(df, df.columns, lambda c: {"missing_count": F.count_if(missing(df, c)),
                                                   "rows": F.count(F.lit(1))})
     pct = ratio(F.col("missing_count") * 100.0, F.col("rows"))
     return rows.select("feature", "missing_count", pct.alias("missing_pct"),
@@ -44,7 +45,12 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 
 def _majority_probe(df: DataFrame, c: str) -> Column:
     """A number per row whose median belongs to any value that fills more than half of the rows."""
-    return dbl(c) if families(df)[c] == "numeric" else F.pmod(F.xxhash64(q(c)), F.lit(1 << 52)).cast("double")
+    return dbl(c) if _exact(df, c) else F.pmod(F.xxhash64(q(c)), F.lit(1 << 52)).cast("double")
+
+
+def _exact(df: DataFrame, c: str) -> bool:
+    """Whether every value of the column is its own double."""
+    return isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType, T.ByteType, T.ShortType, T.IntegerType))
 
 
 def constant_features(df: DataFrame, near_constant_threshold: float = 99.0) -> DataFrame:
@@ -70,8 +76,8 @@ def constant_features(df: DataFrame, near_constant_threshold: float = 99.0) -> D
     mid = medians(df, probes, counts={c: profile[c]["n"] for c in varied}) if varied else {}
     hits = equal_counts(df, {c: (probes[c], mid[c]) for c in varied}) if varied else {}
     near = [c for c in varied if 100.0 * hits[c] / profile[c]["n"] >= near_constant_threshold]
-    # The probe of a text is a hash: count the value itself before it is reported.
-    texts = [c for c in near if families(df)[c] != "numeric"]
+    # The probe of a text or a wide number is a hash: count the value itself before it is reported.
+    texts = [c for c in near if not _exact(df, c)]
     if texts:
         value = collect_aggregates(df, {c: F.min(F.when(probes[c] == F.lit(mid[c]), q(c))) for c in texts})
         hits.update(collect_aggregates(df, {c: F.count_if(q(c) == F.lit(value[c])) for c in texts}))
@@ -161,7 +167,9 @@ class DataProfiler:
         self.target_column = target_column
 
     def run(self, df: DataFrame) -> dict[str, DataFrame]:
-        """Three scans (size and target, value profile, correlations) serve all small reports."""
+        """One scan each for sizes and target, value hashes, and correlations; duplicates, near-constant values and exact distinct
+        counts of likely ids and texts take scans of their own."""
+        df = without_nan(df)
         target = self.target_column
         if target is not None:
             _require(df, target)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from tabspark.functions.scalars import without_nan
 from tabspark.functions.types import q
 
 
@@ -21,6 +22,7 @@ class Stage:
     _fitted = False
 
     def fit(self, df: DataFrame, target: str | None = None, key: str | None = None) -> "Stage":
+        df = without_nan(df)
         self.target, self.key = target, key
         self.feature_names_in_ = self.features(df)
         self.feature_names_out_ = list(self.feature_names_in_)
@@ -37,7 +39,7 @@ class Stage:
     def transform(self, df: DataFrame) -> DataFrame:
         if not self._fitted:
             raise ValueError(f"{type(self).__name__} is not fitted yet; call fit or fit_transform first")
-        return self._apply(df)
+        return self._apply(without_nan(df))
 
     def fit_transform(self, df: DataFrame, target: str | None = None, key: str | None = None) -> DataFrame:
         return self.fit(df, target, key).transform(df)

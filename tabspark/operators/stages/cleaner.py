@@ -10,7 +10,11 @@ from tabspark.operators.stages.base import Stage
 
 
 class DataCleaner(Stage):
-    """Drops duplicate training rows and duplicate columns, and standardises column types."""
+    """Drops duplicate training rows and duplicate columns, and standardises column types.
+
+    A column of another type than the learned one is cast if no value is lost, which takes one look at the data; in a stream, values that
+    do not fit become null.
+    """
 
     def __init__(self, drop_row_duplicates: bool = True, drop_col_duplicates: bool = True,
                  datetime_cols: list[str] | None = None, coerce_objects_to_category: bool = True):
@@ -49,7 +53,9 @@ class DataCleaner(Stage):
                 new[c] = q(c).cast(wanted)
             else:
                 risky[c] = q(c).try_cast(wanted)
-        if risky:
+        if risky and df.isStreaming:
+            new.update(risky)  # what does not fit the learned type is null: a stream cannot be looked at first
+        elif risky:
             # A cast that would lose a value keeps the original type.
             whole = {c: (q(c) == e if family_of(types[c]) == "numeric" else e.isNotNull()) for c, e in risky.items()}
             lost = collect_aggregates(df, {c: F.count_if(q(c).isNotNull() & ~F.coalesce(whole[c], F.lit(False)))

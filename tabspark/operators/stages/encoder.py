@@ -19,8 +19,8 @@ class EncodingTransformer(Stage):
 
     On training data, target and catboost are out-of-fold: each row gets the statistic of the folds it is
     not in. Folds come from a hash of the key, or from ``fold`` (0..k-1, SQL text or Column) if given; the
-    catboost order from another hash, or from ``order``. A wide one-hot column is available in long form
-    (`one_hot_rows`).
+    catboost order from another hash, or from ``order``. A one-hot column of more than ONE_HOT_WIDTH levels
+    becomes one column, a map that holds its learned level with 1.0, and nothing for other levels; `one_hot_rows` has any in long form.
     """
 
     def __init__(self, default_strategy: str = "one_hot", column_strategies: dict | None = None, target_cv_folds: int = 5,
@@ -74,6 +74,9 @@ class EncodingTransformer(Stage):
         counts = value_counts(df, hot, drop_null=False).select("feature", F.coalesce("value", F.lit(NULL_LEVEL)).alias("value")).distinct()
         sizes = {r["feature"]: r["k"] for r in counts.groupBy("feature").agg(F.count(F.lit(1)).alias("k")).collect()}
         self.wide_ = [c for c in hot if sizes.get(c, 0) > ONE_HOT_WIDTH]
+        if self.wide_:
+            ones = counts.filter(F.col("feature").isin(self.wide_)).select("feature", "value", F.lit(1.0).alias("result"), F.lit(1).cast("bigint").alias("n"))
+            self.wide_maps_ = build_maps(ones, self.wide_)
         narrow = [c for c in hot if c not in self.wide_]
         self.levels_ = {c: [] for c in narrow}
         for r in counts.filter(F.col("feature").isin(narrow)).collect():  # at most ONE_HOT_WIDTH rows per feature
@@ -102,10 +105,17 @@ class EncodingTransformer(Stage):
         text = F.coalesce(q(c).cast("string"), F.lit(NULL_LEVEL))
         return [(text == F.lit(v)).cast("double").alias(f"{c}_{v}") for v in self.levels_[c]]
 
-    def _check_width(self) -> None:
-        if getattr(self, "wide_", None):
-            raise ValueError(f"one-hot columns {self.wide_} have more than {ONE_HOT_WIDTH} levels: "
-                             "use one_hot_rows for them or another strategy")
+    def _wide(self, df: DataFrame) -> tuple[list[str], list]:
+        """One-hot columns that become maps, and how their levels are looked up."""
+        wide = [c for c in getattr(self, "wide_", []) if c in df.columns]
+        return wide, [(c, self.wide_maps_[c], self._level(c)) for c in wide]
+
+    @staticmethod
+    def _level(c: str) -> Column:
+        return F.coalesce(q(c).cast("string"), F.lit(NULL_LEVEL))
+
+    def _map(self, c: str, found: Column) -> Column:
+        return F.when(found.isNotNull(), F.create_map(self._level(c), F.lit(1.0))).otherwise(F.create_map().cast("map<string,double>"))
 
     def _project(self, df: DataFrame, encoded: dict[str, Column], source: DataFrame) -> DataFrame:
         out: list[Column] = []
@@ -117,10 +127,11 @@ class EncodingTransformer(Stage):
         return source.select(out)
 
     def _apply(self, df: DataFrame) -> DataFrame:
-        self._check_width()
         cols = [c for c in df.columns if c in self.maps_]
-        joined, found = with_lookups(df, [(c, self.maps_[c], q(c).cast("string")) for c in cols])
+        wide, levels = self._wide(df)
+        joined, found = with_lookups(df, [(c, self.maps_[c], q(c).cast("string")) for c in cols] + levels)
         encoded = {c: F.coalesce(e, F.lit(self.default_[c])) for c, e in zip(cols, found)}
+        encoded.update({c: self._map(c, e) for c, e in zip(wide, found[len(cols):])})
         return self._project(df, encoded, joined)
 
     def fit_transform(self, df: DataFrame, target: str | None = None, key: str | None = None) -> DataFrame:
@@ -128,7 +139,6 @@ class EncodingTransformer(Stage):
         held = [c for c in self._of("target", "catboost") if c in df.columns]
         if target is None or not held:
             return self.transform(df)
-        self._check_width()
         folds, fold = self.target_cv_folds, self._fold()
         oof = {}
         means, ordered = self._of("target"), self._of("catboost")
@@ -145,17 +155,26 @@ class EncodingTransformer(Stage):
         keys = {c: (F.coalesce(q(c).cast("string"), F.lit(NULL_LEVEL)) if self.strategy_[c] == "catboost" else q(c).cast("string"))
                 for c in held}
         wanted = [(c, oof[c], keys[c]) for c in held] + [(c, self.maps_[c], q(c).cast("string")) for c in plain]
-        joined, found = with_lookups(df, wanted)
+        wide, levels = self._wide(df)
+        joined, found = with_lookups(df, wanted + levels)
         priors = F.array(*[F.lit(p).cast("double") for p in self.fold_priors_])
         encoded = {}
         for c, e in zip(held + plain, found):
             encoded[c] = F.get(F.coalesce(e, priors), fold) if c in held else F.coalesce(e, F.lit(self.default_[c]))
+        encoded.update({c: self._map(c, e) for c, e in zip(wide, found[len(wanted):])})
         return self._project(df, encoded, joined)
 
     def one_hot_rows(self, df: DataFrame, key: str) -> DataFrame:
-        """(key, column, value=1.0): the one-hot cells that are not zero, for any number of levels."""
-        cells = [F.concat(F.lit(c + "_"), F.coalesce(q(c).cast("string"), F.lit(NULL_LEVEL))) for c in self._of("one_hot")]
-        return df.select(q(key).alias(key), F.explode(F.array(*cells)).alias("column"), F.lit(1.0).alias("value"))
+        """(key, column, value=1.0): the one-hot cells that are not zero, for any number of levels; levels that were not learned have none."""
+        cells = []
+        wide, levels = self._wide(df)
+        df, found = with_lookups(df, levels) if wide else (df, [])
+        for c in self._of("one_hot"):
+            known = found[wide.index(c)].isNotNull() if c in wide else self._level(c).isin(self.levels_[c])
+            cells.append(F.when(known, F.concat(F.lit(c + "_"), self._level(c))))
+        if not cells:
+            return df.select(q(key).alias(key), F.lit(None).cast("string").alias("column"), F.lit(1.0).alias("value")).limit(0)
+        return df.select(q(key).alias(key), F.explode(F.array_compact(F.array(*cells))).alias("column"), F.lit(1.0).alias("value"))
 
     def get_reports(self) -> dict:
         shown = {}

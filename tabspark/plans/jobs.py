@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tabspark.functions.types import q
 from tabspark.operators.aggregate import class_values, collect_aggregates
+from tabspark.operators.ordering import running_totals
 from tabspark.operators.quantiles import order_statistics
 from tabspark.plans.preprocessing import PreprocessingPipeline, load_config
 from tabspark.sources.writers import write_frame
@@ -18,9 +19,13 @@ def split_flag(df: DataFrame, target: str, key: str, test_size: float = 0.2, see
     """``df`` plus boolean ``is_validation``: per class, the first round(test_size * n) rows in hash order.
 
     The cut is found per class by rank selection, so no class (one of them usually holds most rows) is
-    ever sorted or sent to one task. Equal order values are separated by the key.
+    ever sorted or sent to one task. It falls on a number that grows with the order (its double value; one
+    number for all rows if the order is no number); rows with the number of the cut are ranked by
+    (order, key) as they are, so any type and size of either will do.
     """
-    order = (F.pmod(F.xxhash64(q(key), F.lit(seed)), F.lit(1 << 52)) if order is None else order).cast("double")
+    exact = F.pmod(F.xxhash64(q(key), F.lit(seed)), F.lit(1 << 52)) if order is None else order
+    kind = df.select(exact.alias("o")).schema["o"].dataType
+    order = exact.cast("double") if isinstance(kind, T.NumericType) else F.when(exact.isNotNull(), F.lit(0.0))
     classes = class_values(df, target)
     want: dict[str, int] = {}
 
@@ -33,12 +38,19 @@ def split_flag(df: DataFrame, target: str, key: str, test_size: float = 0.2, see
     edge = {i: got[i][1].get(want[i] - 1) for i in of}
     live = [i for i in of if edge[i] is not None]
     below = collect_aggregates(df, {i: F.count_if(of[i] & (order < F.lit(edge[i]))) for i in live})
-    ties = order_statistics(df, {i: F.when(of[i] & (order == F.lit(edge[i])), q(key)) for i in live},
-                            lambda i, n: [want[i] - below[i] - 1]) if live else {}
+    if not live:
+        return df.withColumn("is_validation", F.lit(False))
+    at_edge = F.lit(None).cast("string")
+    for i in live:
+        at_edge = F.when(of[i] & (order == F.lit(edge[i])), F.lit(i)).otherwise(at_edge)
+    tied = df.select(at_edge.alias("class"), exact.alias("o"), q(key).alias("k")).filter("class IS NOT NULL")
+    ranked = running_totals(tied, "class", ["o", "k"], F.lit(1).cast("long"))
+    last_of = F.create_map(*[F.lit(x) for i in live for x in (i, want[i] - below[i] - 1)])
+    last = {r["class"]: r for r in ranked.filter(F.col("before") == last_of[F.col("class")]).collect()}  # one row per class
     flag = F.lit(False)
     for i in live:
-        last = ties[i][1][want[i] - below[i] - 1]
-        flag = F.when(of[i], (order < F.lit(edge[i])) | ((order == F.lit(edge[i])) & (q(key) <= F.lit(last)))).otherwise(flag)
+        upto = (exact < F.lit(last[i]["o"])) | ((exact == F.lit(last[i]["o"])) & (q(key) <= F.lit(last[i]["k"])))
+        flag = F.when(of[i], (order < F.lit(edge[i])) | ((order == F.lit(edge[i])) & upto)).otherwise(flag)
     return df.withColumn("is_validation", flag)
 
 

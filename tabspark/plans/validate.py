@@ -37,7 +37,7 @@ class SchemaValidator:
         target = self.target_column
         absent = target is not None and is_train and target not in names
         if absent:
-            report["target_check"] = f"Missing target column '{target}'"
+            report["target_check"] = f"no column named '{target}' to learn from"
         if not self.expected_schema_:
             return not report["duplicate_columns"] and not absent, report
         expected = [c for c in self.expected_schema_ if is_train or c != target]
@@ -58,12 +58,12 @@ class SchemaValidator:
             got = collect_aggregates(df, {"n": F.count_if(q(self.target_column).isNull()), "rows": F.count(F.lit(1))})
             nulls, self.rows_ = got["n"], got["rows"]
             if nulls:
-                report["target_check"] = f"Target contains {nulls} missing values"
+                report["target_check"] = f"{nulls} rows have no target"
         if self.key_column and self.key_column in df.columns:
             groups = df.groupBy(q(self.key_column)).agg(F.count(F.lit(1)).alias("n"))
             repeats = groups.agg(F.sum(F.col("n") - 1)).first()[0]
             if repeats:
-                report["key_violations"].append(f"Key column '{self.key_column}' contains {repeats} duplicate values")
+                report["key_violations"].append(f"{repeats} rows repeat a key of '{self.key_column}'")
 
 
 class LeakageValidator:

@@ -6,27 +6,18 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from tabspark.functions.scalars import nan_to_null
-from tabspark.functions.types import q
-
-
-def normalise_missing(df: DataFrame) -> DataFrame:
-    """NaN -> null in float and double columns; other columns untouched."""
-    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
-    if not floats:
-        return df
-    return df.select([nan_to_null(q(c)).alias(c) if c in floats else q(c) for c in df.columns])
+from tabspark.functions.scalars import without_nan
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, **options) -> DataFrame:
     """CSV with a header row. Give a schema for large inputs: without one, Spark reads the data twice."""
     reader = spark.read.option("header", True).option("nanValue", "NaN").options(**options)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return normalise_missing(reader.csv(path))
+    return without_nan(reader.csv(path))
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return normalise_missing(spark.read.format(fmt).load(path))
+    return without_nan(spark.read.format(fmt).load(path))
 
 
 class DatasetLoader:

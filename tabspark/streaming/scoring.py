@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tabspark.plans.preprocessing import PreprocessingPipeline
-from tabspark.sources.readers import normalise_missing
+from tabspark.functions.scalars import without_nan
 
 
 def transform_stream(plan: PreprocessingPipeline, stream: DataFrame) -> DataFrame:
     """The fitted plan over a streaming frame; fits and out-of-fold encodings stay batch work."""
-    return plan.transform(normalise_missing(stream))
+    return plan.transform(without_nan(stream))
 
 
 def write_stream(plan: PreprocessingPipeline, stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",

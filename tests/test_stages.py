@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from tabspark.operators.stages import (DataCleaner, EncodingTransformer, FeatureScaler, FeatureTransformer,
                                        MissingValueTransformer, OutlierTransformer, RareCategoryTransformer)
-from tabspark.plans.jobs import run_all, stratified_split
+from tabspark.plans.jobs import run_all, split_flag, stratified_split
 from tabspark.plans.preprocessing import PreprocessingPipeline, load_config
 from tabspark.plans.presets import MODEL_SPECS
-from tabspark.sources.readers import DatasetLoader, normalise_missing
+from tabspark.functions.scalars import without_nan
+from tabspark.sources.readers import DatasetLoader
 from tabspark.streaming.scoring import transform_stream, write_stream
 
 
@@ -107,12 +108,33 @@ def test_out_of_fold_differs_from_the_global_map_and_stays_in_range(people):
     assert (out["occupation"] != whole["occupation"]).any() and out["occupation"].between(0, 1).all()
 
 
-def test_one_hot_refuses_too_many_levels_but_offers_rows(spark):
-    df = spark.range(3000).select("id", F.concat(F.lit("v"), F.col("id")).alias("c"))
+def test_one_hot_of_many_levels_is_a_map(spark):
+    df = spark.range(3000).select("id", F.concat(F.lit("v"), F.col("id")).alias("c"), F.lit("x").alias("few"))
+    held = spark.createDataFrame([(1, "v7", "x"), (2, "new", "new"), (3, None, None)], "id bigint, c string, few string")
     stage = EncodingTransformer().fit(df, key="id")
-    with pytest.raises(ValueError):
-        stage.transform(df)
-    assert stage.one_hot_rows(df, "id").count() == 3000
+    got = [tuple(r) for r in stage.transform(held).orderBy("id").collect()]
+    assert got == [(1, {"v7": 1.0}, 1.0), (2, {}, 0.0), (3, {}, 0.0)]
+    assert stage.fit_transform(df, key="id").filter("map_contains_key(c, concat('v', id))").count() == 3000
+    assert stage.one_hot_rows(df, "id").count() == 6000
+    assert [tuple(r) for r in stage.one_hot_rows(held, "id").orderBy("column").collect()] == [(1, "c_v7", 1.0), (1, "few_x", 1.0)]
+
+
+def test_cleaner_on_a_stream_with_text_for_numbers(spark, tmp_path):
+    stage = DataCleaner().fit(spark.createDataFrame([(1, 2.5, 3)], "id int, x double, n bigint"), key="id")
+    spark.createDataFrame([(1, "1.5", "7"), (2, "bad", "x"), (3, None, "9")], "id int, x string, n string").write.parquet(str(tmp_path / "in"))
+    stream = stage.transform(spark.readStream.schema("id int, x string, n string").parquet(str(tmp_path / "in")))
+    assert stream.isStreaming and dict(stream.dtypes)["x"] == "double"
+    query = stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start(str(tmp_path / "out"))
+    assert query.awaitTermination(120)
+    got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == [(1, 1.5, 7), (2, None, None), (3, None, 9)]
+
+
+def test_split_of_a_class_on_equal_orders(spark):
+    df = spark.range(100).select(F.concat(F.lit("k"), F.lpad(F.col("id").cast("string"), 3, "0")).alias("k"), (F.col("id") % 2).alias("y"))
+    flagged = split_flag(df, "y", "k", order=F.lit("same"))
+    assert {r["k"] for r in flagged.filter("is_validation").collect()} == {f"k{i:03d}" for i in range(20)}
+    assert split_flag(df, "y", "k").filter("is_validation").groupBy("y").count().filter("count = 10").count() == 2
 
 
 def test_encoder_rejects_unknown_settings(people):
@@ -297,7 +319,7 @@ def test_transform_on_a_stream(spark, app, tmp_path):
 
 def test_nan_becomes_null_once(spark):
     df = spark.sql("SELECT double('NaN') AS x, 1 AS y UNION ALL SELECT 2.0D, 2")
-    out = normalise_missing(df)
+    out = without_nan(df)
     assert out.filter("x IS NULL").count() == 1 and out.columns == ["x", "y"]
 
 
