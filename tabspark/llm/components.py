@@ -7,11 +7,17 @@ can split.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, functions as F
 
 from tabspark.functions.lineage import checkpoint
 
 
+#: Links in one partition; a small graph is kept in few, so that its many rounds leave few shuffle files.
+LINKS = 200_000
+
+
 def _large(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -31,10 +37,12 @@ def _state(edges: DataFrame) -> tuple:
 
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of `links` (a, b); the component is the smallest node reachable."""
-    edges = checkpoint(_small(links.select("a", "b").filter("a <> b")))
+    links = links.select("a", "b").filter("a <> b")
+    parts = math.ceil(links.count() / LINKS) or 1
+    edges = checkpoint(_small(links.coalesce(parts)).coalesce(parts))
     before = _state(edges)
     while True:
-        edges = checkpoint(_small(_large(edges)))
+        edges = checkpoint(_small(_large(edges).coalesce(parts)).coalesce(parts))
         now = _state(edges)
         if now == before:
             break

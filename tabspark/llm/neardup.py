@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tabspark.functions.lineage import checkpoint
 from tabspark.llm.common import fresh, settled, ship
@@ -34,7 +34,7 @@ from tabspark.llm.components import components
 
 TREES, DEPTH, LEAST, REGION = 16, 12, 5, 16
 SIGMAS = 4.0
-#: Second look: neighbours on either side, and of those the most alike that are confirmed on full sets in each tree.
+#: Second look: neighbours on either side in each tree, and of all those the most alike that are confirmed on full sets.
 WIDE, CLOSEST = 512, 48
 #: Rows of a tree's order in one range partition, and word hashes a worker keeps at hand.
 ROWS, REMEMBERED = 200_000, 400_000
@@ -204,7 +204,7 @@ def second_look(dense: DataFrame, folded: DataFrame, classes: DataFrame | None,
         signs = np.frombuffer(b"".join(table.column("sign").to_pylist()), "u2").reshape(len(ids), TREES * DEPTH)
         keys = np.frombuffer(b"".join(table.column("stretch").to_pylist()), "u2").reshape(len(ids), DEPTH)
         cuts = np.flatnonzero((tree[1:] != tree[:-1]) | (keys[1:, :LEAST] != keys[:-1, :LEAST]).any(1)) + 1
-        a, b = [], []
+        own, other, alike = [], [], []
         for lo, hi in zip(np.append(0, cuts), np.append(cuts, len(ids))):
             names, counts = np.unique(group[lo:hi], return_counts=True)
             if len(names) < 2:
@@ -215,12 +215,15 @@ def second_look(dense: DataFrame, folded: DataFrame, classes: DataFrame | None,
                 agree = (signs[j] == signs[i]).mean(1) if len(j) else np.zeros(0)
                 best = np.argsort(-agree, kind="stable")[:CLOSEST]
                 j = j[best[agree[best] >= floor]]
-                a.append(np.minimum(ids[i], ids[j]))
-                b.append(np.maximum(ids[i], ids[j]))
-        if a:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
-
-    return placed.mapInArrow(work, "a bigint, b bigint").distinct()
+                own.append(np.full(len(j), ids[i]))
+                other.append(ids[j])
+                alike.append(agree[best[agree[best] >= floor]])
+        if own:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (own, other, alike)], ["own", "other", "agree"])
+
+    found = placed.mapInArrow(work, "own bigint, other bigint, agree double").distinct()
+    best = found.withColumn("rank", F.row_number().over(Window.partitionBy("own").orderBy(F.desc("agree"), "other"))).filter(F.col("rank") <= CLOSEST)
+    return best.select(F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b")).distinct()
 
 
 def _floor(threshold: float) -> float:
