@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tabspark.functions.types import q
+from tabspark.functions.types import name_sql, number_sql, q
 
 # The floors that keep logarithms and powers defined.
 POSITIVE_FLOOR = 1e-9
@@ -25,7 +25,8 @@ def without_nan(df: DataFrame) -> DataFrame:
     floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
     if not floats:
         return df
-    return df.select([F.when(~F.isnan(q(c)), q(c)).alias(c) if c in floats else q(c) for c in df.columns])
+    names = {c: name_sql(c) for c in df.columns}
+    return df.selectExpr(*[f"nanvl({n}, NULL) AS {n}" if c in floats else n for c, n in names.items()])
 
 
 def nan_to_null(c: Column) -> Column:
@@ -80,6 +81,16 @@ def clip(c: Column, low: float | None, high: float | None, nullable: bool = True
     return keep_null(c, out, nullable)
 
 
+def clip_sql(name: str, low: float | None, high: float | None, nullable: bool = True) -> str:
+    """`clip` of a column as SQL text."""
+    out = value = f"CAST({name_sql(name)} AS DOUBLE)"
+    if high is not None and not math.isnan(high):
+        out = f"least({out}, {number_sql(high)})"
+    if low is not None and not math.isnan(low):
+        out = f"greatest({out}, {number_sql(low)})"
+    return f"CASE WHEN {name_sql(name)} IS NOT NULL THEN {out} END" if nullable and out != value else out
+
+
 def within(c: Column, low: float, high: float) -> Column:
     """True for null and for values inside the inclusive limits."""
     return c.isNull() | c.between(F.lit(low), F.lit(high))

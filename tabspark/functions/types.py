@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 FAMILIES = ("numeric", "categorical", "datetime", "boolean", "other")
@@ -54,11 +56,25 @@ def is_fractional(dtype: T.DataType) -> bool:
 
 def q(name: str) -> Column:
     """Column by exact name, also when it holds dots or spaces."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(name_sql(name))
+
+
+def name_sql(name: str) -> str:
+    """The column's name in SQL text. Projections of hundreds of columns are written as text: one call instead of several a column."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def number_sql(v: float) -> str:
+    v = float(v)
+    return f"{v!r}D" if math.isfinite(v) else f"CAST('{v}' AS DOUBLE)"
+
+
+def text_sql(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def dbl(name: str) -> Column:
-    return q(name).cast("double")
+    return F.expr(f"CAST({name_sql(name)} AS DOUBLE)")
 
 
 def column_families(df: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabspark.functions.statistics import ratio
-from tabspark.functions.types import q
+from tabspark.functions.types import name_sql, q
 from tabspark.operators.aggregate import collect_aggregates
 
 # Columns stacked in one scan; more are done in several scans, each reading only its own columns.
@@ -105,7 +105,7 @@ def value_profile(df: DataFrame, columns: list[str], distinct: bool = True) -> d
     aggs = {"n": F.count(h), "xor": F.bit_xor(h), "lo": F.min(h), "hi": F.max(h)}
     if distinct:
         aggs["distinct"] = F.hll_sketch_estimate(F.hll_sketch_agg(h, F.lit(SKETCH_LG)))
-    hashes = [F.when(q(c).isNotNull(), F.xxhash64(q(c))) for c in columns]
+    hashes = [F.expr(f"CASE WHEN {name_sql(c)} IS NOT NULL THEN xxhash64({name_sql(c)}) END") for c in columns]
     return _by_column(_stack(df, hashes), columns, aggs, {k: 0 if k in ("n", "distinct") else None for k in aggs})
 
 

@@ -73,13 +73,14 @@ def keep_first(df: DataFrame, features: list[str], key: str | None) -> tuple[Dat
     return folded(df), True
 
 
-def duplicate_columns(df: DataFrame, features: list[str]) -> list[str]:
+def duplicate_columns(df: DataFrame, features: list[str], profile: dict[str, dict] | None = None) -> list[str]:
     """Columns equal to an earlier one (same type, same values row by row, nulls equal).
 
-    One scan of order-free signatures proposes pairs; a second scan compares only those row by row.
+    One scan of order-free signatures (or a profile that is at hand) proposes pairs; a second scan compares only those row by row.
     """
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    got = value_profile(df, features, distinct=False)
+    got = {c: {k: profile[c][k] for k in ("n", "xor", "lo", "hi")} for c in features if c in (profile or {})}
+    got.update(value_profile(df, [c for c in features if c not in got], distinct=False))
     groups: dict[tuple, list[str]] = {}
     for c in features:
         groups.setdefault((types[c], *got[c].values()), []).append(c)

@@ -215,7 +215,7 @@ def _resolve(data, names, live, wanted, cuts, targets, out):
         out[names[row["f"]]][1][int(row["r"])] = float(row["v"])
 
 
-def _positions(n: int, p: float) -> tuple[int, int, float]:
+def positions(n: int, p: float) -> tuple[int, int, float]:
     h = (n - 1) * p
     lo = min(max(int(math.floor(h)), 0), n - 1)
     return lo, min(lo + 1, n - 1), h - lo
@@ -224,7 +224,7 @@ def _positions(n: int, p: float) -> tuple[int, int, float]:
 def quantiles(df: DataFrame, columns: dict[str, Column], probs: list[float], **limits) -> dict[str, list[float | None]]:
     """Linear-interpolated quantiles of every column, None where a column has no value."""
     def ranks(_, n):
-        return [r for p in probs for r in _positions(n, p)[:2]] if n else []
+        return [r for p in probs for r in positions(n, p)[:2]] if n else []
 
     got = order_statistics(df, columns, ranks, **limits)
     out = {}
@@ -234,7 +234,7 @@ def quantiles(df: DataFrame, columns: dict[str, Column], probs: list[float], **l
             if n == 0:
                 row.append(None)
                 continue
-            lo, hi, frac = _positions(n, p)
+            lo, hi, frac = positions(n, p)
             a, b = values[lo], values[hi]
             row.append(float(a + (b - a) * frac))
         out[name] = row

@@ -24,7 +24,8 @@ class DataCleaner(Stage):
 
     def _learn(self, df: DataFrame) -> None:
         cols = self.feature_names_in_
-        self.duplicate_features_ = duplicate_columns(df, cols) if self.drop_col_duplicates and cols else []
+        values = {} if self.changes_rows else self.seen.get("values", {})
+        self.duplicate_features_ = duplicate_columns(df, cols, values) if self.drop_col_duplicates and cols else []
         self.feature_names_out_ = [c for c in cols if c not in self.duplicate_features_]
         self.column_types_ = {}
         for c in self.feature_names_out_:
@@ -69,5 +70,9 @@ class DataCleaner(Stage):
             df, self.changes_rows = keep_first(df, self.features(df), key)
         return self.fit(df, target, key).transform(df)
 
+    def seen_out(self) -> dict:
+        same = [c for c in self.feature_names_out_ if c not in self.datetime_cols]
+        return {k: {c: v[c] for c in same if c in v} for k, v in self.seen.items()}
+
     def get_reports(self) -> dict:
         return {"cleaning": {"duplicate_columns": self.duplicate_features_, "column_types": self.column_types_}}

@@ -2,8 +2,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabspark.functions.types import categorical_columns, q
+from tabspark.functions.types import categorical_columns, name_sql, q, text_sql
 from tabspark.operators.aggregate import value_counts
+from tabspark.operators.facts import of_flag
 from tabspark.operators.mapping import build_maps, with_lookups
 from tabspark.operators.oof import (NULL_LEVEL, fold_of, fold_priors, order_of, ordered_means, out_of_fold_means,
                                     smoothed_means)
@@ -71,18 +72,30 @@ class EncodingTransformer(Stage):
         self.feature_names_out_ = [n for c in self.feature_names_in_ for n in self._outputs(c)]
 
     def _learn_levels(self, df: DataFrame, hot: list[str]) -> None:
-        counts = value_counts(df, hot, drop_null=False).select("feature", F.coalesce("value", F.lit(NULL_LEVEL)).alias("value")).distinct()
-        sizes = {r["feature"]: r["k"] for r in counts.groupBy("feature").agg(F.count(F.lit(1)).alias("k")).collect()}
+        counts = (value_counts(df, hot, drop_null=False).groupBy("feature", F.coalesce("value", F.lit(NULL_LEVEL)).alias("value"))
+                  .agg(F.sum("n").alias("n")))
+        sums = counts.groupBy("feature").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("t")).collect()
+        sizes, totals = {r["feature"]: r["k"] for r in sums}, {r["feature"]: r["t"] for r in sums}
         self.wide_ = [c for c in hot if sizes.get(c, 0) > ONE_HOT_WIDTH]
         if self.wide_:
             ones = counts.filter(F.col("feature").isin(self.wide_)).select("feature", "value", F.lit(1.0).alias("result"), F.lit(1).cast("bigint").alias("n"))
             self.wide_maps_ = build_maps(ones, self.wide_)
         narrow = [c for c in hot if c not in self.wide_]
-        self.levels_ = {c: [] for c in narrow}
+        self.levels_, self.hot_ = {c: [] for c in narrow}, {}
         for r in counts.filter(F.col("feature").isin(narrow)).collect():  # at most ONE_HOT_WIDTH rows per feature
             self.levels_[r["feature"]].append(r["value"])
+            self.hot_[f"{r['feature']}_{r['value']}"] = of_flag(totals[r["feature"]], r["n"])
         self.levels_ = {c: sorted(v) for c, v in self.levels_.items()}
 
+    def facts_out(self) -> dict:
+        kept = {c: f for c, f in self.facts.items() if c not in self.strategy_}
+        made = getattr(self, "hot_", {})
+        names = self.feature_names_out_  # a level may make a name that another column has
+        return {c: f for c, f in {**kept, **made}.items() if names.count(c) == 1}
+
+    def ranked_out(self) -> dict:
+        return {c: v for c, v in self.ranked.items() if c not in self.strategy_ and self.feature_names_out_.count(c) == 1}
+
     def _first_seen(self, df: DataFrame, cols: list[str]) -> DataFrame:
         """Codes 0, 1, ... by first appearance in key order."""
         if self.key is None:
@@ -101,9 +114,9 @@ class EncodingTransformer(Stage):
     def _outputs(self, c: str) -> list[str]:
         return [f"{c}_{v}" for v in self.levels_[c]] if c in self.levels_ else [c]
 
-    def _one_hot(self, c: str) -> list[Column]:
-        text = F.coalesce(q(c).cast("string"), F.lit(NULL_LEVEL))
-        return [(text == F.lit(v)).cast("double").alias(f"{c}_{v}") for v in self.levels_[c]]
+    def _one_hot(self, c: str) -> list[str]:
+        level = f"coalesce(CAST({name_sql(c)} AS STRING), {text_sql(NULL_LEVEL)})"
+        return [f"CAST({level} = {text_sql(v)} AS DOUBLE) AS {name_sql(f'{c}_{v}')}" for v in self.levels_[c]]
 
     def _wide(self, df: DataFrame) -> tuple[list[str], list]:
         """One-hot columns that become maps, and how their levels are looked up."""
@@ -118,13 +131,15 @@ class EncodingTransformer(Stage):
         return F.when(found.isNotNull(), F.create_map(self._level(c), F.lit(1.0))).otherwise(F.create_map().cast("map<string,double>"))
 
     def _project(self, df: DataFrame, encoded: dict[str, Column], source: DataFrame) -> DataFrame:
-        out: list[Column] = []
+        out: list = []
         for c in df.columns:
             if c in self.levels_:
                 out += self._one_hot(c)
             else:
-                out.append(encoded[c].alias(c) if c in encoded else q(c))
-        return source.select(out)
+                out.append(encoded[c].alias(c) if c in encoded else name_sql(c))
+        if not encoded:
+            return source.selectExpr(*out)
+        return source.select([F.expr(e) if isinstance(e, str) else e for e in out])
 
     def _apply(self, df: DataFrame) -> DataFrame:
         cols = [c for c in df.columns if c in self.maps_]

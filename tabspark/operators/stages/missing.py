@@ -2,11 +2,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tabspark.functions.scalars import missing_flag
-from tabspark.functions.types import dbl, family_of, q
+from tabspark.functions.types import dbl, family_of, name_sql, number_sql, q, text_sql
 from tabspark.operators.aggregate import collect_aggregates, value_counts
 from tabspark.operators.columnwise import numeric_stats
-from tabspark.operators.quantiles import medians
+from tabspark.operators.facts import Ranked, of_flag
+from tabspark.operators.quantiles import order_statistics, positions
 from tabspark.operators.stages.base import Stage
 
 NUMERIC_STRATEGIES = ("median", "mean", "constant", "knn", "iterative")
@@ -43,10 +43,18 @@ class MissingValueTransformer(Stage):
                 raise ValueError(f"unknown {'numerical' if numeric else 'categorical'} imputation strategy: {strategy}")
             plan[c] = (strategy, own.get("fill_value", self.num_fill_value if numeric else self.cat_fill_value))
         numbers = {c for c in plan if family[c] in ("numeric", "boolean")}
-        nulls = collect_aggregates(df, {c: F.count_if(q(c).isNull()) for c in cols})
-        stats = numeric_stats(df, {c: dbl(c) for c in cols if c in numbers}) if numbers else {}
+        values, known = self.seen.get("values", {}), self.seen.get("stats", {})
+        new = {("n", c): F.expr(f"count_if({name_sql(c)} IS NULL)") for c in cols if c not in values}
+        if new or self.rows_known is None:
+            new["rows"] = F.count(F.lit(1))
+        got = collect_aggregates(df, new)
+        self.rows_ = got.get("rows", self.rows_known)
+        nulls = {c: got["n", c] if ("n", c) in got else self.rows_ - values[c]["n"] for c in cols}
+        stats = {c: known[c] for c in cols if c in numbers and c in known}
+        rest = {c: dbl(c) for c in cols if c in numbers and c not in stats}
+        stats.update(numeric_stats(df, rest) if rest else {})
         mid = [c for c in numbers if plan[c][0] == "median"]
-        medians_ = medians(df, {c: dbl(c) for c in mid}, counts={c: stats[c]["n"] for c in mid}) if mid else {}
+        medians_, ordered = self._order(df, mid, numbers, stats, self.rows_)
         modes = self._modes(df, [c for c in plan if c not in numbers and plan[c][0] in ("most_frequent", "mode")])
         self.fill_, self.report_ = {}, {}
         for c, (strategy, given) in plan.items():
@@ -65,9 +73,28 @@ class MissingValueTransformer(Stage):
             self.report_[c] = {"strategy": strategy} if strategy in ("knn", "iterative") else \
                 {"strategy": strategy, "value": self.fill_[c]}
         self.missing_indicator_cols_ = [c + SUFFIX for c in cols if nulls[c]] if self.add_indicators else []
-        self.numeric_ = numbers
+        self.numeric_, self.nulls_ = numbers, nulls
+        self.ranked_ = {c: Ranked(n, self.rows_ - n, self.fill_[c], values, stats[c]) for c, (n, values) in ordered.items() if n}
         self.feature_names_out_ = [c for c in cols if c in plan or family[c] in ("datetime", "other")] + self.missing_indicator_cols_
 
+    def _order(self, df: DataFrame, mid: list[str], numbers: set[str], stats: dict, rows: int) -> tuple[dict, dict]:
+        """Medians, and in the same pass the ranks that later stages need of the filled columns."""
+        cols = [c for c in self.feature_names_in_ if c in (numbers if self.asked else set(mid))]
+        if not cols:
+            return {}, {}
+
+        def ranks(c: str, n: int) -> list[int]:
+            own = [r for r in positions(n, 0.5)[:2]] if c in mid and n else []
+            return own + (Ranked.ranks(n, rows - n, self.asked) if n else [])
+
+        got = order_statistics(df, {c: dbl(c) for c in cols}, ranks, counts={c: stats[c]["n"] for c in cols})
+        middle = {}
+        for c in mid:
+            n, values = got[c]
+            lo, hi, part = positions(n, 0.5) if n else (0, 0, 0.0)
+            middle[c] = float(values[lo] + (values[hi] - values[lo]) * part) if n else None
+        return middle, got if self.asked else {}
+
     @staticmethod
     def _modes(df: DataFrame, columns: list[str]) -> dict[str, str]:
         """Most frequent value per column, the smallest on ties; one histogram shuffle for all columns."""
@@ -81,16 +108,23 @@ class MissingValueTransformer(Stage):
         present = set(df.columns)
         out = []
         for c in df.columns:
+            n = name_sql(c)
             if c not in self.fill_:
-                out.append(q(c))
+                out.append(n)
             elif c in self.numeric_:
-                out.append(F.coalesce(dbl(c), F.lit(self.fill_[c])).alias(c))
+                out.append(f"coalesce(CAST({n} AS DOUBLE), {number_sql(self.fill_[c])}) AS {n}")
             else:
-                out.append(F.coalesce(q(c).cast("string"), F.lit(self.fill_[c])).alias(c))
+                out.append(f"coalesce(CAST({n} AS STRING), {text_sql(self.fill_[c])}) AS {n}")
         for name in self.missing_indicator_cols_:
             source = name[: -len(SUFFIX)]
-            out.append((missing_flag(q(source)) if source in present else F.lit(0)).alias(name))
-        return df.select(out)
+            out.append(f"{f'CAST({name_sql(source)} IS NULL AS INT)' if source in present else '0'} AS {name_sql(name)}")
+        return df.selectExpr(*out)
+
+    def facts_out(self) -> dict:
+        return {name: of_flag(self.rows_, self.nulls_[name[: -len(SUFFIX)]]) for name in self.missing_indicator_cols_}
+
+    def ranked_out(self) -> dict:
+        return self.ranked_
 
     def get_reports(self) -> dict:
         return {"missing_values": self.report_}

@@ -2,8 +2,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabspark.functions.scalars import clip, within
-from tabspark.functions.types import dbl, numeric_columns, q
+from tabspark.functions.scalars import clip_sql, within
+from tabspark.functions.types import dbl, numeric_columns
+from tabspark.operators import facts
 from tabspark.operators.columnwise import numeric_stats, outside_counts
 from tabspark.operators.iforest import IsolationForest
 from tabspark.operators.quantiles import medians, quantiles
@@ -30,7 +31,7 @@ class OutlierTransformer(Stage):
         wanted = self.feature_names_in_ if self.columns is None else self.columns
         cols = [c for c in self.feature_names_in_ if c in wanted and (c in numeric or self.columns is not None)]
         if self.skip_binary and cols:
-            got = numeric_stats(df, {c: dbl(c) for c in cols})
+            got = self._stats(df, cols)
             cols = [c for c in cols if got[c]["odd"]]
         self.limits_, self.outlier_counts_, self.forest_ = {}, {}, None
         if not cols:
@@ -39,7 +40,7 @@ class OutlierTransformer(Stage):
             self._learn_forest(df, cols)
             return
         if self.method == "z_score":
-            got = numeric_stats(df, {c: dbl(c) for c in cols})
+            got = self._stats(df, cols)
             for c in cols:
                 m, s = got[c]["mean"], got[c]["std"]
                 if m is None:
@@ -48,15 +49,39 @@ class OutlierTransformer(Stage):
                 self.limits_[c] = (m - self.threshold * s, m + self.threshold * s) if s is not None else (float("nan"), float("nan"))
         else:
             probs = [0.25, 0.75] if self.method == "iqr" else [self.lower_quantile, self.upper_quantile]
-            for c, (a, b) in quantiles(df, {c: dbl(c) for c in cols}, probs).items():
+            got = {c: [facts.quantile(self.facts[c], p) for p in probs] for c in cols if c in self.facts}
+            got.update({c: [self.ranked[c].quantile(p) for p in probs] for c in cols if c in self.ranked and c not in got})
+            scanned = {c: dbl(c) for c in cols if c not in got}
+            got.update(quantiles(df, scanned, probs) if scanned else {})
+            for c, (a, b) in ((c, got[c]) for c in cols):
                 if a is None:
                     continue
                 reach = self.threshold * (b - a) if self.method == "iqr" else 0.0
                 self.limits_[c] = (a - reach, b + reach)
-        known = {c: (dbl(c), lo, hi) for c, (lo, hi) in self.limits_.items() if lo == lo}
+        known = {c: (dbl(c), lo, hi) for c, (lo, hi) in self.limits_.items() if lo == lo and c not in self.facts}
         counts = outside_counts(df, known) if known else {}
+        counts.update({c: facts.outside(self.facts[c], lo, hi) for c, (lo, hi) in self.limits_.items() if lo == lo and c in self.facts})
         self.outlier_counts_ = {c: counts.get(c, 0) for c in self.limits_}
 
+    def _stats(self, df: DataFrame, cols: list[str]) -> dict[str, dict]:
+        scanned = {c: dbl(c) for c in cols if c not in self.facts}
+        return {**{c: facts.stats(self.facts[c]) for c in cols if c in self.facts}, **(numeric_stats(df, scanned) if scanned else {})}
+
+    def facts_out(self) -> dict:
+        if self.changes_rows or self.strategy != "clip":
+            return {} if self.changes_rows else self.facts
+        clean = {c: (lo, hi) for c, (lo, hi) in self.limits_.items() if lo == lo}
+        return {c: facts.clipped(f, *clean[c]) if c in clean else f for c, f in self.facts.items()}
+
+    def ranked_out(self) -> dict:
+        if self.changes_rows or self.strategy != "clip":
+            return {} if self.changes_rows else self.ranked
+        clean = {c: (lo, hi) for c, (lo, hi) in self.limits_.items() if lo == lo}
+        return {c: v.clipped(*clean[c]) if c in clean else v for c, v in self.ranked.items()}
+
+    def quantiles_wanted(self) -> tuple[float, ...]:
+        return {"iqr": (0.25, 0.75), "winsorize": (self.lower_quantile, self.upper_quantile)}.get(self.method, ())
+
     def _filled(self, columns: list[str]) -> dict[str, Column]:
         return {c: F.coalesce(dbl(c), F.lit(self.isolation_fill_values_[c])) for c in columns}
 
@@ -85,7 +110,8 @@ class OutlierTransformer(Stage):
     def _apply(self, df: DataFrame) -> DataFrame:
         if self.strategy != "clip":
             return df
-        return self.replace(df, {c: clip(q(c), lo, hi, df.schema[c].nullable) for c, (lo, hi) in self.limits_.items() if c in df.columns})
+        nullable = {f.name: f.nullable for f in df.schema.fields}
+        return self.replace(df, {c: clip_sql(c, lo, hi, nullable[c]) for c, (lo, hi) in self.limits_.items() if c in nullable})
 
     def fit_transform(self, df: DataFrame, target: str | None = None, key: str | None = None) -> DataFrame:
         self.fit(df, target, key)

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tabspark.functions.types import categorical_columns, q
+from tabspark.functions.types import categorical_columns, name_sql, q
 from tabspark.operators.aggregate import value_counts
 from tabspark.operators.mapping import build_maps, with_lookups
 from tabspark.operators.stages.base import Stage
@@ -31,11 +31,17 @@ class RareCategoryTransformer(Stage):
         elif self.threshold_count is not None:
             kept = counts.filter(F.col("n") >= self.threshold_count)
         else:
-            rows = df.count()
+            rows = df.count() if self.rows_known is None else self.rows_known
             kept = counts.filter(F.col("n") / F.lit(max(rows, 1)) >= self.threshold_pct)
         kept = kept.select("feature", "value", F.lit(True).alias("result"), "n")
         self.maps_ = build_maps(kept, cols, "boolean")
 
+    def facts_out(self) -> dict:
+        return {c: f for c, f in self.facts.items() if c not in self.columns_}
+
+    def ranked_out(self) -> dict:
+        return {c: v for c, v in self.ranked.items() if c not in self.columns_}
+
     @property
     def frequent_categories_(self) -> dict[str, list[str]]:
         return {c: sorted(m.entries) for c, m in self.maps_.items() if m.entries is not None}
@@ -47,4 +53,4 @@ class RareCategoryTransformer(Stage):
         joined, found = with_lookups(df, [(c, self.maps_[c], q(c)) for c in cols if c not in few])
         kept.update({c: e.isNotNull() for c, e in zip([c for c in cols if c not in few], found)})
         new = {c: F.when(q(c).isNull() | kept[c], q(c)).otherwise(F.lit(self.fill_value)) for c in cols}
-        return joined.select([new[c].alias(c) if c in new else q(c) for c in df.columns])
+        return joined.select([new[c].alias(c) if c in new else name_sql(c) for c in df.columns])

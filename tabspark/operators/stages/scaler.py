@@ -6,7 +6,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabspark.functions.types import dbl, numeric_columns, q
+from tabspark.functions.types import dbl, name_sql, number_sql, numeric_columns
+from tabspark.operators import facts
 from tabspark.operators.columnwise import numeric_stats
 from tabspark.operators.quantiles import quantiles
 from tabspark.operators.stages.base import Stage
@@ -48,18 +49,24 @@ class FeatureScaler(Stage):
         if not cols:
             return
         strategy = {c: self.column_strategies.get(c, self.default_strategy) for c in cols}
-        got = numeric_stats(df, {c: dbl(c) for c in cols})
+        got = {c: facts.stats(self.facts[c]) for c in cols if c in self.facts}
+        for c in (c for c in cols if c in self.ranked and c not in got and strategy[c] == "robust"):  # quartiles are enough
+            odd = self.ranked[c].has_odd()
+            if odd is not None:
+                got[c] = {"n": self.ranked[c].n + self.ranked[c].k, "odd": int(odd)}
+        scanned = {c: dbl(c) for c in cols if c not in got}
+        got.update(numeric_stats(df, scanned) if scanned else {})
         cols = [c for c in cols if got[c]["n"] and got[c]["odd"]]
         for c in cols:
             if strategy[c] not in STRATEGIES:
                 raise ValueError(f"unknown scaling strategy: {strategy[c]}")
         robust = [c for c in cols if strategy[c] == "robust"]
         counts = {c: got[c]["n"] for c in cols}
-        spread = quantiles(df, {c: dbl(c) for c in robust}, [0.25, 0.5, 0.75], counts=counts) if robust else {}
+        spread = self._quantiles(df, robust, [0.25, 0.5, 0.75], counts)
         ranked = [c for c in cols if strategy[c] == "quantile"]
         k = max(1, min(self.n_quantiles, df.count())) if ranked else 1
         probs = [i / (k - 1) for i in range(k)] if k > 1 else [0.0]
-        grids = quantiles(df, {c: dbl(c) for c in ranked}, probs, counts=counts) if ranked else {}
+        grids = self._quantiles(df, ranked, probs, counts)
         for c in cols:
             s = got[c]
             if strategy[c] == "standard":
@@ -72,11 +79,22 @@ class FeatureScaler(Stage):
             elif strategy[c] == "quantile":
                 self.scalers_[c] = ("quantile", list(np.maximum.accumulate(grids[c])), None)
 
+    def _quantiles(self, df: DataFrame, cols: list[str], probs: list[float], counts: dict[str, int]) -> dict:
+        got = {c: [facts.quantile(self.facts[c], p) for p in probs] for c in cols if c in self.facts}
+        if set(probs) <= set(self.quantiles_wanted()):
+            got.update({c: [self.ranked[c].quantile(p) for p in probs] for c in cols if c in self.ranked and c not in got})
+        scanned = {c: dbl(c) for c in cols if c not in got}
+        return {**got, **(quantiles(df, scanned, probs, counts={c: counts[c] for c in scanned}) if scanned else {})}
+
+    def quantiles_wanted(self) -> tuple[float, ...]:
+        return (0.25, 0.5, 0.75) if "robust" in (self.default_strategy, *self.column_strategies.values()) else ()
+
     def _apply(self, df: DataFrame) -> DataFrame:
-        new = {}
+        new, nullable = {}, {f.name: f.nullable for f in df.schema.fields}
         for c, (kind, a, b) in self.scalers_.items():
-            if c in df.columns:
-                new[c] = quantile_position(dbl(c), a, df.schema[c].nullable) if kind == "quantile" else (dbl(c) - F.lit(a)) / F.lit(b)
+            if c in nullable:
+                new[c] = quantile_position(dbl(c), a, nullable[c]) if kind == "quantile" else \
+                    f"(CAST({name_sql(c)} AS DOUBLE) - ({number_sql(a)})) / ({number_sql(b)})"
         return self.replace(df, new)
 
     def get_reports(self) -> dict:

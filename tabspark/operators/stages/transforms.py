@@ -40,6 +40,12 @@ class FeatureTransformer(Stage):
                 new[c] = STATIC[p["type"]](dbl(c), df.schema[c].nullable) if p["type"] in STATIC else LEARNED[p["type"]](dbl(c), p["lambda"])
         return self.replace(df, new)
 
+    def facts_out(self) -> dict:
+        return {c: f for c, f in self.facts.items() if c not in self.transformations}
+
+    def ranked_out(self) -> dict:
+        return {c: v for c, v in self.ranked.items() if c not in self.transformations}
+
     def get_reports(self) -> dict:
         return {"transformations": {c: {"operation": p["type"], "parameters": {k: v for k, v in p.items() if k == "lambda"}}
                                     for c, p in self.fitted_params_.items()}}

@@ -8,9 +8,10 @@ from copy import deepcopy
 from pyspark.sql import DataFrame
 
 from tabspark.functions.lineage import written
+from tabspark.functions.scalars import without_nan
 from tabspark.functions.types import q
 from tabspark.operators.stages import (DataCleaner, EncodingTransformer, FeatureScaler, FeatureTransformer,
-                                       MissingValueTransformer, OutlierTransformer, RareCategoryTransformer)
+                                       MissingValueTransformer, OutlierTransformer, RareCategoryTransformer, Stage)
 from tabspark.plans.tracking import MetadataTracker
 from tabspark.plans.validate import LeakageValidator, SchemaValidator
 from tabspark.sources.writers import write_run_reports
@@ -150,6 +151,7 @@ class PreprocessingPipeline:
         """``df`` holds the features and, for supervised stages, the target (and the key)."""
         target = self.target_column if self.target_column in df.columns else None
         key = self.key_column if self.key_column in df.columns else None
+        df = without_nan(df)
         run = self.tracker.run
         run["pipeline_steps"], run["config_snapshot"] = [n for n, _ in self.steps_], deepcopy(self.config)
         if self.schema_settings["enabled"]:
@@ -159,21 +161,33 @@ class PreprocessingPipeline:
                                                      "validation_report": report})
             self._on_schema(valid, report, "fit")
         if target is not None and self.leakage_settings["enabled"]:
-            report = self.leakage_validator.analyze(df, exclude=[key] if key else None)
+            report = self.leakage_validator.analyze(df, [key] if key else None, self.schema_validator.rows_)
             run["leakage_analysis"] = report
             if self.leakage_settings["fail_on_detection"] and any(report.values()):
                 raise ValueError(f"leakage validation failed: {report}")
         rows = self.schema_validator.rows_
         shape = (df.count() if rows is None else rows, len(self._features(df)))
-        rows_changed = False
+        rows_changed, known, ranked, n = False, {}, {}, shape[0]
+        seen = {}  # what the leakage check has measured, as long as the rows and values are the same
+        if target is not None and self.leakage_settings["enabled"]:
+            seen = {"values": self.leakage_validator.values_, "stats": self.leakage_validator.stats_}
         for name, stage in self.steps_:
             started, before = time.time(), len(self._features(df))
+            if isinstance(stage, Stage):
+                stage.facts, stage.ranked, stage.rows_known, stage.nan_free = known, ranked, n, True
+                stage.seen = seen
+                later = [s for _, s in self.steps_ if isinstance(s, Stage)]
+                stage.asked = tuple(sorted({p for s in later for p in s.quantiles_wanted()}))
             if hasattr(stage, "fit_transform"):
                 df = stage.fit_transform(df, target, key)
             else:
                 stage.fit(df, target, key)
                 df = stage.transform(df)
+            known = stage.facts_out() if isinstance(stage, Stage) else {}
+            ranked = stage.ranked_out() if isinstance(stage, Stage) else {}
             changed = getattr(stage, "changes_rows", False)
+            seen = stage.seen_out() if isinstance(stage, Stage) and not changed else {}
+            n = None if changed or not isinstance(stage, Stage) else n
             rows_changed = rows_changed or changed
             if self.materialize and stage is not self.steps_[-1][1] and (changed or len(df.columns) > before + WIDE):
                 df = written(df)
@@ -194,6 +208,7 @@ class PreprocessingPipeline:
         if self.schema_settings["enabled"]:
             valid, report = self.schema_validator.validate(df, is_train=False)
             self._on_schema(valid, report, "transform")
+        df = without_nan(df)
         for _, stage in self.steps_:
             df = stage.transform(df)
         return df

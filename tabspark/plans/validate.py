@@ -73,7 +73,9 @@ class LeakageValidator:
         self.target_column = target_column
         self.cardinality_threshold, self.correlation_threshold = cardinality_threshold, correlation_threshold
 
-    def analyze(self, df: DataFrame, exclude: list[str] | None = None) -> dict:
+    def analyze(self, df: DataFrame, exclude: list[str] | None = None, rows: int | None = None) -> dict:
+        """Keeps the value profile and the numeric statistics it takes (`values_`, `stats_`), for stages that need them again."""
+        self.values_, self.stats_ = {}, {}
         report = {"id_like_columns": [], "highly_correlated_columns": {}, "near_constant_columns": []}
         target, fams = self.target_column, families(df)
         if target not in df.columns:
@@ -81,11 +83,13 @@ class LeakageValidator:
         cols = [c for c in df.columns if c != target and c not in (exclude or []) and fams[c] != "other"]
         numeric = [c for c in numeric_columns(df) if c in cols] if fams[target] in ("numeric", "boolean") else []
         label = q(target).cast("double")
-        rows = df.count()
+        rows = df.count() if rows is None else rows
         if rows == 0:
             return report
         values = value_profile(df, cols)
-        corr = {c: s["corr"] for c, s in numeric_stats(df, {c: q(c) for c in numeric}, label).items()} if numeric else {}
+        stats = numeric_stats(df, {c: q(c) for c in numeric}, label) if numeric else {}
+        corr = {c: s["corr"] for c, s in stats.items()}
+        self.values_, self.stats_ = values, stats
         report["near_constant_columns"] = constant_columns(df, values)
         varied = [c for c in cols if c not in report["near_constant_columns"]]
         countable = [c for c in varied if is_integer(df.schema[c].dataType) or fams[c] == "categorical"]
