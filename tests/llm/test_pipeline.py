@@ -61,7 +61,6 @@ def test_secrets(stages):
             out += text[at:start] + "[SECRET]" if start >= at else ""
             at = max(at, end)
         assert new[i] == (out + text[at:], len(out + text[at:]))
-    assert any("[SECRET]" in t for t, _ in new.values())
 
 
 def test_packing(stages):
