@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tabspark.llm import attribution, decontam, langid, licenses, neardup, packing, pii, quality, secret_scan, topk
 from tabspark.llm.common import table
+from tabspark.llm.oracles import LEAKS, NEAR_DUPLICATES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,7 +32,7 @@ register("op6_exact_top_k", topk.op6_exact_top_k, "embeddings", sql="""
           FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
     SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 5""")
-register("op7_near_duplicates", neardup.op7_near_duplicates, "documents")
-register("op8_decontamination", decontam.op8_decontamination, "documents", "benchmark")
+register("op7_near_duplicates", neardup.op7_near_duplicates, "documents", sql=NEAR_DUPLICATES)
+register("op8_decontamination", decontam.op8_decontamination, "documents", "benchmark", sql=LEAKS)
 register("op9_secrets", secret_scan.op9_secrets, "documents")
 register("op10_quality", quality.op10_quality, "documents", "labels")
