@@ -354,7 +354,19 @@ def i39(spark, sf):
     return fitted(FeatureScaler("quantile", n_quantiles=11), spark, sf, ["credit"])
 
 
-@query("i39_scale_quantile_full")
+def _grid_position(c: str) -> str:
+    """Position of a column among its 1000 quantiles: between two of them by interpolation, on ties the middle of the equal ones."""
+    return f"""CASE WHEN {c} IS NULL THEN NULL WHEN {c} <= {c}_k[1] THEN 0 WHEN {c} >= {c}_k[1000] THEN 1
+  WHEN {c}_k[{c}_up] = {c} THEN (({c}_up - 1) + {c}_low) / 2.0 / 999 ELSE ({c}_up - 1 + ({c} - {c}_k[{c}_up]) / ({c}_k[{c}_up + 1] - {c}_k[{c}_up])) / 999 END"""
+
+
+_GRID_TEXT = "[" + ", ".join(f"{i}::DOUBLE / 999" for i in range(1000)) + "]"
+_PLACES = ", ".join(f"len(list_filter({c}_k, lambda x: x <= {c})) AS {c}_up, len(list_filter({c}_k, lambda x: x < {c})) AS {c}_low" for c in _MONEY)
+
+
+@query("i39_scale_quantile_full", sql(f"SELECT app_id, {', '.join(r(_grid_position(c), c) for c in _MONEY)} FROM places",
+                                      grid="SELECT " + ", ".join(f"quantile_cont({c}, {_GRID_TEXT}) AS {c}_k" for c in _MONEY) + " FROM train",
+                                      places=f"SELECT *, {_PLACES} FROM val, grid"))
 def i39f(spark, sf):
     """1000 quantiles per column, on columns with nulls and ties."""
     return fitted(FeatureScaler("quantile"), spark, sf, _MONEY)
