@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tabspark.llm import decontam, langid, neardup, packing, secret_scan
-from tabspark.llm.common import settled, table
+from tabspark.llm.common import last_written, settled, sweep, table, written_so_far
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +46,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, since = table(spark, sf_dir, "documents"), written_so_far()
     for name, stage in STAGES:
         docs = settled(stage(spark, docs, sf_dir), f"stage-{name}")
+        sweep(spark, since, last_written())  # the stage before, and what this one has put aside
     return docs

@@ -68,7 +68,8 @@ def ship(spark: SparkSession) -> None:
 
 
 def slices(rows: pa.RecordBatch, text: str, most_bytes: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """The batch in pieces of about `most_bytes` of text (a single longer text stays whole)."""
+    """The batch in pieces of about `most_bytes` of text (a single longer text stays whole); memory of earlier batches goes back first."""
+    pa.default_memory_pool().release_unused()
     start = size = 0
     lengths = pc.binary_length(rows.column(text)).fill_null(0).to_pylist()
     for i, n in enumerate(lengths):
@@ -85,17 +86,28 @@ def scratch_path(spark: SparkSession, what: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/llm-{what}-{uuid.uuid4().hex}"
 
 
+_written: list[str] = []
+
+
 def settled(df: DataFrame, what: str) -> DataFrame:
     """Write to the shared folder and read back: the lineage is cut, and lost executors take nothing with them."""
     path = scratch_path(df.sparkSession, what)
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Delete what `settled` wrote, once nothing reads it any more."""
-    spark = df.sparkSession
-    for path in {os.path.dirname(f) for f in df.inputFiles()}:
-        if "/llm-" in path:
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+def written_so_far() -> int:
+    return len(_written)
+
+
+def sweep(spark: SparkSession, since: int, keep: str | None = None) -> None:
+    """Delete what `settled` has written from the given count on, once nothing reads it any more."""
+    for path in [p for p in _written[since:] if p != keep]:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        _written.remove(path)
+
+
+def last_written() -> str:
+    return _written[-1]

@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 import os
 from array import array
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 
@@ -30,23 +30,29 @@ class Encoder:
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
         rules = json.loads(spec)
-        before, model = rules.get("pre_tokenizer") or {}, rules["model"]
-        self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.encode_special_tokens = True
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() < 1 << 16 else "<u4")
+        before, model, added = rules.get("pre_tokenizer") or {}, rules["model"], rules.get("added_tokens") or []
+        vocabulary = model.get("vocab", {})
+        most = max([t["id"] for t in added] + (list(vocabulary.values()) if isinstance(vocabulary, dict) else [len(vocabulary)]), default=0)
+        self.spec, self.dtype = spec, np.dtype("<u2" if most < 1 << 16 else "<u4")
         self.byte_level = before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and not rules.get("normalizer") and not rules.get("post_processor")
-        self.byte_level = self.byte_level and before.get("use_regex", True) and self._ranked(model)
+        self.byte_level = self.byte_level and before.get("use_regex", True) and self._ranked(model, {t["content"] for t in added})
+
+    @cached_property
+    def tokenizer(self):
+        """The tokenizer itself; made only where the quick encoding won't do."""
+        from tokenizers import Tokenizer
+
+        made = Tokenizer.from_str(self.spec)
+        made.encode_special_tokens = True
+        return made
 
-    def _ranked(self, model: dict) -> bool:
+    def _ranked(self, model: dict, special: set[str]) -> bool:
         """Whether ids follow the order of merges, as ranks do; if so, makes the quick encoding."""
         import tiktoken
 
         letters, vocabulary = byte_of_letter(), model.get("vocab", {})
         merged = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in model.get("merges", [])]
-        special = {t["content"] for t in json.loads(self.tokenizer.to_str()).get("added_tokens", [])}
         plain = {t: i for t, i in vocabulary.items() if t not in special}
         if merged != sorted(merged) or not all(c in letters for t in plain for c in t) or sum(len(t) == 1 for t in plain) != 256 or len(merged) + 256 != len(plain):
             return False

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabspark.llm.common import batch, discard, remainder, settled, share, ship, slices, vocabulary_file
+from tabspark.llm.common import batch, remainder, settled, share, ship, slices, sweep, vocabulary_file, written_so_far
 
 PIECES = "piece_bpe_32k.model"
 #: Longest piece used, in characters, and longest run of letters that is scored in one go.
@@ -29,7 +29,7 @@ LONGEST, RUN = 8, 32
 #: Probability of a character that is no piece of the vocabulary, alike in every language.
 UNKNOWN = 1e-7
 #: Words whose scores a worker keeps at hand; the cache starts anew when full.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 #: Bits a letter beyond which a text is taken to be in none of the learned languages.
 FOREIGN_BITS = 14.0
 WORD = re.compile(r"[^\W\d_]+")
@@ -209,6 +209,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     sample = docs.filter(share("key", 71) < chosen).select("text", "lang")
     counted = sample.mapInArrow(_word_counts(languages), "word string, lang int, n bigint").groupBy("word").agg(
         *[F.sum(F.when(F.col("lang") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(len(languages))])
+    since = written_so_far()
     counted = settled(counted, "words")
     for _ in range(rounds):
         uses = counted.repartition(docs.sparkSession.sparkContext.defaultParallelism).mapInArrow(_expectation(model), "piece int, uses array<double>")
@@ -218,7 +219,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
             count[r["piece"]] = r[1:]
         pooled = 0.9 * count.sum(1) / max(count.sum(), 1) + 0.1 / max(len(pieces), 1)
         model = LanguageModel(languages, pieces, (count + smoothing * pooled[:, None]) / (count.sum(0) + smoothing * pooled.sum()))
-    discard(counted)
+    sweep(docs.sparkSession, since)
     return model
 
 

@@ -37,7 +37,7 @@ SIGMAS = 4.0
 #: Second look: neighbours on either side in each tree, and of all those the most alike that are confirmed on full sets.
 WIDE, CLOSEST = 512, 48
 #: Rows of a tree's order in one range partition, and word hashes a worker keeps at hand.
-ROWS, REMEMBERED = 200_000, 400_000
+ROWS, REMEMBERED = 200_000, 150_000
 #: Ids of documents with candidates are broadcast up to this many (8 bytes each); beyond, they are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 MIX, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)

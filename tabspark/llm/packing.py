@@ -58,7 +58,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
     kind = docs.schema[key].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
+        for rows in (some for whole in batches for some in slices(whole, "tokens", 2_000_000)):
             out: dict[str, list] = {c: [] for c in ("row", "start", "length", "doc_tokens", "sequence_id", "offset", "ids", "continued", "continues")}
             for i, (part, place, tokens, width) in enumerate(zip(*(rows.column(c).to_pylist() for c in ("part", "place", "tokens", "width")))):
                 ids = np.frombuffer(tokens, f"<u{width}").astype("<u4").tobytes()

@@ -25,7 +25,7 @@ from tabspark.llm.common import remainder, share, ship, slices
 BITS, SHARDS = 18, 4
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 #: Hashes of words that a worker keeps at hand.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 PAIR = np.uint32(0x85EBCA6B)
 
 
