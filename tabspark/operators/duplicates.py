@@ -49,7 +49,7 @@ def keep_first(df: DataFrame, features: list[str], key: str | None) -> tuple[Dat
     """Drop rows whose features repeat an earlier row (smallest key); other columns follow the kept row.
 
     Returns the frame and whether anything was dropped. Copies are folded by an aggregate with map-side
-    combining (min_by), not a window, so a group of copies holding a third of the rows stays cheap.
+    combining, not a window, so a group of copies holding a third of the rows stays cheap.
     """
     repeated, k = _suspects(df, features)
     if k == 0:
@@ -60,10 +60,12 @@ def keep_first(df: DataFrame, features: list[str], key: str | None) -> tuple[Dat
         raise ValueError("keep-first needs a key column that orders the rows")
 
     def folded(rows: DataFrame) -> DataFrame:
-        aggs = [F.min_by(q(c), q(key)).alias(c) if c != key else F.min(q(c)).alias(c) for c in others]
-        grouped = rows.groupBy(*[q(c) for c in features])
-        out = grouped.agg(*aggs) if aggs else rows.select(*[q(c) for c in features]).distinct()
-        return out.select(*[q(c) for c in df.columns])
+        if not others:
+            return rows.select(*[q(c) for c in features]).distinct().select(*[q(c) for c in df.columns])
+        # one struct, so that all other columns follow the same row also where keys repeat
+        first = F.min(F.struct(q(key).alias("_k"), *[q(c).alias(f"_{i}") for i, c in enumerate(others)])).alias("_first")
+        out = rows.groupBy(*[q(c) for c in features]).agg(first)
+        return out.select(*[q(c) if c in features else F.col(f"_first._{others.index(c)}").alias(c) for c in df.columns])
 
     if k <= BROADCAST_ENTRIES:
         small = F.broadcast(repeated)
