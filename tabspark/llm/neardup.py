@@ -32,7 +32,7 @@ from tabspark.functions.lineage import checkpoint
 from tabspark.llm.common import fresh, settled, ship
 from tabspark.llm.components import components
 
-TREES, DEPTH, LEAST, REGION = 16, 12, 5, 16
+TREES, DEPTH, LEAST, REGION, REACH = 16, 12, 5, 16, 2
 SIGMAS = 4.0
 #: Second look: neighbours on either side in each tree, and of all those the most alike that are confirmed on full sets.
 WIDE, CLOSEST = 512, 48
@@ -101,14 +101,16 @@ def neighbours(tree: np.ndarray, keys: np.ndarray, region: int = REGION, least:
     """Positions (i, j), i < j, of candidates in one sorted stretch; keys: rows x DEPTH values.
 
     A row's depth is the smallest, from `least`, at which at most `region` rows share its prefix (the full depth if none). Rows that share
-    their prefix to that depth are candidates, in a region still too large up to `region` places apart, and so are direct neighbours
-    from `least` values on.
+    their prefix to that depth are candidates, and so are direct neighbours from `least` values on. Where more than `region` rows share
+    `least` values, a row only meets the next REACH in the order: they hold a dense region together without all its pairs.
     """
     n, depth = keys.shape
     if n < 2:
         return np.zeros(0, "i8"), np.zeros(0, "i8")
     same = keys[1:] == keys[:-1]
     shared = np.where(tree[1:] == tree[:-1], np.cumprod(same, axis=1).sum(1), 0)
+    first = np.concatenate([[0], np.cumsum(shared < least)])
+    dense = np.bincount(first)[first] > region
     own = np.full(n, depth)
     open_ = np.ones(n, bool)
     for d in range(least, depth):
@@ -118,7 +120,7 @@ def neighbours(tree: np.ndarray, keys: np.ndarray, region: int = REGION, least:
     left, right, reach = [], [], np.full(n, depth + 1)
     for step in range(1, min(region, n - 1) + 1):
         reach = np.minimum(reach[:n - step] if step > 1 else reach[:n - 1], shared[step - 1:])
-        ok = reach >= (least if step == 1 else own[:n - step])
+        ok = (reach >= (least if step == 1 else own[:n - step])) & ((step <= REACH) | ~dense[:n - step])
         if not (reach >= least).any():
             break
         at = np.flatnonzero(ok)
@@ -274,7 +276,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     folded = settled(every.filter("print IS NOT NULL").groupBy("print").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sign").alias("sign")), "folded")
     pairs, dense = candidates(folded, level)
     pending = settled(likely(pairs, folded, level), "pairs")
-    wanted = settled(pending.select(F.explode(F.array("a", "b")).alias("id")).union(dense.select("id")).distinct(), "wanted")
+    wanted = settled(pending.select("a").union(pending.select("b")).union(dense.select("id")).distinct().withColumnRenamed("a", "id"), "wanted")
     ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,8 +292,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
             break
         chosen = pending
         if not last:  # the best candidate of every document first
-            best = pending.select(F.explode(F.array("a", "b")).alias("id"), "a", "b", "agree").groupBy("id").agg(F.max(F.struct("agree", "a", "b")).alias("m"))
-            chosen = best.select("m.a", "m.b").distinct()
+            best = lambda side: pending.groupBy(side).agg(F.max(F.struct("agree", "a", "b")).alias("m")).select("m.a", "m.b")
+            chosen = best("a").union(best("b")).distinct()
         found = checkpoint(confirmed(chosen, contents, threshold))
         links = found if links is None else links.union(found)
         classes = components(links)

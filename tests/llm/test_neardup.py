@@ -99,9 +99,11 @@ def test_adaptive_depth():
     found = set(zip(i.tolist(), j.tolist()))
     prefix = lambda a, d: tuple(keys[a, :d])
     for a in range(400):
+        dense = sum(prefix(a, 5) == prefix(b, 5) for b in range(400)) > 8
         depth = next((d for d in range(5, neardup.DEPTH) if sum(prefix(a, d) == prefix(b, d) for b in range(400)) <= 8), neardup.DEPTH)
         for b in range(a + 1, min(400, a + 9)):
-            assert ((a, b) in found) == (prefix(a, depth) == prefix(b, depth) or (b == a + 1 and prefix(a, 5) == prefix(b, 5)))
+            near = b - a <= neardup.REACH or not dense
+            assert ((a, b) in found) == (near and (prefix(a, depth) == prefix(b, depth) or (b == a + 1 and prefix(a, 5) == prefix(b, 5))))
 
 
 def test_components(spark):
