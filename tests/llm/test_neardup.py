@@ -68,6 +68,23 @@ def test_dense_group_and_pairs_near_the_threshold(spark, monkeypatch):
     assert run(spark, rows) == brute(rows, 3, 85, 100)
 
 
+@pytest.mark.parametrize("rows_,block,side", [(200_000, 8192, 1024), (500, 100, 40)])
+def test_dense_group_of_sparse_links(spark, monkeypatch, rows_, block, side):
+    """A base and many edited copies, most of them near to the base only; the second case cuts partitions, cells and blocks small."""
+    for name, value in (("ROWS", rows_), ("BLOCK", block), ("SIDE", side)):
+        monkeypatch.setattr(neardup, name, value, raising=False)
+    rng = random.Random(5)
+    base = [f"{rng.choice(string.ascii_lowercase)}{k}" for k in range(500)]
+    texts = [" ".join(base)]
+    for _ in range(700):
+        w = list(base)
+        for k in rng.sample(range(500), 13):
+            w[k] = "new" + str(rng.randrange(10 ** 6))
+        texts.append(" ".join(w))
+    rows = list(enumerate(texts))
+    assert run(spark, rows) == brute(rows, 3, 85, 100)
+
+
 def test_many_range_partitions(spark, monkeypatch):
     monkeypatch.setattr(neardup, "ROWS", 60)
     rng = random.Random(2)
