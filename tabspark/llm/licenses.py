@@ -1,9 +1,9 @@
-"""License scan by a positional rare-token index of license templates.
+"""License scan by a positional index of license templates.
 
 Texts are lower-cased A-Z and cut into words of letters and digits (and any character outside ASCII). The index holds, for every word of the
-TEMPLATES that is no function word, the templates and positions it stands at. A file's licence words are ranked by inverse document
-frequency over all files; the RAREST are looked up, and postings that agree on template and relative position (word place in the file less its place
-in the template) are intersected. Where enough words agree, the template's mandatory phrases must stand at their places, too.
+TEMPLATES that is no function word, the templates and positions it stands at. A template's mandatory phrases must stand in the file at matching places
+(word place in the file less place in the template). In files that have them, all licence words are looked up, whatever their number: where enough
+agree on template and relative position, the template is found. Its score is the share of its words that agree, weighted by inverse document frequency.
 Besides, the fixed PHRASES are found wherever their words stand consecutively.
 
 Defined results: a null text is empty and has no words; repeated rows are scanned one by one; texts are read whole; a template met several times counts
@@ -46,8 +46,8 @@ TEMPLATES = [
 ]
 FUNCTION_WORDS = set("a and any are as at by can for in into is it may not of or that the this to use with you 0 1 2 3 4 v".split())
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Rarest licence words of a file that are looked up, and how many must agree on a place (all, where a template has fewer).
-RAREST, AGREE = 12, 2
+#: Words of a template that must agree on a place (all, where a template has fewer).
+AGREE = 2
 #: Score of a file in which only the fixed phrases are found.
 PHRASE_SCORE = 0.5
 
@@ -97,22 +97,15 @@ def _index(spark: SparkSession, weights: dict[str, float]) -> DataFrame:
 
 
 def templates_found(found: DataFrame) -> DataFrame:
-    """row, template, score: templates whose rare words and mandatory phrases stand at matching places of the file."""
+    """row, template, score: templates whose words and mandatory phrases stand at matching places of the file."""
     spark = found.sparkSession
     n = max(found.count(), 1)
     seen = found.select(F.explode(F.array_distinct(F.transform("hits", lambda h: h["word"]))).alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()
     counts = {r["word"]: r["n"] for r in seen}
     weights = {w: math.log((n + 1) / (counts.get(w, 0) + 1)) + 1e-9 for w in _vocabulary()}
-    rank = spark.createDataFrame([(w, weights[w]) for w in _vocabulary() if w not in FUNCTION_WORDS], "word string, weight double")
-    index = _index(spark, weights).drop("weight")
-    hits = found.select("row", F.explode("hits").alias("h")).select("row", "h.at", "h.word").join(F.broadcast(rank), "word")
-    rare = hits.withColumn("rank", F.dense_rank().over(Window.partitionBy("row").orderBy(F.desc("weight"), "word"))).filter(F.col("rank") <= RAREST)
-    aligned = rare.join(F.broadcast(index), "word").groupBy("row", "template", (F.col("at") - F.col("place")).alias("shift")).agg(
-        F.countDistinct("place").alias("agree"), F.sum("weight").alias("weight"))
+    index = _index(spark, weights)
     sizes = [len([w for w in text.split() if w not in FUNCTION_WORDS]) for _, text, _ in TEMPLATES]
     totals = [sum(weights[w] for w in text.split() if w not in FUNCTION_WORDS) for _, text, _ in TEMPLATES]
-    enough = F.get(F.array(*[F.lit(min(AGREE, s)) for s in sizes]), F.col("template"))
-    aligned = aligned.filter(F.col("agree") >= enough)
     # mandatory phrases, at the place they have in the template
     needed = []
     for t, (_, text, phrases) in enumerate(TEMPLATES):
@@ -122,8 +115,15 @@ def templates_found(found: DataFrame) -> DataFrame:
     phrases = found.filter(F.size("hits") > 0).select("row", F.explode(F.flatten(F.array(*needed))).alias("p")).select("row", "p.*")
     phrases = phrases.groupBy("row", "template", "shift").agg(F.countDistinct("phrase").alias("phrases"))
     asked = F.get(F.array(*[F.lit(len(p)) for *_, p in TEMPLATES]), F.col("template"))
+    phrases = phrases.filter(F.col("phrases") >= asked)
+    # all licence words of the files that have the phrases of a template
+    hits = found.select("row", F.explode("hits").alias("h")).select("row", "h.at", "h.word").join(phrases.select("row").distinct(), "row", "left_semi")
+    met = hits.join(F.broadcast(index), "word").select("row", "template", (F.col("at") - F.col("place")).alias("shift"), "place", "weight")
+    aligned = met.join(phrases, ["row", "template", "shift"]).groupBy("row", "template", "shift").agg(
+        F.countDistinct("place").alias("agree"), F.sum("weight").alias("weight"))
+    enough = F.get(F.array(*[F.lit(min(AGREE, s)) for s in sizes]), F.col("template"))
     share = F.least(F.col("weight") / F.get(F.array(*[F.lit(x) for x in totals]), F.col("template")), F.lit(1.0))
-    return aligned.join(phrases, ["row", "template", "shift"]).filter(F.col("phrases") >= asked).groupBy("row", "template").agg(F.max(share).alias("score"))
+    return aligned.filter(F.col("agree") >= enough).groupBy("row", "template").agg(F.max(share).alias("score"))
 
 
 def _needed(template: int, phrase: int, place: int):

@@ -57,6 +57,21 @@ def test_every_template(spark):
     assert all(rows[i] == [""] for i in range(3 * n, 3 * n + 60))
 
 
+def test_many_notices_in_a_file(spark):
+    every = ". ".join(text for _, text, _ in licenses.TEMPLATES)
+    pairs = [(a, b) for i, a in enumerate(licenses.TEMPLATES) for b in licenses.TEMPLATES[i + 1:]]
+    scattered = "following person conditions granted charge copy software documentation files "  # licence words, no notice
+    texts = [every] + [f"{a[1]}; {b[1]}" for a, b in pairs] + [scattered * 2000 + licenses.TEMPLATES[2][1] + " " + scattered * 2000, scattered * 50]
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(10_000 + i, "some words of no licence at all") for i in range(60)], "doc_id int, text string")
+    rows = {r["doc_id"]: r for r in licenses.op5_licenses(spark, docs).collect()}
+    labels = {i: set(r["labels"].split(",")) for i, r in rows.items()}
+    assert {label for label, *_ in licenses.TEMPLATES} <= labels[0]
+    for i, (a, b) in enumerate(pairs, 1):
+        assert {a[0], b[0]} <= labels[i], (a[0], b[0])
+    assert "bsd" in labels[len(texts) - 2] and labels[len(texts) - 1] == {""}
+    assert abs(rows[0]["score"] - 1) < 1e-9
+
+
 def test_odd_inputs(spark):
     texts = [None, "", "CC-BY", "cc by cc by", "All\nRights--Reserved. all rights", "ÀLL rights reserved", "cc éby", "general public general public license", "x " * 200_000 + "cc by", "İcc by", "\x7fcc\x00by", "by", "cc"]
     docs = spark.createDataFrame([*enumerate(texts), (2, "CC-BY"), (None, "cc by")], "doc_id int, text string").selectExpr("*", "1 AS row", "2 AS key", "3 AS words", "4 AS hits")
