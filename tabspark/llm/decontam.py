@@ -30,7 +30,8 @@ TOKEN = r"\p{N}+(?:[.,]\p{N}+)*|[\p{L}\p{M}@]+"
 
 def raw_words(text: Column) -> Column:
     """Lower-case words and numbers; names begin with @."""
-    marked = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), "@", " "), NAME, "$1@$2"), NAME, "$1@$2")
+    flat = F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), "@", " "), r"\s+", " ")  # a name is one in any layout
+    marked = F.regexp_replace(F.regexp_replace(flat, NAME, "$1@$2"), NAME, "$1@$2")
     return F.regexp_extract_all(F.lower(marked), F.lit(TOKEN), F.lit(0))
 
 

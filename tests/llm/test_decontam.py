@@ -1,5 +1,6 @@
 """Leaks against a plain comparison of template windows; other values, inconsistent values, odd inputs."""
 
+import textwrap
 from collections import defaultdict
 
 import pytest
@@ -69,6 +70,13 @@ def test_other_values(spark):
     assert kept.columns == d.columns and {r["doc_id"] for r in kept.collect()} == {i for i, _ in docs} - {d for d, _ in got}
 
 
+def test_layout(spark):
+    text = "the traders Anna Lee and Omar Diaz went by ship from Boston to Madrid where Karl Stone and Ida Berg met them near the old Harbour of Lisbon"
+    docs = [(1, text), (2, text.replace(" ", "  ")), (3, text.replace(" ", "\n")), (4, text.replace(" ", "\t")), (5, textwrap.fill(text, 20)), (6, textwrap.fill(text, 30))]
+    got, *_ = run(spark, docs, [(10, text)])
+    assert len(got) == 6 and len(set(got.values())) == 1 and got[1, 10][3]
+
+
 def test_documents(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
