@@ -101,11 +101,15 @@ def written_so_far() -> int:
     return len(_written)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def sweep(spark: SparkSession, since: int, keep: str | None = None) -> None:
     """Delete what `settled` has written from the given count on, once nothing reads it any more."""
     for path in [p for p in _written[since:] if p != keep]:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        discard(spark, path)
         _written.remove(path)
 
 

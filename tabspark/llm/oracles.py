@@ -41,3 +41,9 @@ good AS (SELECT doc, item, n, shift + start_pos AS start, total, len(list_filter
   WHERE len(list_distinct(s)) = len(list_distinct(list_transform(s, lambda x: x.asked)))),
 best AS (SELECT *, row_number() OVER (PARTITION BY doc, item ORDER BY n DESC, start, verbatim DESC) AS place FROM good)
 SELECT doc AS doc_id, item AS item_id, CAST(n AS BIGINT) AS n_windows, n / total AS coverage, CAST(start AS BIGINT) AS start, verbatim FROM best WHERE place = 1"""
+
+RECORDS = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, ''))) AS size FROM pages),
+r AS (SELECT *, size >= 1000 AND row_number() OVER (PARTITION BY h ORDER BY page_id DESC NULLS LAST) > 1 AS again, max(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN again THEN first END AS refers_to FROM r"""

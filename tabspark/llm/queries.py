@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabspark.llm import attribution, decontam, langid, licenses, neardup, packing, pii, quality, secret_scan, topk
+from tabspark.llm import attribution, decontam, langid, licenses, neardup, packing, pii, quality, secret_scan, topk, warc
 from tabspark.llm.common import table
-from tabspark.llm.oracles import LEAKS, NEAR_DUPLICATES
+from tabspark.llm.oracles import LEAKS, NEAR_DUPLICATES, RECORDS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,3 +36,4 @@ register("op7_near_duplicates", neardup.op7_near_duplicates, "documents", sql=NE
 register("op8_decontamination", decontam.op8_decontamination, "documents", "benchmark", sql=LEAKS)
 register("op9_secrets", secret_scan.op9_secrets, "documents")
 register("op10_quality", quality.op10_quality, "documents", "labels")
+register("op11_warc", warc.op11_warc, "pages", sql=RECORDS)
