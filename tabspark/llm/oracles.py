@@ -47,3 +47,17 @@ WITH p AS (SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce
 r AS (SELECT *, size >= 1000 AND row_number() OVER (PARTITION BY h ORDER BY page_id DESC NULLS LAST) > 1 AS again, max(page_id) OVER (PARTITION BY h) AS first FROM p)
 SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN again THEN first END AS refers_to FROM r"""
+
+PHRASES = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS g FROM w, (VALUES (1), (2), (3)) t(k)),
+f AS (SELECT lang, k, g, count(*) AS f FROM grams GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE k > 1 AND f >= 10),
+cuts AS (SELECT c.lang, c.g, c.f AS a, x.f AS l, y.f AS r, j, CAST(1000000 * CAST(c.f AS HUGEINT) * c.f // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c JOIN f x ON x.lang = c.lang AND x.g = c.g[1:j] JOIN f y ON y.lang = c.lang AND y.g = c.g[j + 1:]),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1),
+inner_ones AS (SELECT DISTINCT s.lang, s.g FROM c s JOIN (SELECT lang, f, unnest([g[1:2], g[2:3]]) AS g FROM c WHERE k = 3) b ON s.lang = b.lang AND s.g = b.g AND 100 * b.f >= 50 * s.f),
+r AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM lowest ANTI JOIN inner_ones USING (lang, g))
+SELECT * FROM (SELECT r.lang, CAST(row_number() OVER (PARTITION BY r.lang ORDER BY score DESC, a DESC, phrase) AS BIGINT) AS rank, phrase, a, l, r, n, score FROM r JOIN n USING (lang)) WHERE rank <= 2000"""
