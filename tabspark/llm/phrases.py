@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tabspark.llm.common import settled, ship, slices
 
 LEAST, LONGEST, INSIDE, BEST = 10, 3, 50, 2000
-BUDGET, BITS, FOLD_BYTES = 1_000_000, 1 << 24, 6_000_000
+BUDGET, BITS, FOLD_BYTES = 500_000, 1 << 24, 4_000_000
 #: What ends a piece, and the letters that are folded. `.` ends pieces, so no word holds it.
 PIECE_ENDS = b".,;:!?\n\v\f\r"
 FOLD = bytes.maketrans(PIECE_ENDS + b"\tABCDEFGHIJKLMNOPQRSTUVWXYZ", b"." * len(PIECE_ENDS) + b" abcdefghijklmnopqrstuvwxyz")
@@ -102,8 +102,9 @@ def frequent(words: DataFrame, least: int, most_bits: int) -> tuple[np.ndarray,
     return masks, bits
 
 
-def suffixes(docs: DataFrame, words: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, longest: int = LONGEST, budget: int = BUDGET, most_bits: int = BITS) -> tuple[DataFrame, int]:
-    """grp, lang, w1, w2, ... (null past a piece's end or at a rare word), f: suffixes cut off at `longest` words, folded within tasks; and the number of groups."""
+def suffixes(docs: DataFrame, words: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, longest: int = LONGEST, budget: int = BUDGET, most_bits: int = BITS) -> tuple[DataFrame, int, set[tuple[str, bytes]]]:
+    """grp, lang, w1, w2, ... (null past a piece's end or at a rare word), f: suffixes of two words or more, cut off at `longest`, folded within tasks;
+    the number of groups; and the words beyond the budget."""
     spark = docs.sparkSession
     total = words.filter(F.col("f") >= least).agg(F.sum("f")).first()[0] or 0
     groups = int(total // budget) + 1
@@ -137,7 +138,7 @@ def suffixes(docs: DataFrame, words: DataFrame, text: str = "text", lang: str =
                 columns = [codes[:len(codes) - longest]]
                 for j in range(1, longest):
                     columns.append(np.where(columns[-1] >= 0, codes[j:len(codes) - longest + j], -1))
-                kept = columns[0] >= 0
+                kept = columns[1] >= 0  # single words are counted already
                 width = np.int64(len(plain) + 1)
                 key = columns[0][kept]
                 if float(width) ** longest < 2 ** 62:
@@ -160,36 +161,49 @@ def suffixes(docs: DataFrame, words: DataFrame, text: str = "text", lang: str =
                     yield pa.RecordBatch.from_arrays([pa.array(group[a:a + 50_000].astype("i4")), pa.array([language] * len(some), pa.string()), *taken, pa.array(counts[a:a + 50_000], pa.int64())], names)
 
     schema = "grp int, lang string, " + ", ".join(f"w{i} binary" for i in range(1, longest + 1)) + ", f bigint"
-    return read(docs, text, lang).mapInArrow(work, schema), groups
+    return read(docs, text, lang).mapInArrow(work, schema), groups, hot
 
 
-def subtree(rows: pa.Table, longest: int) -> Iterator[tuple[int, list[pa.Array], np.ndarray]]:
-    """depth, words and counts of the inner nodes and leaves of one group, from depth 2 on. Sums over leaves are exact (64 bits)."""
+def hot_words(langs: pa.Array, words: pa.Array, places: np.ndarray, hot: set[tuple[str, bytes]]) -> np.ndarray:
+    """Whether each (language, word), given by places in the two arrays, is beyond the budget."""
+    plain = words.to_pylist()
+    marks = np.array([[(lang, w) in hot for w in plain] + [False] for lang in langs.to_pylist()], bool)
+    return marks[places[0], places[1]]
+
+
+def subtree(rows: pa.Table, longest: int, least: int, hot: set[tuple[str, bytes]]) -> Iterator[tuple[int, list[pa.Array], np.ndarray]]:
+    """depth, words and counts of the inner nodes and leaves of one group, from depth 2 on: those with the least count, and all of the
+    inner nodes whose words are beyond the budget, as other groups hold leaves of theirs."""
     coded = [rows.column(c).combine_chunks() for c in ["lang", *(f"w{i}" for i in range(1, longest + 1))]]
     coded = [c.dictionary_encode() for c in coded]
     matrix = np.stack([c.indices.fill_null(-1).to_numpy().astype("i8") for c in coded])
     order = np.lexsort(matrix[::-1])
     matrix, counts = matrix[:, order], rows.column("f").to_numpy()[order]
-    change = np.zeros(len(order), bool)
+    change, warm = np.zeros(len(order), bool), np.zeros(len(order), bool)
     change[0] = True
     for depth, column in enumerate(matrix):
         change[1:] |= column[1:] != column[:-1]
+        if depth == 1 and hot:
+            warm[:] = hot_words(coded[0].dictionary, coded[1].dictionary, matrix[:2], hot)
         if depth < 2:
             continue
+        if hot:
+            warm &= hot_words(coded[0].dictionary, coded[depth].dictionary, matrix[[0, depth]], hot)
         starts = np.flatnonzero(change)
         sums, there = np.add.reduceat(counts, starts), column[starts] >= 0
+        there &= sums >= least if depth == longest else (sums >= least) | warm[starts]
         starts, sums = starts[there], sums[there]
         yield depth, [c.dictionary.take(pa.array(m[starts])) for c, m in zip(coded[:depth + 1], matrix)], sums
 
 
 def phrase_counts(docs: DataFrame, words: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, longest: int = LONGEST, budget: int = BUDGET, most_bits: int = BITS) -> DataFrame:
     """lang, w1, w2, ..., f of every phrase of two words or more that occurs at least `least` times."""
-    leaves, groups = suffixes(docs, words, text, lang, least, longest, budget, most_bits)
-    names = ["lang", *(f"w{i}" for i in range(1, longest + 1)), "f"]
+    leaves, groups, hot = suffixes(docs, words, text, lang, least, longest, budget, most_bits)
+    names, known = ["lang", *(f"w{i}" for i in range(1, longest + 1)), "f"], docs.sparkSession.sparkContext.broadcast(hot)
 
     def nodes(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = pa.Table.from_batches(rows)
-        for depth, taken, sums in subtree(whole, longest):
+        for depth, taken, sums in subtree(whole, longest, least, known.value):
             nothing = [pa.nulls(len(sums), pa.binary())] * (longest - depth)
             yield from pa.Table.from_arrays([*taken, *nothing, pa.array(sums, pa.int64())], names).to_batches(max_chunksize=50_000)
 
