@@ -61,3 +61,22 @@ lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g OR
 inner_ones AS (SELECT DISTINCT s.lang, s.g FROM c s JOIN (SELECT lang, f, unnest([g[1:2], g[2:3]]) AS g FROM c WHERE k = 3) b ON s.lang = b.lang AND s.g = b.g AND 100 * b.f >= 50 * s.f),
 r AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM lowest ANTI JOIN inner_ones USING (lang, g))
 SELECT * FROM (SELECT r.lang, CAST(row_number() OVER (PARTITION BY r.lang ORDER BY score DESC, a DESC, phrase) AS BIGINT) AS rank, phrase, a, l, r, n, score FROM r JOIN n USING (lang)) WHERE rank <= 2000"""
+
+#: crc32 of the decimal id, bit by bit: the reflected polynomial 0xEDB88320
+_CRC = """xor(4294967295, list_reduce(list_concat([4294967295], list_transform(regexp_extract_all(CAST(conv_id AS VARCHAR), '.'), lambda c: CAST(ascii(c) AS BIGINT))), lambda s, c:
+  list_reduce(list_concat([xor(s, c)], [CAST(x AS BIGINT) FOR x IN range(8)]), lambda u, v: xor(u // 2, (u % 2) * 3988292384))))"""
+
+PREFIXES = rf"""
+WITH t AS (SELECT conv_id, struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) AS x, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list(x ORDER BY i) AS own FROM t GROUP BY conv_id),
+p AS (SELECT conv_id, own, conv_id - conv_id % 20 AS base, CAST({_CRC} % 4 AS BIGINT) AS h FROM o),
+r AS (SELECT p.conv_id, list_concat(coalesce(b.own, [])[1:h], p.own[h + 1:]) AS s FROM p LEFT JOIN o b ON b.conv_id = p.base),
+e AS (SELECT conv_id, d, s[1:d] AS k, s[1:d - 1] AS up, len(s) = d AS ends FROM (SELECT *, unnest(range(0, len(s) + 1)) AS d FROM r)),
+n AS (SELECT d, k, min(CASE WHEN d > 0 THEN up END) AS up, min(conv_id) AS conv_id, count(*) AS n, sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256,
+  CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * len(regexp_extract_all(k[d].t, '[^\x20\x09-\x0D]+')) END AS saved FROM e GROUP BY d, k),
+c AS (SELECT d - 1 AS d, up AS k, count(*) AS kids FROM n WHERE d > 0 GROUP BY ALL),
+m AS (SELECT n.*, coalesce(kids, 0) AS kids FROM n LEFT JOIN c USING (d, k)),
+below AS (SELECT v AS d, k[1:v] AS k, sum(saved) AS saved, count(*) FILTER (kids = 0) AS leaves FROM (SELECT k, saved, kids, unnest(range(0, d + 1)) AS v FROM m) GROUP BY ALL)
+SELECT m.conv_id, CAST(m.d AS BIGINT) AS depth, q.conv_id AS parent_conv_id, m.n AS n_convs, CAST(m.kids AS BIGINT) AS n_children, b.leaves AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, m.ends_sha256
+FROM m JOIN below b USING (d, k) LEFT JOIN n q ON q.d = m.d - 1 AND q.k = m.up"""

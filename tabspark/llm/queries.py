@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabspark.llm import attribution, decontam, langid, licenses, neardup, packing, phrases, pii, quality, secret_scan, topk, warc
+from tabspark.llm import attribution, decontam, langid, licenses, neardup, packing, phrases, pii, prefix_trie, quality, secret_scan, topk, warc
 from tabspark.llm.common import table
-from tabspark.llm.oracles import LEAKS, NEAR_DUPLICATES, PHRASES, RECORDS
+from tabspark.llm.oracles import LEAKS, NEAR_DUPLICATES, PHRASES, PREFIXES, RECORDS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,4 +37,5 @@ register("op8_decontamination", decontam.op8_decontamination, "documents", "benc
 register("op9_secrets", secret_scan.op9_secrets, "documents")
 register("op10_quality", quality.op10_quality, "documents", "labels")
 register("op11_warc", warc.op11_warc, "pages", sql=RECORDS)
+register("op12_prefix_trie", prefix_trie.op12_prefix_trie, "conversations", sql=PREFIXES)
 register("op13_phrases", phrases.op13_phrases, "documents", sql=PHRASES)
