@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tabspark.llm.common import settled, ship, slices
 
 LEAST, LONGEST, INSIDE, BEST = 10, 3, 50, 2000
-BUDGET, BITS, FOLD_BYTES = 500_000, 1 << 24, 4_000_000
+BUDGET, BITS, FOLD_BYTES, PARTITIONS = 400_000, 1 << 24, 4_000_000, 10_000
 #: What ends a piece, and the letters that are folded. `.` ends pieces, so no word holds it.
 PIECE_ENDS = b".,;:!?\n\v\f\r"
 FOLD = bytes.maketrans(PIECE_ENDS + b"\tABCDEFGHIJKLMNOPQRSTUVWXYZ", b"." * len(PIECE_ENDS) + b" abcdefghijklmnopqrstuvwxyz")
@@ -42,8 +42,9 @@ def words_by_language(rows: pa.RecordBatch) -> Iterator[tuple[str, pa.Array, np.
     for lang, text in zip(rows.column("lang").to_pylist(), rows.column("text").to_pylist()):
         texts.setdefault(lang, []).append(text)
     for lang, parts in texts.items():
-        tokens = GAP.join(parts).translate(FOLD).replace(GAP, b" . ").split()
-        coded = pa.array(tokens, pa.binary()).dictionary_encode()
+        whole = pa.array([GAP.join(parts).translate(FOLD).replace(GAP, b" . ")], pa.large_binary())
+        tokens = pc.split_pattern(whole, pattern=" ").flatten()
+        coded = tokens.filter(pc.greater(pc.binary_length(tokens), 0)).cast(pa.binary()).dictionary_encode()
         codes, distinct = coded.indices.to_numpy().astype("i8"), coded.dictionary
         gap = pc.index(distinct, pa.scalar(GAP, pa.binary())).as_py()
         if gap >= 0:
@@ -88,30 +89,37 @@ def spot(lang: Column, word: Column, bits: int) -> Column:
     return F.crc32(F.concat(lang.cast("binary"), F.lit(b"\n"), word.cast("binary"))) % bits
 
 
-def frequent(words: DataFrame, least: int, most_bits: int) -> tuple[np.ndarray, int]:
-    """A bitmap of the hashes of words with at least the least count, eight bits a word or more until `most_bits`, and its size in bits."""
-    often = words.filter(F.col("f") >= least)
-    bits = 1 << 10
-    n = often.count()
-    while bits < min(most_bits, 8 * n):
-        bits *= 2
-    blocks = often.select(spot(F.col("lang"), F.col("word"), bits).alias("h")).groupBy(F.expr("h div 32").alias("block")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(h % 32 AS INT))")).alias("mask"))
-    found = np.array([tuple(r) for r in blocks.collect()], "i8").reshape(-1, 2)  # at most bits / 32 rows
-    masks = np.zeros(bits // 32, "<u4")
-    masks[found[:, 0]] = found[:, 1]
-    return masks, bits
-
-
-def suffixes(docs: DataFrame, words: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, longest: int = LONGEST, budget: int = BUDGET, most_bits: int = BITS) -> tuple[DataFrame, int, set[tuple[str, bytes]]]:
+class Marks:
+    """Which words have at least some count: a bitmap of their hashes, eight bits a word or more until `most_bits`. Other words may share a place."""
+
+    def __init__(self, words: DataFrame, least: int, most_bits: int):
+        often = words.filter(F.col("f") >= least)
+        n, self.bits = often.count(), min(most_bits, 1 << 16)
+        while self.bits < min(most_bits, 8 * n):
+            self.bits *= 2
+        place = F.crc32(F.concat(F.col("lang").cast("binary"), F.lit(b"\n"), F.col("word").cast("binary"))) % self.bits
+        blocks = often.select(place.alias("h")).groupBy(F.expr("h div 32").alias("block")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(h % 32 AS INT))")).alias("mask"))
+        found = np.array([tuple(r) for r in blocks.collect()], "i8").reshape(-1, 2)  # at most bits / 32 rows
+        self.masks = np.zeros(self.bits // 32, "<u4")
+        self.masks[found[:, 0]] = found[:, 1]
+
+    def __getitem__(self, hashes: np.ndarray) -> np.ndarray:
+        spots = hashes % np.uint64(self.bits)
+        return (self.masks[spots >> np.uint64(5)] >> (spots & np.uint64(31)).astype("u4")) & 1 == 1
+
+
+def hashed(lang: str, words: pa.Array) -> np.ndarray:
+    start = crc32(lang.encode() + b"\n")
+    return np.fromiter((crc32(w, start) for w in words.to_pylist()), "u8", len(words))
+
+
+def suffixes(docs: DataFrame, words: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, longest: int = LONGEST, budget: int = BUDGET, most_bits: int = BITS) -> tuple[DataFrame, int, Marks]:
     """grp, lang, w1, w2, ... (null past a piece's end or at a rare word), f: suffixes of two words or more, cut off at `longest`, folded within tasks;
-    the number of groups; and the words beyond the budget."""
+    the number of groups; and the marks of words beyond the budget."""
     spark = docs.sparkSession
     total = words.filter(F.col("f") >= least).agg(F.sum("f")).first()[0] or 0
     groups = int(total // budget) + 1
-    # their occurrences are above the budget each, so there are fewer of them than groups
-    hot = {(r["lang"], bytes(r["word"])) for r in words.filter(F.col("f") > budget).select("lang", F.col("word").cast("binary").alias("word")).collect()}
-    masks, bits = frequent(words, least, most_bits)
-    known = spark.sparkContext.broadcast((masks, bits, hot))
+    known = spark.sparkContext.broadcast((Marks(words, least, most_bits), Marks(words, budget + 1, most_bits)))
     names = ["grp", "lang", *(f"w{i}" for i in range(1, longest + 1)), "f"]
 
     def group_of(hashes: np.ndarray, warm: np.ndarray, grams: np.ndarray) -> np.ndarray:
@@ -125,21 +133,17 @@ def suffixes(docs: DataFrame, words: DataFrame, text: str = "text", lang: str =
         return ((mixed * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(groups)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        masks, bits, hot = known.value
+        often, hot = known.value
         for rows in (some for whole in batches for some in slices(whole, "text", FOLD_BYTES)):
             for language, distinct, codes in words_by_language(rows):
-                start = crc32(language.encode() + b"\n")
-                plain = distinct.to_pylist()
-                hashes = np.fromiter((crc32(w, start) for w in plain), "u8", len(plain))
-                spots = hashes % np.uint64(bits)
-                alive = (masks[spots >> np.uint64(5)] >> (spots & np.uint64(31)).astype("u4")) & 1 == 1
-                warm = np.fromiter(((language, w) in hot for w in plain), bool, len(plain)) if hot else np.zeros(len(plain), bool)
+                hashes = hashed(language, distinct)
+                alive, warm = often[hashes], hot[hashes]
                 codes = np.append(np.where((codes >= 0) & alive[codes], codes, -1), [-1] * longest)
                 columns = [codes[:len(codes) - longest]]
                 for j in range(1, longest):
                     columns.append(np.where(columns[-1] >= 0, codes[j:len(codes) - longest + j], -1))
                 kept = columns[1] >= 0  # single words are counted already
-                width = np.int64(len(plain) + 1)
+                width = np.int64(len(distinct) + 1)
                 key = columns[0][kept]
                 if float(width) ** longest < 2 ** 62:
                     for c in columns[1:]:
@@ -161,17 +165,16 @@ def suffixes(docs: DataFrame, words: DataFrame, text: str = "text", lang: str =
                     yield pa.RecordBatch.from_arrays([pa.array(group[a:a + 50_000].astype("i4")), pa.array([language] * len(some), pa.string()), *taken, pa.array(counts[a:a + 50_000], pa.int64())], names)
 
     schema = "grp int, lang string, " + ", ".join(f"w{i} binary" for i in range(1, longest + 1)) + ", f bigint"
-    return read(docs, text, lang).mapInArrow(work, schema), groups, hot
+    return read(docs, text, lang).mapInArrow(work, schema), groups, known.value[1]
 
 
-def hot_words(langs: pa.Array, words: pa.Array, places: np.ndarray, hot: set[tuple[str, bytes]]) -> np.ndarray:
-    """Whether each (language, word), given by places in the two arrays, is beyond the budget."""
-    plain = words.to_pylist()
-    marks = np.array([[(lang, w) in hot for w in plain] + [False] for lang in langs.to_pylist()], bool)
+def hot_words(langs: pa.Array, words: pa.Array, places: np.ndarray, hot: Marks) -> np.ndarray:
+    """Whether each (language, word), given by places in the two arrays, is marked as beyond the budget."""
+    marks = np.array([np.append(hot[hashed(lang, words)], False) for lang in langs.to_pylist()])
     return marks[places[0], places[1]]
 
 
-def subtree(rows: pa.Table, longest: int, least: int, hot: set[tuple[str, bytes]]) -> Iterator[tuple[int, list[pa.Array], np.ndarray]]:
+def subtree(rows: pa.Table, longest: int, least: int, hot: Marks) -> Iterator[tuple[int, list[pa.Array], np.ndarray]]:
     """depth, words and counts of the inner nodes and leaves of one group, from depth 2 on: those with the least count, and all of the
     inner nodes whose words are beyond the budget, as other groups hold leaves of theirs."""
     coded = [rows.column(c).combine_chunks() for c in ["lang", *(f"w{i}" for i in range(1, longest + 1))]]
@@ -183,11 +186,11 @@ def subtree(rows: pa.Table, longest: int, least: int, hot: set[tuple[str, bytes]
     change[0] = True
     for depth, column in enumerate(matrix):
         change[1:] |= column[1:] != column[:-1]
-        if depth == 1 and hot:
+        if depth == 1:
             warm[:] = hot_words(coded[0].dictionary, coded[1].dictionary, matrix[:2], hot)
         if depth < 2:
             continue
-        if hot:
+        if depth < longest:
             warm &= hot_words(coded[0].dictionary, coded[depth].dictionary, matrix[[0, depth]], hot)
         starts = np.flatnonzero(change)
         sums, there = np.add.reduceat(counts, starts), column[starts] >= 0
@@ -206,6 +209,7 @@ def phrase_counts(docs: DataFrame, words: DataFrame, text: str = "text", lang: s
         for depth, taken, sums in subtree(whole, longest, least, known.value):
             nothing = [pa.nulls(len(sums), pa.binary())] * (longest - depth)
             yield from pa.Table.from_arrays([*taken, *nothing, pa.array(sums, pa.int64())], names).to_batches(max_chunksize=50_000)
+        pa.default_memory_pool().release_unused()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, group = [], None
@@ -222,7 +226,7 @@ def phrase_counts(docs: DataFrame, words: DataFrame, text: str = "text", lang: s
             yield from nodes(held)
 
     schema = "lang string, " + ", ".join(f"w{i} binary" for i in range(1, longest + 1)) + ", f bigint"
-    partial = leaves.repartition(groups, "grp").sortWithinPartitions("grp").mapInArrow(work, schema)
+    partial = leaves.repartition(min(groups, PARTITIONS), "grp").sortWithinPartitions("grp").mapInArrow(work, schema)
     # pairs of two words beyond the budget have parts in several groups; every other count is whole and at most waits for one sum
     text_words = [F.col(f"w{i}").cast("string").alias(f"w{i}") for i in range(1, longest + 1)]
     return settled(partial.groupBy("lang", *text_words).agg(F.sum("f").alias("f")).filter(F.col("f") >= least), "phrases")

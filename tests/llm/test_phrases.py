@@ -38,7 +38,7 @@ def rows_of(df):
     return sorted(tuple(r) for r in df.select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect())
 
 
-@pytest.mark.parametrize("budget, bits", [(1_000_000, 1 << 24), (1500, 32)])
+@pytest.mark.parametrize("budget, bits", [(1_000_000, 1 << 24), (1500, 64)])
 def test_real_texts(spark, budget, bits):
     docs = table(spark, SF, "documents").select("doc_id", "lang", "text")
     want = brute([(r["lang"], r["text"]) for r in docs.collect()])
