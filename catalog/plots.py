@@ -37,10 +37,10 @@ def d52(spark, sf):
     return D.histogram(applications(spark, sf), _BOXED, _B)
 
 
-def _box(by: str, group: str) -> str:
-    return f"""SELECT s.feature{by}, {r('any_value(q1)', 'q1', 4)}, {r('any_value(q2)', 'median', 4)}, {r('any_value(q3)', 'q3', 4)},
-  {r('min(v) FILTER (WHERE v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))', 'whisker_low', 4)},
-  {r('max(v) FILTER (WHERE v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))', 'whisker_high', 4)},
+def _box(by: str, group: str, digits: int = 4) -> str:
+    return f"""SELECT s.feature{by}, {r('any_value(q1)', 'q1', digits)}, {r('any_value(q2)', 'median', digits)}, {r('any_value(q3)', 'q3', digits)},
+  {r('min(v) FILTER (WHERE v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))', 'whisker_low', digits)},
+  {r('max(v) FILTER (WHERE v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))', 'whisker_high', digits)},
   count(*) FILTER (WHERE v NOT BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS fliers
   FROM num s JOIN quart USING (feature{group}) WHERE s.feature IN ('income', 'credit', 'annuity', 'age_days') GROUP BY ALL"""
 
@@ -93,17 +93,34 @@ def d57(spark, sf):
     return importance(applications(spark, sf), TARGET, 3)
 
 
-@query("d58_plot_projection")
+_PC = ["income", "credit", "annuity", "age_days"]
+
+
+@query("d58_plot_projection", sql("""SELECT CAST(count(*) AS BIGINT) AS n, 0.0::DOUBLE AS mean1, 0.0::DOUBLE AS mean2, 0.0::DOUBLE AS cross, CAST(sum(target) AS BIGINT) AS positives, CAST(sum(app_id) AS HUGEINT)::DOUBLE AS keys
+  FROM app WHERE income IS NOT NULL AND annuity IS NOT NULL"""), digits=4)
 def d58(spark, sf):
-    return D.projection_points(applications(spark, sf), TARGET, KEY, ["income", "credit", "annuity", "age_days"], 2000)
+    """What holds of any projection on principal axes: centred, uncorrelated, every complete row once."""
+    points = D.projection_points(applications(spark, sf), TARGET, KEY, _PC)
+    return points.agg(F.count(F.lit(1)).alias("n"), F.avg("pc1").alias("mean1"), F.avg("pc2").alias("mean2"), F.corr("pc1", "pc2").alias("cross"),
+                      F.sum(TARGET).cast("bigint").alias("positives"), F.sum(KEY).cast("double").alias("keys"))
+
+
+@query("d58_plot_projection_points")
+def d58_points(spark, sf):
+    return D.projection_points(applications(spark, sf), TARGET, KEY, _PC)
 
 
 _SEEN = f"""SELECT app_id, v AS value, y AS target, {_IQR} OR {_Z} AS outlier FROM num JOIN lim USING (feature)
   WHERE feature = 'annuity' AND v IS NOT NULL"""
 
 
-@query("d59_plot_outlier_points", sql(f"""SELECT app_id, {r('value', 'value')}, target, outlier FROM (
+@query("d59_plot_outlier_points", sql(f"SELECT app_id, {r('value', 'value')}, target, outlier FROM seen", lim=_LIM, seen=_SEEN))
+def d59(spark, sf):
+    return D.outlier_points(applications(spark, sf), "annuity", KEY, TARGET)
+
+
+@query("d59_plot_outlier_sample", sql(f"""SELECT app_id, {r('value', 'value')}, target, outlier FROM (
   SELECT * FROM seen WHERE outlier UNION ALL
   (SELECT * FROM seen WHERE NOT outlier ORDER BY (app_id * 7919) % 1000003, app_id LIMIT 2000))""", lim=_LIM, seen=_SEEN))
-def d59(spark, sf):
+def d59_sample(spark, sf):
     return D.outlier_points(applications(spark, sf), "annuity", KEY, TARGET, 2000, order=F.expr("(app_id * 7919) % 1000003"))

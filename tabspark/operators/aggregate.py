@@ -79,10 +79,8 @@ def value_counts(df: DataFrame, features: list[str], extra: dict[str, Column] |
     return stacked.groupBy("feature", "value").agg(*aggs)
 
 
-def class_values(df: DataFrame, target: str, limit: int = 1000) -> list:
-    """Distinct non-null classes of a target, ascending; refuses a target that is not categorical."""
-    rows = (df.filter(q(target).isNotNull()).groupBy(q(target).alias("y")).agg(F.count(F.lit(1)).alias("n"))
-            .limit(limit + 1).collect())
-    if len(rows) > limit:
-        raise ValueError(f"target '{target}' has more than {limit} classes")
-    return sorted(r["y"] for r in rows)
+def class_cells(df: DataFrame, columns: dict[str, Column], target: str, value_type: str = "string") -> DataFrame:
+    """(feature, value, y, n): how often a value meets a class, nulls of either left out. Only pairs that occur are kept, so any number of
+    classes will do; marginals are sums over these rows."""
+    stacked = long_values(df, columns, value_type, [q(target).alias("y")])
+    return stacked.filter(F.col("value").isNotNull() & F.col("y").isNotNull()).groupBy("feature", "value", "y").agg(F.count(F.lit(1)).alias("n"))

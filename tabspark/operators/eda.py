@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tabspark.functions.scalars import without_nan
 from tabspark.functions.statistics import adjusted_kurtosis, adjusted_skew, ratio
 from tabspark.functions.types import categorical_columns, dbl, numeric_columns, q
-from tabspark.operators.aggregate import class_values, collect_aggregates, long_values, per_feature, small_frame, value_counts
+from tabspark.operators.aggregate import class_cells, collect_aggregates, long_values, per_feature, small_frame, value_counts
 from tabspark.operators.mapping import ValueMap, with_lookups
 from tabspark.operators.moments import correlation_pairs, dense_correlation, symmetric
 from tabspark.operators.mutual_info import categorical_information, numeric_information
@@ -16,9 +16,6 @@ from tabspark.operators.ordering import average_ranks, running_totals
 from tabspark.operators.quantiles import medians, quantiles
 
 
-MAX_CLASSES = 1000
-
-
 # ---- target -----------------------------------------------------------------------------------
 
 def target_eda(df: DataFrame, target: str) -> DataFrame:
@@ -27,15 +24,14 @@ def target_eda(df: DataFrame, target: str) -> DataFrame:
     pct is of all rows; the majority baseline never predicts the minority, hence the fixed zeros.
     Ties for the majority go to the smallest label.
     """
-    counts = df.groupBy(q(target).alias("y")).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
-    if len(counts) > MAX_CLASSES:
-        raise ValueError(f"target '{target}' has more than {MAX_CLASSES} classes")
-    total = sum(r["n"] for r in counts)
-    known = sorted((-r["n"], r["y"]) for r in counts if r["y"] is not None)
-    base = -100.0 * known[0][0] / total if known else 0.0
-    rows = [(y, -n, -100.0 * n / total, i == 0, base, 0.0, 0.0, 0.0) for i, (n, y) in enumerate(known)]
-    return small_frame(df.sparkSession, rows, f"target_value {df.schema[target].dataType.simpleString()}, n bigint, pct double, "
-                       "is_majority boolean, baseline_accuracy double, precision double, recall double, f1 double")
+    counts = df.groupBy(q(target).alias("y")).agg(F.count(F.lit(1)).alias("n"))
+    top = counts.agg(F.sum("n").alias("total"), F.min(F.when(F.col("y").isNotNull(), F.struct((-F.col("n")).alias("n"), "y"))).alias("top")).collect()[0]
+    total, best = top["total"] or 0, top["top"]
+    share = ratio(F.col("n") * 100.0, F.lit(total))
+    base = -100.0 * best["n"] / total if best else 0.0
+    return counts.filter(F.col("y").isNotNull()).select(
+        F.col("y").alias("target_value"), "n", share.alias("pct"), (F.col("y") == F.lit(best["y"] if best else None)).alias("is_majority"),
+        F.lit(base).alias("baseline_accuracy"), *[F.lit(0.0).alias(c) for c in ("precision", "recall", "f1")])
 
 
 # ---- univariate -------------------------------------------------------------------------------
@@ -122,38 +118,30 @@ def target_rates(df: DataFrame, target: str, columns: list[str] | None = None) -
             .select("feature", "value", "n", "target_rate"))
 
 
-def label_chi2(df: DataFrame, target: str, columns: list[str] | None = None, classes: list | None = None) -> DataFrame:
+def label_chi2(df: DataFrame, target: str, columns: list[str] | None = None) -> DataFrame:
     """(feature, chi2_score): sum (O-E)^2/E with the label code (rank of the sorted text) used as a frequency."""
     columns = categorical_columns(df, [target]) if columns is None else columns
-    classes = class_values(df, target) if classes is None else classes
-    known = df.filter(q(target).isNotNull())
-    extra = {f"k{i}": F.count_if(F.col("_by_0") == F.lit(k)) for i, k in enumerate(classes)}
-    coded = running_totals(value_counts(known, columns, extra, by=[target]), "feature", ["value"], F.lit(1).cast("long"))
-    sums = coded.groupBy("feature").agg(
-        F.sum("n").alias("n"), F.sum((F.col("before") * F.col("n")).cast("double")).alias("s"),
-        *[F.sum((F.col("before") * F.col(f"k{i}")).cast("double")).alias(f"o{i}") for i in range(len(classes))],
-        *[F.sum(f"k{i}").alias(f"c{i}") for i in range(len(classes))])
-    score = F.lit(0.0)
-    for i in range(len(classes)):
-        expected = ratio(F.col(f"c{i}"), F.col("n")) * F.col("s")
-        gap = F.col(f"o{i}") - expected
-        score = score + F.coalesce(ratio(gap * gap, expected), F.lit(0.0))
-    return sums.select("feature", score.alias("chi2_score"))
+    cells = class_cells(df, {c: q(c) for c in columns}, target)
+    codes = running_totals(cells.groupBy("feature", "value").agg(F.sum("n").alias("all")), "feature", ["value"], F.lit(1).cast("long")).select("feature", "value", "before")
+    seen = (cells.join(codes, ["feature", "value"]).groupBy("feature", "y")
+            .agg(F.sum((F.col("before") * F.col("n")).cast("double")).alias("o"), F.sum("n").alias("c")))
+    whole = seen.groupBy("feature").agg(F.sum("o").alias("s"), F.sum("c").alias("n"))
+    expected = ratio(F.col("c"), F.col("n")) * F.col("s")
+    gap = F.col("o") - expected
+    return (seen.join(whole, "feature").groupBy("feature")
+            .agg(F.sum(F.coalesce(ratio(gap * gap, expected), F.lit(0.0))).alias("chi2_score")))
 
 
 def contingency_chi2(df: DataFrame, target: str, columns: list[str] | None = None) -> DataFrame:
     """(feature, chi2): the usual contingency-table statistic, for comparison with `label_chi2`."""
     columns = categorical_columns(df, [target]) if columns is None else columns
-    classes = class_values(df, target)
-    known = df.filter(q(target).isNotNull())
-    extra = {f"k{i}": F.count_if(F.col("_by_0") == F.lit(k)) for i, k in enumerate(classes)}
-    counts = value_counts(known, columns, extra, by=[target])
-    # chi2 = n * (sum o^2 / (row * column) - 1): one pass over the levels.
-    sums = counts.groupBy("feature").agg(
-        F.sum("n").alias("n"), *[F.sum(ratio(F.col(f"k{i}") * F.col(f"k{i}"), F.col("n"))).alias(f"r{i}") for i in range(len(classes))],
-        *[F.sum(f"k{i}").alias(f"c{i}") for i in range(len(classes))])
-    total = sum((F.coalesce(ratio(F.col(f"r{i}"), F.col(f"c{i}")), F.lit(0.0)) for i in range(len(classes))), F.lit(0.0))
-    return sums.select("feature", (F.col("n") * (total - 1.0)).alias("chi2"))
+    cells = class_cells(df, {c: q(c) for c in columns}, target)
+    levels = cells.groupBy("feature", "value").agg(F.sum("n").alias("row"))
+    classes = cells.groupBy("feature", "y").agg(F.sum("n").alias("column"))
+    # chi2 = n * (sum o^2 / (row * column) - 1): only pairs that occur add to it.
+    share = ratio(ratio(F.col("n").cast("double") * F.col("n"), F.col("row")), F.col("column"))
+    return (cells.join(levels, ["feature", "value"]).join(classes, ["feature", "y"]).groupBy("feature")
+            .agg((F.sum("n") * (F.sum(share) - 1.0)).alias("chi2")))
 
 
 def target_relationships(df: DataFrame, target: str, numeric: list[str], categorical: list[str]) -> DataFrame:
@@ -184,15 +172,14 @@ def importance(df: DataFrame, target: str, top_n: int | None = None) -> DataFram
     """(feature, mutual_info) of all columns: numeric nulls take the median, a categorical null is a level."""
     numeric, categorical = numeric_columns(df, [target]), categorical_columns(df, [target])
     known = df.filter(q(target).isNotNull())
-    classes = class_values(known, target)
     parts = []
     if numeric:
         mid = medians(known, {c: dbl(c) for c in numeric})
         present = [c for c in numeric if mid[c] is not None]
         if present:
-            parts.append(numeric_information(known, present, target, classes, fill=mid))
+            parts.append(numeric_information(known, present, target, fill=mid))
     if categorical:
-        parts.append(categorical_information(known, categorical, target, classes, null_as_level=True))
+        parts.append(categorical_information(known, categorical, target, null_as_level=True))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -6,27 +6,23 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tabspark.functions.statistics import xlnx
 from tabspark.functions.types import dbl, q
-from tabspark.operators.aggregate import class_values, long_values
+from tabspark.operators.aggregate import class_cells
 from tabspark.operators.quantiles import quantiles
 
 BINS = 32
 
 
-def plug_in_information(cells: DataFrame, classes: list) -> DataFrame:
-    """(feature, mutual_info, rows) from (feature, value, y) rows.
+def plug_in_information(cells: DataFrame) -> DataFrame:
+    """(feature, mutual_info, rows) from (feature, value, y, n) rows.
 
-    Uses H(X) + H(Y) - H(X,Y) over counts, so every step is a sum with map-side combining:
-    one shuffle on (feature, value), one on feature, no window over a feature's values.
+    H(X) + H(Y) - H(X,Y) over counts: values and classes are summed from the same cells, so every step is a sum with
+    map-side combining, and no plan, row or literal grows with the number of classes.
     """
-    by_class = [F.count_if(F.col("y") == F.lit(k)).alias(f"n{i}") for i, k in enumerate(classes)]
-    values = cells.groupBy("feature", "value").agg(*by_class, F.count(F.lit(1)).alias("a"))
-    joint = sum((xlnx(F.col(f"n{i}")) for i in range(len(classes))), F.lit(0.0))
-    sums = values.groupBy("feature").agg(
-        F.sum("a").alias("n"), F.sum(xlnx(F.col("a"))).alias("ha"), F.sum(joint).alias("hj"),
-        *[F.sum(f"n{i}").alias(f"t{i}") for i in range(len(classes))])
-    hb = sum((xlnx(F.col(f"t{i}")) for i in range(len(classes))), F.lit(0.0))
-    mi = (F.col("hj") - F.col("ha") - hb + xlnx(F.col("n"))) / F.col("n")
-    return sums.select("feature", F.greatest(mi, F.lit(0.0)).alias("mutual_info"), F.col("n").alias("rows"))
+    values = (cells.groupBy("feature", "value").agg(F.sum("n").alias("a"), F.sum(xlnx(F.col("n"))).alias("j"))
+              .groupBy("feature").agg(F.sum("a").alias("n"), F.sum(xlnx(F.col("a"))).alias("ha"), F.sum("j").alias("hj")))
+    classes = (cells.groupBy("feature", "y").agg(F.sum("n").alias("t")).groupBy("feature").agg(F.sum(xlnx(F.col("t"))).alias("hb")))
+    mi = (F.col("hj") - F.col("ha") - F.col("hb") + xlnx(F.col("n"))) / F.col("n")
+    return values.join(classes, "feature").select("feature", F.greatest(mi, F.lit(0.0)).alias("mutual_info"), F.col("n").alias("rows"))
 
 
 def bin_of(column: str, edges: list[float]) -> Column:
@@ -48,22 +44,14 @@ def equal_frequency_edges(df: DataFrame, columns: dict[str, Column], bins: int =
     return {n: sorted({v for v in vals if v is not None}) for n, vals in got.items()}
 
 
-def categorical_information(df: DataFrame, features: list[str], target: str, classes: list | None = None,
-                            null_as_level: bool = False) -> DataFrame:
-    classes = class_values(df, target) if classes is None else classes
+def categorical_information(df: DataFrame, features: list[str], target: str, null_as_level: bool = False) -> DataFrame:
     cols = {c: (F.coalesce(q(c).cast("string"), F.lit("nan")) if null_as_level else q(c)) for c in features}
-    cells = (long_values(df, cols, "string", [q(target).alias("y")])
-             .filter(F.col("value").isNotNull() & F.col("y").isNotNull()))
-    return plug_in_information(cells, classes)
+    return plug_in_information(class_cells(df, cols, target))
 
 
-def numeric_information(df: DataFrame, features: list[str], target: str, classes: list | None = None,
-                        bins: int = BINS, fill: dict[str, float] | None = None) -> DataFrame:
+def numeric_information(df: DataFrame, features: list[str], target: str, bins: int = BINS, fill: dict[str, float] | None = None) -> DataFrame:
     """Equal-frequency binned plug-in estimate; ``fill`` replaces nulls first, else they are dropped per feature."""
-    classes = class_values(df, target) if classes is None else classes
     filled = [(F.coalesce(dbl(c), F.lit(float(fill[c]))) if fill and fill.get(c) is not None else dbl(c)) for c in features]
     data = df.filter(q(target).isNotNull()).select(q(target).alias("y"), *[e.alias(f"x{i}") for i, e in enumerate(filled)])
     edges = equal_frequency_edges(data, {c: F.col(f"x{i}") for i, c in enumerate(features)}, bins)
-    binned = {c: bin_of(f"x{i}", edges[c]) for i, c in enumerate(features)}
-    cells = long_values(data, binned, "int", [F.col("y")]).filter(F.col("value").isNotNull())
-    return plug_in_information(cells, classes)
+    return plug_in_information(class_cells(data, {c: bin_of(f"x{i}", edges[c]) for i, c in enumerate(features)}, "y", "int"))

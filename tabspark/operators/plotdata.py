@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabspark.functions.scalars import keep_null, nan_to_null
 from tabspark.functions.types import categorical_columns, dbl, q
-from tabspark.operators.aggregate import class_values, collect_aggregates, long_values, per_feature, small_frame, value_counts
+from tabspark.operators.aggregate import class_cells, collect_aggregates, long_values, per_feature, small_frame, value_counts
 from tabspark.operators.eda import PCAModel, outlier_limits, target_eda, top_categories, _flags
+from tabspark.operators.ordering import running_totals
 from tabspark.operators.profiling import missing_profile
 from tabspark.operators.quantiles import quantiles
 from tabspark.operators.sampling import bounded_sample
@@ -65,62 +66,70 @@ def histogram(df: DataFrame, features: list[str], bins: int | None = None) -> Da
 
 def box_stats(df: DataFrame, features: list[str], target: str | None = None) -> DataFrame:
     """(feature[, target_value], q1, median, q3, whisker_low, whisker_high, fliers): box plot numbers."""
-    classes = [None] if target is None else class_values(df, target)
-    parts = {}
-    for c in features:
-        for k in classes:
-            parts[f"{len(parts)}"] = (c, k, dbl(c) if k is None else F.when(q(target) == F.lit(k), dbl(c)))
-    quart = quantiles(df, {i: e for i, (_, _, e) in parts.items()}, [0.25, 0.5, 0.75])
+    fields = ["q1", "median", "q3", "whisker_low", "whisker_high", "fliers"]
+    if target is not None:
+        return _box_by_class(df, features, target).select("feature", "target_value", *fields)
+    quart = quantiles(df, {c: dbl(c) for c in features}, [0.25, 0.5, 0.75])
 
-    def stats(i: str) -> dict:
-        e, (q1, med, q3) = parts[i][2], quart[i]
+    def stats(c: str) -> dict:
+        e, (q1, med, q3) = dbl(c), quart[c]
         if q1 is None:
             nothing = F.max(F.lit(None).cast("double"))
-            return {"q1": nothing, "median": nothing, "q3": nothing, "whisker_low": nothing,
-                    "whisker_high": nothing, "fliers": F.count_if(F.lit(False))}
-        lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
-        inside = e.between(F.lit(lo), F.lit(hi))
+            return {**dict.fromkeys(fields[:5], nothing), "fliers": F.count_if(F.lit(False))}
+        inside = e.between(F.lit(q1 - 1.5 * (q3 - q1)), F.lit(q3 + 1.5 * (q3 - q1)))
         return {"q1": F.max(F.lit(q1)), "median": F.max(F.lit(med)), "q3": F.max(F.lit(q3)),
                 "whisker_low": F.min(F.when(inside, e)), "whisker_high": F.max(F.when(inside, e)),
                 "fliers": F.count_if(~inside)}
 
-    rows = per_feature(df, list(parts), stats)
-    label = small_frame(df.sparkSession, [(i, c, None if k is None else str(k)) for i, (c, k, _) in parts.items()],
-                        "feature string, name string, target_value string")
-    out = rows.join(F.broadcast(label), "feature").drop("feature").withColumnRenamed("name", "feature")
-    fields = ["q1", "median", "q3", "whisker_low", "whisker_high", "fliers"]
-    return out.select("feature", *(["target_value"] if target else []), *fields)
+    return per_feature(df, features, stats).select("feature", *fields)
+
+
+def _box_by_class(df: DataFrame, features: list[str], target: str) -> DataFrame:
+    """Box numbers of every feature and class in long form: running totals over distinct values give the ranks, so the plan is the same
+    for any number of classes, and a class that holds most rows is range-partitioned like the others."""
+    cells = class_cells(df, {c: dbl(c) for c in features}, target, "double").select(F.struct("feature", "y").alias("g"), "value", "n")
+    placed = running_totals(cells, "g", ["value"], F.col("n"))
+    placed = placed.join(placed.groupBy("g").agg(F.sum("n").alias("all")), "g")
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("before") <= rank) & (rank < F.col("before") + F.col("n")), F.col("value")))
+
+    spots = {name: (F.col("all") - 1) * part for name, part in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))}
+    ends = placed.groupBy("g").agg(F.max("all").alias("all"), *[at(f(p)).alias(f"{name}_{i}") for name, p in spots.items() for i, f in enumerate((F.floor, F.ceil))])
+    quart = ends.select("g", *[(F.col(f"{name}_0") + (F.col(f"{name}_1") - F.col(f"{name}_0")) * (p - F.floor(p))).alias(name) for name, p in spots.items()])
+    span = 1.5 * (F.col("q3") - F.col("q1"))
+    inside = F.col("value").between(F.col("q1") - span, F.col("q3") + span)
+    boxes = cells.join(quart, "g").groupBy("g").agg(*[F.max(c).alias(c) for c in spots], F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
+                                                    F.max(F.when(inside, F.col("value"))).alias("whisker_high"), F.sum(F.when(~inside, F.col("n")).otherwise(0)).alias("fliers"))
+    classes = df.filter(q(target).isNotNull()).select(q(target).alias("y")).distinct()
+    every = classes.select(F.explode(F.array(*[F.lit(c) for c in features])).alias("feature"), "y")
+    boxes = boxes.select(F.col("g.feature").alias("feature"), F.col("g.y").alias("y"), *[c for c in boxes.columns if c != "g"])
+    return (every.join(boxes, ["feature", "y"], "left").withColumn("fliers", F.coalesce("fliers", F.lit(0)))
+            .withColumn("target_value", F.col("y").cast("string")))
 
 
 def kde(df: DataFrame, features: list[str], target: str | None = None) -> DataFrame:
     """(feature[, target_value], x, density): Gaussian density (Scott's rule) of all rows at KDE_POINTS places.
 
     Rows are folded into bins of an eighth of the bandwidth, so far values do not coarsen them; of these only
-    the filled ones exist, and each adds its share to the places on the executors.
+    the filled ones exist, and each adds its share to the places on the executors. Bandwidths are rows, joined by feature and
+    class, so any number of classes will do.
     """
-    classes = [None] if target is None else class_values(df, target)
-    curves = {f"{i}": (c, k, nan_to_null(dbl(c)) if k is None else F.when(q(target) == F.lit(k), nan_to_null(dbl(c))))
-              for i, (c, k) in enumerate((c, k) for c in features for k in classes)}
-    got = collect_aggregates(df, {(i, s): f for i, (_, _, e) in curves.items() for s, f in
-                                  (("n", F.count(e)), ("lo", F.min(e)), ("hi", F.max(e)),
-                                   ("s", F.when(F.count(e) > 1, F.stddev_samp(e))))})
-    live = {i: v for i, v in curves.items() if got[(i, "s")]}
-    shape = "feature string, name string, target_value string, n bigint, origin double, last double, h double"
-    rows = [(i, c, None if k is None else str(k), got[(i, "n")], got[(i, "lo")], got[(i, "hi")], got[(i, "s")] * got[(i, "n")] ** -0.2)
-            for i, (c, k, _) in live.items()]
-    plan = small_frame(df.sparkSession, rows, shape)
-    nothing = small_frame(df.sparkSession, [], "feature string, value bigint")
-    cells = long_values(df, {i: F.floor((e - F.lit(got[(i, "lo")])) / F.lit(r[6] / KDE_FINE)) for (i, (_, _, e)), r in zip(live.items(), rows)},
-                        "bigint") if live else nothing
-    filled = cells.filter(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("m"))
+    group = ["feature", "y"]
+    rows = long_values(df, {c: nan_to_null(dbl(c)) for c in features}, "double", [(F.lit(0) if target is None else q(target)).alias("y")])
+    rows = rows.filter(F.col("value").isNotNull() & F.col("y").isNotNull())
+    stats = rows.groupBy(group).agg(F.count(F.lit(1)).alias("size"), F.min("value").alias("origin"), F.max("value").alias("last"), F.stddev_samp("value").alias("s"))
+    stats = stats.filter("size > 1 AND s > 0").withColumn("h", F.col("s") * F.pow(F.col("size").cast("double"), F.lit(-0.2))).drop("s")
+    filled = (rows.join(stats, group).groupBy(*group, F.floor((F.col("value") - F.col("origin")) / (F.col("h") / F.lit(float(KDE_FINE)))).alias("bin"))
+              .agg(F.count(F.lit(1)).alias("m")))
     low = F.col("origin") - 3 * F.col("h")
     step = (F.col("last") + 3 * F.col("h") - low) / F.lit(KDE_POINTS - 1)
-    each = filled.join(F.broadcast(plan), "feature").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(KDE_POINTS - 1))))
-    away = (low + F.col("i") * step - F.col("origin") - (F.col("value") + 0.5) * F.col("h") / F.lit(float(KDE_FINE))) / F.col("h")
-    sums = each.groupBy("feature", "i").agg(F.sum(F.col("m") * F.exp(-0.5 * away * away)).alias("t"))
-    out = sums.join(F.broadcast(plan), "feature").select(
-        F.col("name").alias("feature"), "target_value", (low + F.col("i") * step).alias("x"),
-        (F.col("t") / (F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi)))).alias("density"))
+    each = filled.join(stats, group).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(KDE_POINTS - 1))))
+    away = (low + F.col("i") * step - F.col("origin") - (F.col("bin") + 0.5) * F.col("h") / F.lit(float(KDE_FINE))) / F.col("h")
+    sums = each.groupBy(*group, "i").agg(F.sum(F.col("m") * F.exp(-0.5 * away * away)).alias("t"))
+    out = sums.join(stats, group).select(
+        "feature", F.col("y").cast("string").alias("target_value"), (low + F.col("i") * step).alias("x"),
+        (F.col("t") / (F.col("size") * F.col("h") * F.lit(math.sqrt(2 * math.pi)))).alias("density"))
     out = out.orderBy("feature", "target_value", "x")
     return out if target else out.drop("target_value")
 

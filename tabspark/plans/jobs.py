@@ -7,26 +7,43 @@ import os
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tabspark.functions.types import q
-from tabspark.operators.aggregate import class_values, collect_aggregates
+from tabspark.operators.aggregate import collect_aggregates
 from tabspark.operators.ordering import running_totals
 from tabspark.operators.quantiles import order_statistics
 from tabspark.plans.preprocessing import PreprocessingPipeline, load_config
 from tabspark.sources.writers import write_frame
 
 
+# Classes whose cuts are looked for side by side.
+CLASSES = 1000
+
+
+def _split_by_rank(df: DataFrame, order: Column, target: str, key: str, test_size: float) -> DataFrame:
+    rows = df.select(q(target).alias("class"), order.alias("o"), q(key).alias("k")).filter("class IS NOT NULL AND o IS NOT NULL")
+    ranked = running_totals(rows, "class", ["o", "k"], F.lit(1).cast("long"))
+    wanted = rows.groupBy("class").agg(F.floor(F.count(F.lit(1)) * F.lit(test_size) + 0.5).alias("wanted"))
+    last = ranked.join(wanted, "class").filter("before = wanted - 1").select(F.col("class").alias("_class"), F.col("o").alias("_o"), F.col("k").alias("_k"))
+    upto = (order < F.col("_o")) | ((order == F.col("_o")) & (q(key) <= F.col("_k")))
+    return df.join(last, q(target) == F.col("_class"), "left").withColumn("is_validation", F.coalesce(upto, F.lit(False))).drop("_class", "_o", "_k")
+
+
 def split_flag(df: DataFrame, target: str, key: str, test_size: float = 0.2, seed: int = 42,
                order: Column | None = None) -> DataFrame:
     """``df`` plus boolean ``is_validation``: per class, the first round(test_size * n) rows in hash order.
 
     The cut is found per class by rank selection, so no class (one of them usually holds most rows) is
-    ever sorted or sent to one task. It falls on a number that grows with the order (its double value; one
+    ever sorted or sent to one task. (With more than CLASSES classes a cut each would be too many: all rows' class, order and key are
+    then ranked by running totals, and the last row taken of each class is joined to the rows.) It falls on a number that grows with the order (its double value; one
     number for all rows if the order is no number); rows with the number of the cut are ranked by
     (order, key) as they are, so any type and size of either will do.
     """
     exact = F.pmod(F.xxhash64(q(key), F.lit(seed)), F.lit(1 << 52)) if order is None else order
     kind = df.select(exact.alias("o")).schema["o"].dataType
     order = exact.cast("double") if isinstance(kind, T.NumericType) else F.when(exact.isNotNull(), F.lit(0.0))
-    classes = class_values(df, target)
+    sizes = df.filter(q(target).isNotNull()).groupBy(q(target).alias("class")).agg(F.count(F.lit(1)).alias("size"))
+    classes = [r["class"] for r in sizes.limit(CLASSES + 1).collect()]
+    if len(classes) > CLASSES:
+        return _split_by_rank(df, exact, target, key, test_size)
     want: dict[str, int] = {}
 
     def cut(name: str, n: int) -> list[int]:
