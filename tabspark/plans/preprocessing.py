@@ -11,13 +11,13 @@ from tabspark.functions.lineage import written
 from tabspark.functions.scalars import without_nan
 from tabspark.functions.types import q
 from tabspark.operators.stages import (DataCleaner, EncodingTransformer, FeatureScaler, FeatureTransformer,
-                                       MissingValueTransformer, OutlierTransformer, RareCategoryTransformer, Stage)
+                                       IterativeImputer, MissingValueTransformer, OutlierTransformer, RareCategoryTransformer, Stage)
 from tabspark.plans.tracking import MetadataTracker
 from tabspark.plans.validate import LeakageValidator, SchemaValidator
 from tabspark.sources.writers import write_run_reports
 
 COMPONENTS = {
-    "cleaner": DataCleaner, "missing": MissingValueTransformer, "rare_categories": RareCategoryTransformer,
+    "cleaner": DataCleaner, "missing": MissingValueTransformer, "iterative_imputer": IterativeImputer, "rare_categories": RareCategoryTransformer,
     "encoder": EncodingTransformer, "outliers": OutlierTransformer, "transformations": FeatureTransformer,
     "scaler": FeatureScaler,
 }
