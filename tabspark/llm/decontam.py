@@ -26,13 +26,15 @@ UNITS = ("mm cm m km in ft yd mi mg g kg t lb oz ml l s sec min h hr hrs ms hz k
          "metres meters miles hours minutes seconds days weeks months years degrees litres liters grams").split()
 NAME = r"([\p{Ll},;] )(\p{Lu}\p{Ll}+)"
 TOKEN = r"\p{N}+(?:[.,]\p{N}+)*|[\p{L}\p{M}@]+"
+#: The same words, found without a stack that grows with the number: nothing taken is given back.
+STEADY_TOKEN = r"\p{N}++(?:[.,]\p{N}++)*+|[\p{L}\p{M}@]++"
 
 
 def raw_words(text: Column) -> Column:
     """Lower-case words and numbers; names begin with @."""
     flat = F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), "@", " "), r"\s+", " ")  # a name is one in any layout
     marked = F.regexp_replace(F.regexp_replace(flat, NAME, "$1@$2"), NAME, "$1@$2")
-    return F.regexp_extract_all(F.lower(marked), F.lit(TOKEN), F.lit(0))
+    return F.regexp_extract_all(F.lower(marked), F.lit(STEADY_TOKEN), F.lit(0))
 
 
 def template(words: str) -> Column:

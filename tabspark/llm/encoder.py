@@ -71,8 +71,17 @@ class Encoder:
         texts = [t or "" for t in texts]
         if not self.byte_level:
             return self._slow(texts)
-        kind, run = "H" if self.dtype.itemsize == 2 else "I", self.quick.encode_ordinary
-        return [array(kind, run(t)).tobytes() for t in texts]
+        kind = "H" if self.dtype.itemsize == 2 else "I"
+        return [array(kind, self._run(t)).tobytes() for t in texts]
+
+    def _run(self, text: str) -> list[int]:
+        """The quick encoding, or the tokenizer itself for a text that is too much for it (a run of blanks of about a million characters)."""
+        try:
+            return self.quick.encode_ordinary(text)
+        except BaseException as e:  # a panic of the library is no Exception
+            if type(e).__name__ != "PanicException":
+                raise
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def located(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """First character and end of every token of each text. A token within one character has that character's span."""

@@ -1,0 +1,27 @@
+"""Every operator that reads texts by patterns or tokens, on texts that exhaust stacks."""
+
+import pytest
+
+from tabspark.llm import attribution, decontam, packing, pii
+
+LONG = ["1," * 500_000, "1.2" * 300_000, "a@" + "a." * 500_000, " " * 1_000_000, "\n" * 1_000_000, " \t\n" * 400_000, "a1" * 500_000, "x" * 1_000_000]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(list(enumerate(LONG)), "doc_id bigint, text string").repartition(4)
+
+
+def test_leaks(spark, docs):
+    items = spark.createDataFrame([(1, "one two three four five six seven eight nine ten eleven twelve thirteen")], "item_id bigint, text string")
+    assert decontam.op8_decontamination(spark, docs, items).count() == 0
+
+
+def test_personal_data(spark, docs):
+    assert pii.op2_pii(spark, docs).count() == len(LONG)
+
+
+def test_tokens(spark, docs):
+    pieces = packing.op4_packing(spark, docs).groupBy("doc_id").agg({"length": "sum", "doc_tokens": "max"}).collect()
+    assert len(pieces) == len(LONG) and all(r["sum(length)"] == r["max(doc_tokens)"] for r in pieces)
+    assert attribution.op3_token_counts(spark, docs).count() >= len(LONG)
