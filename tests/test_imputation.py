@@ -75,6 +75,6 @@ def test_ridge_and_chosen_columns(spark):
 
 
 def test_as_a_component(spark):
-    plan = PreprocessingPipeline({"preprocessing": {"steps": [{"component": "iterative_imputer", "params": {"rounds": 2}}]}}, target_column="y", key_column="id")
+    plan = PreprocessingPipeline({"pipeline": {"steps": [{"component": "iterative_imputer", "params": {"rounds": 2}}]}}, target_column="y", key_column="id")
     out = plan.fit_transform(frame(spark, rows()).selectExpr("*", "id % 2 AS y"))
     assert out.filter("a IS NULL OR b IS NULL OR c IS NULL").count() == 0
