@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -39,6 +41,32 @@ def share(key: str, seed: int) -> Column:
     return F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value computed once, also where `body` uses it inside of lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def scanned(values: Column, first: Column, step: Callable[[Column, Column], tuple[Column, Column]], kind: str, block: int = 256) -> Column:
+    """One element of type `kind` per element of the array: step(state, value) gives the next state and the element.
+
+    Elements are gathered in blocks, so that no array of all of them is copied at every step.
+    """
+    def within(done: Column, value: Column) -> Column:
+        state, element = step(done["state"], value)
+        return F.struct(state.alias("state"), F.concat(done["out"], F.array(element)).alias("out"))
+
+    def over(values: Column) -> Column:
+        def add(done: Column, b: Column) -> Column:
+            inner = F.aggregate(F.slice(values, b * block + 1, F.lit(block)), F.struct(done["state"].alias("state"), F.array().cast(f"array<{kind}>").alias("out")), within)
+            return bound(inner, lambda i: F.struct(i["state"].alias("state"), F.concat(done["out"], F.array(i["out"])).alias("out")))
+
+        blocks = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / block).cast("int"))
+        whole = F.aggregate(blocks, F.struct(first.alias("state"), F.array().cast(f"array<array<{kind}>>").alias("out")), add)
+        return F.when(F.size(values) > 0, F.flatten(whole["out"])).otherwise(F.array().cast(f"array<{kind}>"))
+
+    return bound(values, over)
+
+
 def vocabulary_file(name: str, folder: str = VOCABULARIES) -> str:
     return os.path.join(folder, name)
 
@@ -81,6 +109,27 @@ def slices(rows: pa.RecordBatch, text: str, most_bytes: int = 4_000_000) -> Iter
         yield rows.slice(start)
 
 
+#: What a worker process may drop when a task ends, by module.
+AT_END: list[Callable[[], None]] = []
+
+
+def tidied(work: Callable) -> Callable:
+    """`work` for mapInArrow, giving back what the worker process holds when the task ends: workers are reused, and stand beside the JVM."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            for drop in AT_END:
+                drop()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):
+                pass  # not this C library
+    return run
+
+
 def scratch_path(spark: SparkSession, what: str) -> str:
     """A new path in the shared folder; Spark makes the folder when it writes."""
     return f"{shared_folder(spark).rstrip('/')}/llm-{what}-{uuid.uuid4().hex}"

@@ -14,6 +14,8 @@ from functools import cached_property, lru_cache
 
 import numpy as np
 
+from tabspark.llm.common import AT_END
+
 #: Fixed value: how byte-level tokenizers split a text before merging.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -103,5 +105,8 @@ class Encoder:
 
 @lru_cache(maxsize=4)
 def encoder(spec: str) -> Encoder:
-    """One per worker process, from task to task."""
+    """One for all batches of a task."""
     return Encoder(spec)
+
+
+AT_END.append(encoder.cache_clear)

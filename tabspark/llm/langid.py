@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabspark.llm.common import batch, remainder, settled, share, ship, slices, sweep, vocabulary_file, written_so_far
+from tabspark.llm.common import batch, remainder, settled, share, ship, slices, sweep, tidied, vocabulary_file, written_so_far
 
 PIECES = "piece_bpe_32k.model"
 #: Longest piece used, in characters, and longest run of letters that is scored in one go.
@@ -267,7 +267,7 @@ def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: s
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(
-        work, f"key {kind}, lang_pred string, score double, bits double").withColumnRenamed("key", key)
+        tidied(work), f"key {kind}, lang_pred string, score double, bits double").withColumnRenamed("key", key)
 
 
 def accepted(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
@@ -282,7 +282,7 @@ def accepted(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
                 got = scorer.texts(part.column(text).to_pylist())
                 yield part.filter(pa.array([g[2] is not None and g[2] <= FOREIGN_BITS for g in got], pa.bool_()))
 
-    return docs.mapInArrow(work, docs.schema)
+    return docs.mapInArrow(tidied(work), docs.schema)
 
 
 def held_out(key: str = "doc_id"):

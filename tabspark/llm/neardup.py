@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabspark.functions.lineage import checkpoint
-from tabspark.llm.common import fresh, settled, ship
+from tabspark.llm.common import AT_END, fresh, settled, ship, tidied
 from tabspark.llm.components import components
 
 TREES, DEPTH, LEAST, REGION, REACH = 16, 12, 5, 16, 2
@@ -44,6 +44,7 @@ ROWS, REMEMBERED = 200_000, 150_000
 BROADCAST_IDS = 1_000_000
 MIX, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _known: dict[bytes, int] = {}
+AT_END.append(_known.clear)
 
 
 def shingles(text: bytes | None, words: int) -> np.ndarray:
@@ -96,7 +97,7 @@ def sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
                 signs.append(signature(keys, functions).tobytes() if live else None)
             yield pa.RecordBatch.from_arrays([rows.column("id"), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), pa.array(signs, pa.binary())], ["id", "n", "print", "sign"])
 
-    return docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text")).mapInArrow(work, "id bigint, n bigint, print binary, sign binary")
+    return docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text")).mapInArrow(tidied(work), "id bigint, n bigint, print binary, sign binary")
 
 
 def neighbours(tree: np.ndarray, keys: np.ndarray, region: int = REGION, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
@@ -166,7 +167,7 @@ def candidates(folded: DataFrame, threshold: float) -> tuple[DataFrame, DataFram
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(e), kind, "i4")), pa.array(ids[e]), pa.array(e - len(ids)), pa.array(np.full(len(e), part, "i4")), pa.array(e),
                                               pa.array(sizes[e]), pa.array(tree[e]), pa.array([stretches[i] for i in e], pa.binary())], fields)
 
-    made = settled(placed.mapInArrow(work, "kind int, a bigint, b bigint, part int, place bigint, n bigint, tree int, stretch binary"), "forest")
+    made = settled(placed.mapInArrow(tidied(work), "kind int, a bigint, b bigint, part int, place bigint, n bigint, tree int, stretch binary"), "forest")
     inside = made.filter("kind = 0").select("a", "b")
     dense = made.filter("kind = 2").select(F.col("a").alias("id"), "n", "tree", "stretch")
     # rows at the cuts: the last of a partition meet the first of the next that has any; b is the place counted from the end
@@ -346,7 +347,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
             yield pa.RecordBatch.from_arrays([rows.column("id"), pa.array(found, pa.binary())], ["id", "keys"])
 
     texts = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text")).join(ids, "id", "left_semi")
-    contents = settled(texts.mapInArrow(keys, "id bigint, keys binary").filter("octet_length(keys) > 0").groupBy("id").agg(F.first("keys").alias("keys")), "contents")
+    contents = settled(texts.mapInArrow(tidied(keys), "id bigint, keys binary").filter("octet_length(keys) > 0").groupBy("id").agg(F.first("keys").alias("keys")), "contents")
     links, classes = None, None
     for last in (False, False, True):
         if pending.isEmpty():

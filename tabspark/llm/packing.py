@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabspark.llm.common import settled, ship, slices, vocabulary_file
+from tabspark.llm.common import settled, ship, slices, tidied, vocabulary_file
 from tabspark.llm.encoder import encoder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -44,7 +44,7 @@ def encoded(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer:
                 yield pa.RecordBatch.from_arrays(columns, ["part", "place", "key", "tokens", "width"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(work, f"part int, place bigint, key {kind}, tokens binary, width int")
+    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(tidied(work), f"part int, place bigint, key {kind}, tokens binary, width int")
 
 
 def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, tokenizer: str = vocabulary_file(TOKENIZER), end: int = END) -> DataFrame:
@@ -74,7 +74,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
             kinds = [pa.int64()] * 5 + [pa.binary(), pa.bool_(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([keys, *(pa.array(v, k) for v, k in zip(out.values(), kinds))], ["key", *out])
 
-    return written.mapInArrow(work, f"key {kind}, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary, "
+    return written.mapInArrow(tidied(work), f"key {kind}, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary, "
                                     "continued boolean, continues boolean").withColumnRenamed("key", key)
 
 

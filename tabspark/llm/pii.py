@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tabspark.llm.common import scanned
+
 #: What each kind looks like. A host name has at most 127 labels, which bounds the pattern's stack, too.
 BYTE = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 SHAPES = {
@@ -172,15 +174,14 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     found = F.when(some, F.transform(F.regexp_extract_all(source, F.lit(pattern), F.lit(0)), treat)).otherwise(F.array().cast("array<struct<kind:string,old:string,new:string>>"))
     rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("source")).withColumn("found", found).withColumn("between", F.when(F.size("found") > 0, F.split(source, pattern, -1)))
 
-    def add(done: Column, pair: Column) -> Column:
-        start = done["at"] + F.length(pair["gap"])
+    def step(at: Column, pair: Column) -> tuple[Column, Column]:
+        start = at + F.length(pair["gap"])
         end = start + F.length(pair["f"]["old"])
         span = F.struct(pair["f"]["kind"].alias("kind"), start.alias("start"), end.alias("end"), pair["f"]["new"].alias("pseudonym"), (pair["f"]["old"] != pair["f"]["new"]).alias("changed"))
-        return F.struct(end.alias("at"), F.concat(done["spans"], F.array(span)).alias("spans"))
+        return end, span
 
-    span_type = "array<struct<kind:string,start:int,end:int,pseudonym:string,changed:boolean>>"
     pairs = F.transform("found", lambda f, i: F.struct(F.get("between", i).alias("gap"), f.alias("f")))
-    spans = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), F.array().cast(span_type).alias("spans")), add)["spans"]
+    spans = scanned(pairs, F.lit(0), step, "struct<kind:string,start:int,end:int,pseudonym:string,changed:boolean>")
     kept = F.transform(F.filter(spans, lambda s: s["changed"]), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["pseudonym"].alias("pseudonym")))
     joined = F.array_join(F.flatten(F.transform("between", lambda gap, i: F.array(gap, F.coalesce(F.get("found", i)["new"], F.lit(""))))), "")
     none = F.array().cast("array<struct<kind:string,start:int,end:int,pseudonym:string>>")

@@ -16,7 +16,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tabspark.llm.common import share
+from tabspark.llm.common import bound, scanned, share
 
 #: Kinds of secrets in their order, each with its pattern, the group that must be long enough, and the least length.
 PATTERNS = {
@@ -32,29 +32,30 @@ TOKEN, SHORTEST = "[A-Za-z0-9+/_=-]", 20
 #: Nats a character that a token must be likelier as a random string.
 CUT = 0.5
 GENERATED, SMOOTHING = 2000, 1.0
+#: Characters of a block of a text, from which the pieces between secrets are cut.
+BLOCK = 16_384
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
 def matches(text: Column, pattern: str) -> Column:
-    """Spans (start, end) of all matches, from the lengths of what lies between them."""
-    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.length)
-    between = F.transform(F.split(text, pattern, -1), F.length)
+    """Spans (start, end, token) of all matches, from the lengths of what lies between them."""
+    pairs = F.zip_with(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1), lambda f, gap: F.struct(F.length(gap).alias("gap"), f.alias("token")))
 
-    def add(done: Column, pair: Column) -> Column:
-        start = done["at"] + pair["gap"]
-        return F.struct((start + pair["size"]).alias("at"), F.concat(done["spans"], F.array(F.struct(start.alias("start"), (start + pair["size"]).alias("end")))).alias("spans"))
+    def step(at: Column, pair: Column) -> tuple[Column, Column]:
+        start = at + pair["gap"]
+        end = start + F.length(pair["token"])
+        return end, F.struct(start.alias("start"), end.alias("end"), pair["token"].alias("token"))
 
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
-    return F.aggregate(F.transform(found, lambda size, i: F.struct(F.get(between, i).alias("gap"), size.alias("size"))), zero, add)["spans"]
+    return scanned(F.filter(pairs, lambda p: p["token"].isNotNull()), F.lit(0), step, "struct<start:int,end:int,token:string>")
 
 
 def _of_kind(text: Column, kind: str) -> Column:
     pattern, group, least = PATTERNS[kind]
-    quick = QUICK.get(kind, pattern)
-    spans = F.transform(matches(text, quick), lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), s["end"].alias("end")))
+    quick, spans = QUICK.get(kind, pattern), matches(text, QUICK.get(kind, pattern))
     if kind not in QUICK:
-        sizes = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.length)
-        spans = F.filter(spans, lambda s, i: F.get(sizes, i) >= least)
+        sized = F.zip_with(spans, F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), lambda s, value: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.length(value).alias("size")))
+        spans = F.filter(sized, lambda s: s["size"] >= least)
+    spans = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), s["end"].alias("end")))
     return F.when(text.rlike(quick), spans).otherwise(F.array().cast(SPAN))
 
 
@@ -65,14 +66,28 @@ def _patterned(text: Column) -> Column:
 
 def _long_tokens(text: Column) -> Column:
     pattern = f"{TOKEN}{{{SHORTEST},}}"
-    tokens = F.transform(matches(text, pattern), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.substring(text, s["start"] + 1, s["end"] - s["start"]).alias("token")))
-    return F.when(text.rlike(pattern), F.filter(tokens, lambda t: t["token"].rlike("[0-9]"))).otherwise(F.array().cast("array<struct<start:int,end:int,token:string>>"))
+    return F.when(text.rlike(pattern), F.filter(matches(text, pattern), lambda t: t["token"].rlike("[0-9]"))).otherwise(F.array().cast("array<struct<start:int,end:int,token:string>>"))
+
+
+def _apart(tokens: Column, spans: Column) -> Column:
+    """The tokens that overlap none of the spans, by one sweep from either end."""
+    mark = lambda x, own, token: F.struct(x["start"].alias("start"), F.lit(own).alias("own"), x["end"].alias("end"), token.alias("token"), F.lit(True).alias("clear"))
+    marks = F.array_sort(F.concat(F.transform(spans, lambda s: mark(s, 0, F.lit(""))), F.transform(tokens, lambda t: mark(t, 1, t["token"]))))
+    kind = "struct<start:int,own:int,end:int,token:string,clear:boolean>"
+
+    def seen(m: Column, clear: Column) -> Column:
+        return F.struct(m["start"].alias("start"), m["own"].alias("own"), m["end"].alias("end"), m["token"].alias("token"), (m["clear"] & clear).alias("clear"))
+
+    ended = scanned(marks, F.lit(0), lambda last, m: (F.when(m["own"] == 0, F.greatest(last, m["end"])).otherwise(last), seen(m, last <= m["start"])), kind)
+    begun = scanned(F.reverse(ended), F.lit((1 << 31) - 1), lambda next_, m: (F.when(m["own"] == 0, m["start"]).otherwise(next_), seen(m, next_ >= m["end"])), kind)
+    return F.filter(begun, lambda m: (m["own"] == 1) & m["clear"])
 
 
 def _pairs(tokens: DataFrame) -> DataFrame:
     """How often each pair of neighbouring characters stands in the distinct `token`s."""
-    letters = tokens.distinct().filter(F.length("token") >= 2).withColumn("i", F.explode(F.sequence(F.lit(1), F.length("token") - 1)))
-    return letters.groupBy(F.expr("substring(token, i, 2)").alias("pair")).agg(F.count("*").alias("n"))
+    letters = tokens.distinct().filter(F.length("token") >= 2).select(F.split("token", "").alias("letters"))
+    pairs = F.zip_with(F.slice("letters", F.lit(1), F.size("letters") - 1), F.slice("letters", F.lit(2), F.size("letters") - 1), lambda a, b: F.concat(a, b))
+    return letters.select(F.explode(pairs).alias("pair")).groupBy("pair").agg(F.count("*").alias("n"))
 
 
 def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", rows: int = 20_000, ordinary_rows: int = 1_000) -> list[float]:
@@ -101,18 +116,20 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", rows: int =
 
 def _ratio(token: Column, table: Column) -> Column:
     """Mean log ratio a step from character to character."""
-    place = lambda i: F.instr(F.lit(ALPHABET), F.substring(token, i, F.lit(1)))
-    steps = F.length(token) - 1
-    total = F.aggregate(F.sequence(F.lit(1), steps), F.lit(0.0), lambda sum_, i: sum_ + F.get(table, (place(i) - 1) * len(ALPHABET) + place(i + 1) - 1))
-    return total / steps
+    def add(done: Column, letter: Column) -> Column:
+        place = F.instr(F.lit(ALPHABET), letter)
+        ratio = F.when(done["last"] > 0, F.get(table, (done["last"] - 1) * len(ALPHABET) + place - 1)).otherwise(0.0)
+        return F.struct(place.alias("last"), (done["sum"] + ratio).alias("sum"))
+
+    zero = F.struct(F.lit(0).alias("last"), F.lit(0.0).alias("sum"))
+    return F.aggregate(F.split(token, ""), zero, add)["sum"] / (F.length(token) - 1)
 
 
 def scan(docs: DataFrame, model: list[float], text: str = "text") -> DataFrame:
     """The rows with `base` and `spans`: arrays of (start, kind as its number in KINDS, end), of the patterns and of all."""
     table = F.array(*[F.lit(x) for x in model])
     found = docs.withColumns({"base": _patterned(F.coalesce(F.col(text), F.lit(""))), "long": _long_tokens(F.coalesce(F.col(text), F.lit("")))})
-    apart = lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
-    random = F.filter("long", lambda t: apart(t) & (_ratio(t["token"], table) > CUT))
+    random = F.filter(_apart(F.col("long"), F.col("base")), lambda t: _ratio(t["token"], table) > CUT)
     added = F.transform(random, lambda t: F.struct(t["start"].alias("start"), F.lit(KINDS.index("markov")).alias("kind"), t["end"].alias("end")))
     return found.withColumn("spans", F.when(F.size("long") == 0, F.col("base")).otherwise(F.array_sort(F.concat("base", added)))).drop("long")
 
@@ -124,14 +141,21 @@ def written_out(spans: Column) -> Column:
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with every span, or run of overlapping spans, replaced by the mark."""
-    def add(done: Column, s: Column) -> Column:
-        new = s["start"] >= done["at"]
-        kept = F.concat(done["out"], F.substring(text, done["at"] + 1, s["start"] - done["at"]), F.lit(mark))
-        return F.struct(F.greatest(done["at"], s["end"]).alias("at"), F.when(new, kept).otherwise(done["out"]).alias("out"))
-
-    done = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), add)
-    return F.when(F.size(spans) == 0, text).otherwise(F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))))
+    """The text with every span, or run of overlapping spans, replaced by the mark. Pieces are cut from blocks of the text, not from its beginning."""
+    def step(at: Column, s: Column) -> tuple[Column, Column]:
+        return F.greatest(at, s["end"]), F.struct(at.alias("from"), s["start"].alias("to"), s["end"].alias("end"))
+
+    def piece(blocks: Column, start: Column, end: Column) -> Column:
+        first, last = F.floor(start / BLOCK).cast("int"), F.floor(end / BLOCK).cast("int")
+        return F.substring(F.array_join(F.slice(blocks, first + 1, last - first + 1), ""), start - first * BLOCK + 1, end - start)
+
+    def joined(blocks: Column) -> Column:
+        gaps = F.filter(scanned(spans, F.lit(0), step, "struct<from:int,to:int,end:int>"), lambda g: g["to"] >= g["from"])
+        return F.array_join(F.transform(gaps, lambda g: F.concat(piece(blocks, g["from"], g["to"]), F.lit(mark))), "")
+
+    blocks = F.transform(F.sequence(F.lit(0), F.floor(F.length(text) / BLOCK).cast("int")), lambda b: F.substring(text, b * BLOCK + 1, F.lit(BLOCK)))
+    end = F.array_max(F.transform(spans, lambda s: s["end"]))
+    return F.when(F.size(spans) == 0, text).otherwise(F.concat(bound(blocks, joined), F.substring(text, end + 1, F.length(text))))
 
 
 def without_secrets(docs: DataFrame, model: list[float], text: str = "text", size: str | None = None) -> DataFrame:
