@@ -372,6 +372,33 @@ def i39f(spark, sf):
     return fitted(FeatureScaler("quantile"), spark, sf, _MONEY)
 
 
+def _density(z: str) -> str:
+    return f"exp(-({z}) * ({z}) / 2) / sqrt(2 * pi())"
+
+
+#: The normal distribution function at steps of 0.001, summed by Simpson's rule.
+_NORMAL = f"""SELECT z, sum(({_density('z - 0.001')} + 4 * {_density('z - 0.0005')} + {_density('z')}) / 6000) OVER (ORDER BY z) AS below, {_density('z')} AS density
+  FROM (SELECT (i - 8000) / 1000.0::DOUBLE AS z FROM range(16001) t(i))"""
+
+
+def _score(c: str) -> str:
+    """The inverse of the distribution function by its series from the step before."""
+    d = f"(({c}_p - {c}_n.below) / {c}_n.density)"
+    return f"CASE WHEN {c} IS NOT NULL THEN {c}_n.z + {d} + {c}_n.z * {d} ^ 2 / 2 + (2 * {c}_n.z ^ 2 + 1) * {d} ^ 3 / 6 END"
+
+
+_SHARES = ", ".join(f"CASE WHEN {c} IS NOT NULL THEN greatest(1e-7, least(1 - 1e-7, {_grid_position(c)})) END AS {c}_p" for c in _MONEY)
+_JOINS = " ".join(f"ASOF LEFT JOIN normal {c}_n ON {c}_p >= {c}_n.below" for c in _MONEY)
+
+
+@query("i39_scale_quantile_normal", sql(f"SELECT app_id, {', '.join(r(_score(c), c, 3) for c in _MONEY)} FROM shares {_JOINS}",
+                                        grid="SELECT " + ", ".join(f"quantile_cont({c}, {_GRID_TEXT}) AS {c}_k" for c in _MONEY) + " FROM train",
+                                        places=f"SELECT *, {_PLACES} FROM val, grid", shares=f"SELECT app_id, {', '.join(_MONEY)}, {_SHARES} FROM places", normal=_NORMAL), digits=3)
+def i39n(spark, sf):
+    """Normal scores of the positions among 1000 quantiles, on columns with nulls and ties."""
+    return fitted(FeatureScaler("quantile_normal"), spark, sf, _MONEY)
+
+
 @query("i40_scale_skip_rules", sql(f"""SELECT app_id, {r('income', 'income')},
   {r('(credit - (SELECT min(credit) FROM train)) / (SELECT max(credit) - min(credit) FROM train)', 'credit')},
   {r('(car_age - (SELECT avg(car_age) FROM train)) / (SELECT stddev_pop(car_age) FROM train)', 'car_age')},

@@ -12,7 +12,7 @@ from tabspark.operators.columnwise import numeric_stats
 from tabspark.operators.quantiles import quantiles
 from tabspark.operators.stages.base import Stage
 
-STRATEGIES = ("standard", "minmax", "robust", "quantile", "none")
+STRATEGIES = ("standard", "minmax", "robust", "quantile", "quantile_normal", "none")
 MAX_QUANTILES = 1000
 
 
@@ -35,8 +35,37 @@ def quantile_position(c: Column, grid: list[float], nullable: bool = True) -> Co
     return F.when(c.isNotNull(), position(c)) if nullable else position(c)
 
 
+#: Positions nearer to 0 or 1 than this become the score of this one (5.2 standard deviations), so that no score is infinite.
+NORMAL_EDGE = 1e-7
+#: Coefficients of the rational forms of the inverse normal function, highest power first, inside and in the tails.
+CENTRE = ([-39.69683028665376, 220.9460984245205, -275.9285104469687, 138.3577518672690, -30.66479806614716, 2.506628277459239],
+          [-54.47609879822406, 161.5858368580409, -155.6989798598866, 66.80131188771972, -13.28068155288572, 1.0])
+TAIL = ([-0.007784894002430293, -0.3223964580411365, -2.400758277161838, -2.549732539343734, 4.374664141464968, 2.938163982698783],
+        [0.007784695709041462, 0.3224671290700398, 2.445134137142996, 3.754408661907416, 1.0])
+TAIL_FROM = 0.02425
+
+
+def _polynomial(x: Column, coefficients: list[float]) -> Column:
+    value = F.lit(coefficients[0])
+    for c in coefficients[1:]:
+        value = value * x + F.lit(c)
+    return value
+
+
+def normal_score(position: Column) -> Column:
+    """The standard normal value below which a share `position` lies, to a relative error of 1.2e-9; null for null."""
+    p = F.greatest(F.lit(NORMAL_EDGE), F.least(position, F.lit(1 - NORMAL_EDGE)))
+    near = F.least(p, 1 - p)
+    r = F.sqrt(-2 * F.log(near))
+    tail = _polynomial(r, TAIL[0]) / _polynomial(r, TAIL[1])
+    d = p - 0.5
+    centre = _polynomial(d * d, CENTRE[0]) * d / _polynomial(d * d, CENTRE[1])
+    return F.when(position.isNull(), None).when(near >= TAIL_FROM, centre).when(p < 0.5, tail).otherwise(-tail)
+
+
 class FeatureScaler(Stage):
-    """standard (ddof 0), minmax, robust, quantile (uniform on [0, 1]) or none per column; 0/1 columns are left alone."""
+    """standard (ddof 0), minmax, robust, quantile (uniform on [0, 1]), quantile_normal (the normal score of that position) or none per
+    column; 0/1 columns are left alone."""
 
     def __init__(self, default_strategy: str = "standard", column_strategies: dict | None = None,
                  exclude_cols: list[str] | None = None, n_quantiles: int = MAX_QUANTILES):
@@ -63,7 +92,7 @@ class FeatureScaler(Stage):
         robust = [c for c in cols if strategy[c] == "robust"]
         counts = {c: got[c]["n"] for c in cols}
         spread = self._quantiles(df, robust, [0.25, 0.5, 0.75], counts)
-        ranked = [c for c in cols if strategy[c] == "quantile"]
+        ranked = [c for c in cols if strategy[c].startswith("quantile")]
         k = max(1, min(self.n_quantiles, df.count())) if ranked else 1
         probs = [i / (k - 1) for i in range(k)] if k > 1 else [0.0]
         grids = self._quantiles(df, ranked, probs, counts)
@@ -76,8 +105,8 @@ class FeatureScaler(Stage):
             elif strategy[c] == "robust":
                 q1, mid, q3 = spread[c]
                 self.scalers_[c] = ("robust", mid, (q3 - q1) or 1.0)
-            elif strategy[c] == "quantile":
-                self.scalers_[c] = ("quantile", list(np.maximum.accumulate(grids[c])), None)
+            elif strategy[c].startswith("quantile"):
+                self.scalers_[c] = (strategy[c], list(np.maximum.accumulate(grids[c])), None)
 
     def _quantiles(self, df: DataFrame, cols: list[str], probs: list[float], counts: dict[str, int]) -> dict:
         got = {c: [facts.quantile(self.facts[c], p) for p in probs] for c in cols if c in self.facts}
@@ -91,14 +120,24 @@ class FeatureScaler(Stage):
 
     def _apply(self, df: DataFrame) -> DataFrame:
         new, nullable = {}, {f.name: f.nullable for f in df.schema.fields}
+        # positions come first, once each: the score reads them many times
+        normal, taken = [c for c, (kind, *_) in self.scalers_.items() if kind == "quantile_normal" and c in nullable], {c.lower() for c in nullable}
+        places = {}
+        for i, c in enumerate(normal):
+            places[c] = f"_place{i}"
+            while places[c] in taken:
+                places[c] += "_"
+        df = df.withColumns({places[c]: quantile_position(dbl(c), self.scalers_[c][1], nullable[c]) for c in normal}) if normal else df
         for c, (kind, a, b) in self.scalers_.items():
-            if c in nullable:
+            if c in nullable and kind == "quantile_normal":
+                new[c] = normal_score(F.col(places[c]))
+            elif c in nullable:
                 new[c] = quantile_position(dbl(c), a, nullable[c]) if kind == "quantile" else \
                     f"(CAST({name_sql(c)} AS DOUBLE) - ({number_sql(a)})) / ({number_sql(b)})"
-        return self.replace(df, new)
+        return self.replace(df, new).drop(*places.values())
 
     def get_reports(self) -> dict:
         def finite(v):
             return None if v is None or (isinstance(v, float) and math.isnan(v)) else v
-        return {"scaling": {c: {"strategy": s[0], **({} if s[0] == "quantile" else {"center": finite(s[1]), "scale": finite(s[2])})}
+        return {"scaling": {c: {"strategy": s[0], **({} if s[0].startswith("quantile") else {"center": finite(s[1]), "scale": finite(s[2])})}
                             for c, s in self.scalers_.items()}}

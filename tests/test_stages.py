@@ -1,5 +1,7 @@
 """Stages and configured runs on a small fixture: the expected behaviour of each component, and its edges."""
 
+from statistics import NormalDist
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tabspark.operators.stages import (DataCleaner, EncodingTransformer, FeatureScaler, FeatureTransformer,
                                        MissingValueTransformer, OutlierTransformer, RareCategoryTransformer)
+from tabspark.operators.stages.scaler import normal_score
 from tabspark.plans.jobs import run_all, split_flag, stratified_split
 from tabspark.plans.preprocessing import PreprocessingPipeline, load_config
 from tabspark.plans.presets import MODEL_SPECS
@@ -204,6 +207,26 @@ def _interpolated(x, knots):
     return out
 
 
+def test_normal_scores_equal_the_inverse_distribution_function(spark):
+    shares = [0.0, 1e-12, 1e-7, 1e-4, 0.02, 0.02425, 0.0243, 0.3, 0.5, 0.7, 0.97575, 0.98, 0.9999, 1.0]
+    df = spark.createDataFrame([(p,) for p in [*shares, None]], "p double")
+    got = [r[0] for r in df.select(normal_score(F.col("p"))).collect()]
+    assert got[-1] is None
+    np.testing.assert_allclose(got[:-1], [NormalDist().inv_cdf(min(max(p, 1e-7), 1 - 1e-7)) for p in shares], rtol=3e-9, atol=1e-9)
+
+
+def test_scaler_to_a_normal_keeps_nulls_order_and_other_columns(spark):
+    df = spark.range(999).selectExpr("id", "IF(id % 10 = 0, NULL, exp(id / 200.0D)) AS x", "id * 1.0D AS _place0", "'t' AS kind")
+    stage = FeatureScaler("quantile_normal", {"_place0": "none"}).fit(df, key="id")
+    out = stage.transform(df)
+    assert out.columns == df.columns and stage.get_reports()["scaling"]["x"] == {"strategy": "quantile_normal"}
+    got = out.orderBy("id").toPandas()
+    known = got["x"].dropna()
+    assert got["x"].isna().sum() == 100 and known.is_monotonic_increasing and (got["_place0"] == got["id"]).all()
+    inner = known[1:-1]
+    assert abs(inner.mean()) < 0.01 and abs(inner.std() - 1) < 0.02
+
+
 def test_scaler_quantile_with_ties_and_nulls(spark):
     df = spark.range(2500).select("id", F.expr("CASE WHEN id % 4 = 0 THEN 10.0D WHEN id % 7 = 0 THEN NULL ELSE (id * 31) % 500 * 1.0D END AS x"))
     out = FeatureScaler("quantile").fit_transform(df, key="id").toPandas().sort_values("id")["x"]
