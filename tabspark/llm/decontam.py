@@ -2,12 +2,14 @@
 
 Texts become words in a canonical form: numbers, units after numbers, and names (capitalised words inside a sentence) become the typed
 placeholders # % and @, other words are lower-cased, punctuation and layout go. Windows of WINDOW template words of the benchmark
-items are hash-joined with those of the documents. Windows that agree on item and relative position form an alignment; one of enough
-windows is a leak if its slots are consistent, that is, each value of the item always stands for the same value in the document. Equal
-values make it a verbatim leak, others a re-parameterised question.
+items are hash-joined with those of the documents, and beside them windows of the plain lower-cased words. Windows that agree on item and
+relative position form an alignment. Enough plain windows make it a verbatim leak, whatever stands elsewhere: tables of numbers, copies in
+other case, copies with a value altered. Otherwise its stretches of equal template words are judged one by one: one counts if its slots are
+consistent, that is, each value of the item always stands for the same value in the document; enough windows in such stretches are a leak, most often a
+re-parameterised question (a verbatim one if all values are equal).
 
 Defined results: null and empty texts match nothing; an item shorter than a window is matched as a whole, if it has at least WINDOW / 2 literal words;
-windows with fewer literal words are not used; repeated rows and items are matched one by one and folded by their ids; rows with
+template windows with fewer literal words are not used; repeated rows and items are matched one by one and folded by their ids; rows with
 a null id on either side take no part; other columns are ignored; empty tables give no row. Texts are read whole. DataFrame functions only.
 """
 
@@ -24,17 +26,21 @@ ENOUGH = 5
 BROADCAST_WINDOWS, BROADCAST_IDS = 2_000_000, 1_000_000
 UNITS = ("mm cm m km in ft yd mi mg g kg t lb oz ml l s sec min h hr hrs ms hz khz mhz ghz w kw v a kb mb gb tb usd eur gbp dollars euros pounds cents percent "
          "metres meters miles hours minutes seconds days weeks months years degrees litres liters grams").split()
-NAME = r"([\p{Ll},;] )(\p{Lu}\p{Ll}+)"
-TOKEN = r"\p{N}+(?:[.,]\p{N}+)*|[\p{L}\p{M}@]+"
-#: The same words, found without a stack that grows with the number: nothing taken is given back.
-STEADY_TOKEN = r"\p{N}++(?:[.,]\p{N}++)*+|[\p{L}\p{M}@]++"
+#: White space that is not one blank between words, where a name begins, and words; none needs a stack that grows with the text.
+LAYOUT = r"\s{2,}+|[\t\n\x0B\f\r]"
+NAME = r"(?<=[\p{Ll},;] )(?=\p{Lu}\p{Ll})"
+TOKEN = r"\p{N}++(?:[.,]\p{N}++)*+|[\p{L}\p{M}@]++"
 
 
 def raw_words(text: Column) -> Column:
     """Lower-case words and numbers; names begin with @."""
-    flat = F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), "@", " "), r"\s+", " ")  # a name is one in any layout
-    marked = F.regexp_replace(F.regexp_replace(flat, NAME, "$1@$2"), NAME, "$1@$2")
-    return F.regexp_extract_all(F.lower(marked), F.lit(STEADY_TOKEN), F.lit(0))
+    flat = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), "@", " "), LAYOUT, " ")  # a name is one in any layout
+    return F.regexp_extract_all(F.lower(F.regexp_replace(flat, NAME, "@")), F.lit(TOKEN), F.lit(0))
+
+
+def plain(words: str) -> Column:
+    """The raw words without marks."""
+    return F.expr(f"transform({words}, w -> ltrim('@', w))")
 
 
 def template(words: str) -> Column:
@@ -49,17 +55,28 @@ def windows(words: str, width: str) -> Column:
 
 
 def _items(benchmark: DataFrame, key: str, text: str, window: int) -> DataFrame:
-    """item, form, raw, words, width, and per window its place and hash.
+    """item, form, raw, words, width, and per window its kind (template or plain), place and hash.
 
     Form 1 has the first word as a name, which it is taken for where the item stands inside of a sentence; its other windows are those of form 0.
     """
     rows = benchmark.filter(F.col(key).isNotNull()).select(F.col(key).alias("item"), raw_words(F.col(text)).alias("raw"))
     named = rows.filter("size(raw) > 0 AND raw[0] >= 'A'").withColumn("raw", F.expr("concat(array(concat('@', raw[0])), slice(raw, 2, size(raw)))"))
     rows = rows.withColumn("form", F.lit(0)).unionByName(named.withColumn("form", F.lit(1)))
-    rows = rows.withColumn("words", template("raw")).filter(F.size("words") > 0).withColumn("width", F.least(F.lit(window), F.size("words")))
+    rows = rows.withColumn("words", template("raw")).withColumn("plain", plain("raw")).filter(F.size("words") > 0).withColumn("width", F.least(F.lit(window), F.size("words")))
     literal = F.expr(f"size(filter(slice(words, w.pos + 1, width), x -> x NOT IN ('#', '%', '@'))) >= {window // 2}")
-    placed = rows.withColumn("w", F.explode(F.expr("transform(sequence(0, size(words) - width), i -> named_struct('pos', i, 'hash', xxhash64(slice(words, i + 1, width))))")))
-    return placed.filter(literal).filter("form = 0 OR w.pos = 0").select("item", "form", "raw", "words", "width", F.col("w.pos").alias("pos"), F.col("w.hash").alias("hash"))
+    placed = rows.withColumn("w", F.explode(F.concat(*[
+        F.expr(f"transform(sequence(0, size(words) - width), i -> named_struct('plain', {kind == 'plain'}, 'pos', i, 'hash', xxhash64(slice({kind}, i + 1, width))))") for kind in ("words", "plain")])))
+    used = placed.filter(literal | (F.col("w.plain") & (F.col("width") == window))).filter("form = 0 OR w.pos = 0 AND NOT w.plain")
+    return used.select("item", "form", "raw", "words", "width", "w.plain", F.col("w.pos").alias("pos"), F.col("w.hash").alias("hash"))
+
+
+#: Windows of an alignment, in order, that begin or end a stretch of words with equal templates; then the stretches and their slots.
+_DIFFER = "exists(sequence({}, {} - 1), q -> item_words[q] <> words[q + shift])"
+_FIRSTS = f"filter(sequence(0, size(at) - 1), i -> i = 0 OR (at[i] > at[greatest(i, 1) - 1] + width AND {_DIFFER.format('at[i - 1] + width', 'at[i]')}))"
+_LASTS = f"filter(sequence(0, size(at) - 1), i -> i = size(at) - 1 OR (at[least(i, size(at) - 2) + 1] > at[i] + width AND {_DIFFER.format('at[i] + width', 'at[i + 1]')}))"
+_STRETCHES = """transform(firsts, (f, j) -> named_struct('first', at[f], 'n', lasts[j] - f + 1, 'slots', transform(
+    filter(sequence(at[f], at[lasts[j]] + width - 1), p -> item_words[p] IN ('#', '%', '@')), p -> named_struct('asked', item_raw[p], 'given', raw[p + shift]))))"""
+_CONSISTENT = "filter(stretches, r -> size(array_distinct(transform(r.slots, s -> concat(s.asked, ' ', s.given)))) = size(array_distinct(r.slots.asked)))"
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text",
@@ -73,35 +90,36 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     known = F.broadcast(hashes.select("hash").distinct()) if n_hashes <= BROADCAST_WINDOWS else hashes.select("hash").distinct()
 
     docs = docs.filter(F.col(key).isNotNull()).select(F.col(key).alias("doc"), F.col(text).alias("text"))
-    templated = docs.withColumn("raw", raw_words(F.col("text"))).select("doc", template("raw").alias("words"))
-    hashed = templated.select("doc", F.explode(F.concat(*[windows("words", str(w)) for w in widths]) if widths else F.array().cast("array<bigint>")).alias("hash"))
+    split = docs.withColumn("raw", raw_words(F.col("text"))).select("doc", template("raw").alias("words"), plain("raw").alias("plain"))
+    either = [F.when(F.col("words") == F.col("plain"), windows("words", str(w))).otherwise(F.concat(windows("words", str(w)), windows("plain", str(w)))) for w in widths]
+    hashed = split.select("doc", F.explode(F.concat(*either) if widths else F.array().cast("array<bigint>")).alias("hash"))
     touched = settled(hashed.join(known, "hash", "left_semi").select("doc").distinct(), "touched")
     ids = F.broadcast(touched) if touched.count() <= BROADCAST_IDS else touched
 
     # the few documents that share a window: places, alignments, slots
-    near = docs.join(ids, "doc", "left_semi").withColumn("raw", raw_words(F.col("text"))).select("doc", "raw", template("raw").alias("words"))
+    near = docs.join(ids, "doc", "left_semi").withColumn("raw", raw_words(F.col("text"))).select("doc", "raw", template("raw").alias("words"), plain("raw").alias("plain"))
     near = settled(near.withColumn("copy", F.monotonically_increasing_id()), "near")
-    every = [F.transform(windows("words", str(w)), _placed(w)) for w in widths] or [F.array().cast("array<struct<width:int,at:int,hash:bigint>>")]
+    every = [F.transform(windows(kind, str(w)), _placed(w, kind == "plain")) for w in widths for kind in ("words", "plain")] or [F.array().cast("array<struct<width:int,plain:boolean,at:int,hash:bigint>>")]
     placed = near.select("copy", F.explode(F.flatten(F.array(*every))).alias("w")).select("copy", "w.*")
-    met = placed.join(items.select("item", "pos", "width", "hash"), ["width", "hash"])
-    aligned = met.groupBy("copy", "item", (F.col("at") - F.col("pos")).alias("shift")).agg(F.collect_set("pos").alias("at"), F.max("width").alias("width"))
-    totals = items.groupBy("item").agg(F.countDistinct("pos").alias("total"), F.min_by("raw", "form").alias("item_raw"), F.min_by("words", "form").alias("item_words"))
-    held = aligned.join(totals, "item").filter(F.size("at") >= F.least(F.lit(enough), F.col("total"))).join(near, "copy")
-    # slots between the first and the last word of the alignment that have the same type on both sides
-    span = "sequence(array_min(at), array_max(at) + width - 1)"
-    slots = F.expr(f"transform(filter({span}, p -> item_words[p] IN ('#', '%', '@') AND words[p + shift] = item_words[p]), p -> named_struct('asked', item_raw[p], 'given', raw[p + shift]))")
-    judged = held.withColumn("slots", slots)
-    consistent = F.size(F.array_distinct("slots")) == F.size(F.array_distinct(F.transform("slots", lambda s: s["asked"])))
-    verbatim = F.forall("slots", lambda s: s["asked"] == s["given"])
-    good = judged.filter(consistent).select("doc", "item", F.struct(F.size("at").cast("bigint").alias("n_windows"), (-(F.col("shift") + F.array_min("at"))).cast("bigint").alias("before"),
-                                                                    verbatim.alias("verbatim"), F.col("total")).alias("best"))
+    met = placed.join(items.select("item", "pos", "width", "plain", "hash"), ["width", "plain", "hash"])
+    aligned = met.groupBy("copy", "item", (F.col("at") - F.col("pos")).alias("shift")).agg(
+        F.sort_array(F.collect_set(F.when(~F.col("plain"), F.col("pos")))).alias("at"), F.sort_array(F.collect_set(F.when(F.col("plain"), F.col("pos")))).alias("same"), F.max("width").alias("width"))
+    totals = items.groupBy("item").agg(F.countDistinct(F.when(~F.col("plain"), F.col("pos"))).alias("total"), F.countDistinct(F.when(F.col("plain"), F.col("pos"))).alias("total_same"),
+                                       F.min_by("raw", "form").alias("item_raw"), F.min_by("words", "form").alias("item_words"))
+    held = aligned.join(totals, "item").withColumn("copied", F.expr(f"size(same) > 0 AND size(same) >= least({enough}, total_same)"))
+    held = held.filter(F.expr(f"copied OR (size(at) > 0 AND size(at) >= least({enough}, total))")).join(near.select("copy", "doc", "raw", "words"), "copy")
+    verbatim = held.filter("copied").select("doc", "item", "shift", F.size("same").alias("n"), F.col("same")[0].alias("first"), F.lit(True).alias("verbatim"), F.col("total_same").alias("total"))
+    judged = held.filter("NOT copied").withColumn("firsts", F.expr(_FIRSTS)).withColumn("lasts", F.expr(_LASTS)).withColumn("stretches", F.expr(_STRETCHES)).withColumn("good", F.expr(_CONSISTENT))
+    other = judged.select("doc", "item", "shift", F.expr("aggregate(good, 0, (n, r) -> n + r.n)").alias("n"), F.expr("array_min(good.first)").alias("first"),
+                          F.expr("forall(good, r -> forall(r.slots, s -> s.asked = s.given))").alias("verbatim"), "total").filter(F.expr(f"n > 0 AND n >= least({enough}, total)"))
+    good = verbatim.unionByName(other).select("doc", "item", F.struct(F.col("n").cast("bigint").alias("n_windows"), (-(F.col("shift") + F.col("first"))).cast("bigint").alias("before"), "verbatim", "total").alias("best"))
     best = good.groupBy("doc", "item").agg(F.max("best").alias("b"))
     return best.select(F.col("doc").alias(key), F.col("item").alias(item_key), "b.n_windows", (F.col("b.n_windows") / F.col("b.total")).alias("coverage"),
                        (-F.col("b.before")).alias("start"), "b.verbatim")
 
 
-def _placed(width: int):
-    return lambda h, i: F.struct(F.lit(width).alias("width"), i.alias("at"), h.alias("hash"))
+def _placed(width: int, plain: bool):
+    return lambda h, i: F.struct(F.lit(width).alias("width"), F.lit(plain).alias("plain"), i.alias("at"), h.alias("hash"))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:

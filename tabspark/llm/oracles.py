@@ -18,29 +18,39 @@ FROM s JOIN (SELECT x, min(y) AS component_id FROM r GROUP BY x) c ON s.doc_id =
 
 _UNITS = ", ".join(f"'{u}'" for u in decontam.UNITS)
 _SLOTS = "('#', '%', '@')"
+_CAPITAL = r"([\p{Ll},;] )(\p{Lu}\p{Ll}+)"
+_WORDS = r"\p{N}+(?:[.,]\p{N}+)*|[\p{L}\p{M}@]+"
 
 LEAKS = rf"""
-WITH sides AS (SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
-named AS (SELECT side, id, regexp_replace(replace(coalesce(text, ''), '@', ' '), '{decontam.NAME}', '\1@\2', 'g') AS t FROM sides WHERE id IS NOT NULL),
-plain AS (SELECT side, id, regexp_extract_all(lower(regexp_replace(t, '{decontam.NAME}', '\1@\2', 'g')), '{decontam.TOKEN}') AS raw FROM named),
-t AS (SELECT side, id, raw, list_transform(raw, lambda w, i: CASE WHEN w < ':' THEN '#' WHEN w < 'A' THEN '@'
-  WHEN w IN ({_UNITS}) AND i > 1 AND raw[greatest(i, 2) - 1] < ':' THEN '%' ELSE w END) AS w FROM plain),
-items AS (SELECT DISTINCT id AS item, raw, w, least({decontam.WINDOW}, len(w)) AS width FROM t WHERE side = 'i' AND len(w) > 0),
-forms AS (SELECT item, w, width, false AS named FROM items UNION ALL SELECT item, list_concat(['@'], w[2:]), width, true FROM items WHERE raw[1] >= 'A'),
-iw AS (SELECT DISTINCT item, width, pos, array_to_string(w[pos + 1:pos + width], ' ') AS win FROM (SELECT *, unnest(range(0, len(w) - width + 1)) AS pos FROM forms)
-  WHERE (NOT named OR pos = 0) AND len(list_filter(w[pos + 1:pos + width], lambda x: x NOT IN {_SLOTS})) >= {decontam.WINDOW // 2}),
-total AS (SELECT item, count(DISTINCT pos) AS total FROM iw GROUP BY item),
-dw AS (SELECT id AS doc, width, spot, array_to_string(w[spot + 1:spot + width], ' ') AS win FROM (
-  SELECT t.id, t.w, k.width, unnest(range(0, len(t.w) - k.width + 1)) AS spot FROM t CROSS JOIN (SELECT DISTINCT width FROM iw) k WHERE t.side = 'd')),
-al AS (SELECT doc, item, spot - pos AS shift, count(DISTINCT pos) AS n, min(pos) AS start_pos, max(pos) + max(width) AS beyond FROM dw JOIN iw USING (width, win) GROUP BY ALL),
-held AS (SELECT al.*, total.total, i.raw AS ir, i.w AS iw, d.raw AS dr, d.w AS dw FROM al JOIN total USING (item) JOIN items i USING (item)
-  JOIN (SELECT DISTINCT id, raw, w FROM t WHERE side = 'd') d ON d.id = al.doc WHERE n >= least({decontam.ENOUGH}, total.total)),
-slots AS (SELECT *, list_transform(list_filter(range(start_pos, beyond), lambda p: iw[p + 1] IN {_SLOTS} AND dw[p + shift + 1] = iw[p + 1]),
-  lambda p: {{'asked': ir[p + 1], 'given': dr[p + shift + 1]}}) AS s FROM held),
-good AS (SELECT doc, item, n, shift + start_pos AS start, total, len(list_filter(s, lambda x: x.asked <> x.given)) = 0 AS verbatim FROM slots
-  WHERE len(list_distinct(s)) = len(list_distinct(list_transform(s, lambda x: x.asked)))),
-best AS (SELECT *, row_number() OVER (PARTITION BY doc, item ORDER BY n DESC, start, verbatim DESC) AS place FROM good)
-SELECT doc AS doc_id, item AS item_id, CAST(n AS BIGINT) AS n_windows, n / total AS coverage, CAST(start AS BIGINT) AS start, verbatim FROM best WHERE place = 1"""
+WITH sides AS (SELECT 'd' AS side, doc_id AS id, regexp_replace(replace(coalesce(text, ''), '@', ' '), '[ \t\n\x0B\f\r]+', ' ', 'g') AS text FROM documents WHERE doc_id IS NOT NULL
+  UNION ALL SELECT 'i', item_id, regexp_replace(replace(coalesce(text, ''), '@', ' '), '[ \t\n\x0B\f\r]+', ' ', 'g') FROM benchmark WHERE item_id IS NOT NULL),
+split AS (SELECT side, id, regexp_extract_all(lower(regexp_replace(regexp_replace(text, '{_CAPITAL}', '\1@\2', 'g'), '{_CAPITAL}', '\1@\2', 'g')), '{_WORDS}') AS raw FROM sides),
+t AS (SELECT side, id, raw, list_transform(raw, lambda w: ltrim(w, '@')) AS p, list_transform(raw, lambda w, i: CASE WHEN w < ':' THEN '#' WHEN w < 'A' THEN '@'
+  WHEN w IN ({_UNITS}) AND i > 1 AND raw[greatest(i, 2) - 1] < ':' THEN '%' ELSE w END) AS w FROM split),
+items AS (SELECT DISTINCT id AS item, raw, p, w, least({decontam.WINDOW}, len(w)) AS width FROM t WHERE side = 'i' AND len(w) > 0),
+forms AS (SELECT item, w, w AS said, width, 'template' AS kind, false AS named FROM items UNION ALL SELECT item, w, p, width, 'plain', false FROM items
+  UNION ALL SELECT item, list_concat(['@'], w[2:]), list_concat(['@'], w[2:]), width, 'template', true FROM items WHERE raw[1] >= 'A'),
+iw AS (SELECT DISTINCT item, width, kind, pos, array_to_string(said[pos + 1:pos + width], ' ') AS win FROM (SELECT *, unnest(range(0, len(w) - width + 1)) AS pos FROM forms)
+  WHERE (NOT named OR pos = 0) AND (kind = 'plain' AND width = {decontam.WINDOW} OR len(list_filter(w[pos + 1:pos + width], lambda x: x NOT IN {_SLOTS})) >= {decontam.WINDOW // 2})),
+total AS (SELECT item, kind, count(DISTINCT pos) AS total FROM iw GROUP BY ALL),
+dw AS (SELECT id AS doc, width, kind, spot, array_to_string(CASE WHEN kind = 'plain' THEN p ELSE w END[spot + 1:spot + width], ' ') AS win FROM (
+  SELECT t.id, t.w, t.p, k.width, k.kind, unnest(range(0, len(t.w) - k.width + 1)) AS spot FROM t CROSS JOIN (SELECT DISTINCT width, kind FROM iw) k WHERE t.side = 'd')),
+met AS (SELECT DISTINCT doc, item, kind, width, spot - pos AS shift, pos FROM dw JOIN iw USING (width, kind, win)),
+al AS (SELECT doc, item, kind, shift, count(*) AS n, min(pos) AS start_pos FROM met GROUP BY ALL),
+copied AS (SELECT doc, item, shift, n, start_pos, total, true AS verbatim FROM al JOIN total USING (item, kind) WHERE kind = 'plain' AND n >= least({decontam.ENOUGH}, total)),
+other AS (SELECT al.doc, al.item, al.shift, total, i.raw AS ir, i.w AS iw, d.raw AS dr, d.w AS dw FROM al JOIN total USING (item, kind) JOIN items i USING (item)
+  JOIN (SELECT DISTINCT id, raw, w FROM t WHERE side = 'd') d ON d.id = al.doc
+  WHERE kind = 'template' AND n >= least({decontam.ENOUGH}, total) AND NOT EXISTS (SELECT 1 FROM copied c WHERE c.doc = al.doc AND c.item = al.item AND c.shift = al.shift)),
+places AS (SELECT doc, item, shift, total, q, ir[q + 1] AS asked, dr[q + shift + 1] AS given, iw[q + 1] AS kind, iw[q + 1] IS NOT DISTINCT FROM dw[q + shift + 1] AS alike
+  FROM (SELECT *, unnest(range(greatest(0, -shift), least(len(iw), len(dw) - shift))) AS q FROM other)),
+stretch AS (SELECT p.*, count(*) FILTER (NOT alike) OVER (PARTITION BY p.doc, p.item, p.shift ORDER BY p.q) AS stretch, met.pos IS NOT NULL AS begins, met.width FROM places p
+  LEFT JOIN met ON met.kind = 'template' AND met.doc = p.doc AND met.item = p.item AND met.shift = p.shift AND met.pos = p.q),
+bounds AS (SELECT *, min(CASE WHEN begins THEN q END) OVER s AS lo, max(CASE WHEN begins THEN q + width END) OVER s AS hi FROM stretch WHERE alike OR begins WINDOW s AS (PARTITION BY doc, item, shift, stretch)),
+judged AS (SELECT doc, item, shift, total, stretch, count(*) FILTER (begins) AS n, min(lo) AS lo, bool_and(kind NOT IN {_SLOTS} OR asked = given) AS verbatim,
+  count(DISTINCT CASE WHEN kind IN {_SLOTS} THEN asked || ' ' || given END) = count(DISTINCT CASE WHEN kind IN {_SLOTS} THEN asked END) AS consistent FROM bounds WHERE q >= lo AND q < hi GROUP BY ALL),
+changed AS (SELECT doc, item, shift, sum(n) AS n, min(lo) AS start_pos, total, bool_and(verbatim) AS verbatim FROM judged WHERE consistent GROUP BY doc, item, shift, total HAVING sum(n) >= least({decontam.ENOUGH}, total)),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc, item ORDER BY n DESC, shift + start_pos, verbatim DESC, total DESC) AS place FROM (FROM copied UNION ALL BY NAME FROM changed))
+SELECT doc AS doc_id, item AS item_id, CAST(n AS BIGINT) AS n_windows, n / total AS coverage, CAST(shift + start_pos AS BIGINT) AS start, verbatim FROM best WHERE place = 1"""
 
 RECORDS = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, ''))) AS size FROM pages),

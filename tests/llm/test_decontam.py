@@ -11,41 +11,71 @@ from tabspark.llm import decontam
 
 
 def raw(text):
-    text = (text or "").replace("@", " ")
+    text = regex.sub(r"[ \t\n\x0B\f\r]+", " ", (text or "").replace("@", " "))
     for _ in range(2):
-        text = regex.sub(decontam.NAME, r"\1@\2", text)
-    return regex.findall(decontam.TOKEN, text.lower())
+        text = regex.sub(r"([\p{Ll},;] )(\p{Lu}\p{Ll}+)", r"\1@\2", text)
+    return regex.findall(r"\p{N}+(?:[.,]\p{N}+)*|[\p{L}\p{M}@]+", text.lower())
 
 
 def canon(words):
     return ["#" if w < ":" else "@" if w < "A" else "%" if w in decontam.UNITS and i and words[i - 1] < ":" else w for i, w in enumerate(words)]
 
 
+def stretches(at, width, alike):
+    """The sorted places in groups: a word that differs ends one."""
+    groups = []
+    for p in sorted(at):
+        if groups and all(alike(q) for q in range(groups[-1][-1] + width, p)):
+            groups[-1].append(p)
+        else:
+            groups.append([p])
+    return groups
+
+
 def brute(docs, items):
     out = {}
     for d, text in docs:
         dr = raw(text)
-        dt = canon(dr)
+        dt, dp = canon(dr), [w.lstrip("@") for w in dr]
         for item, question in items:
             ir = raw(question)
-            it = canon(ir)
+            it, ip = canon(ir), [w.lstrip("@") for w in ir]
             width = min(decontam.WINDOW, len(it))
-            literal = lambda w: sum(x not in "#%@" for x in w) >= decontam.WINDOW // 2
-            forms = {p: [it[p:p + width]] + ([["@"] + it[1:width]] if p == 0 and ir[0] >= "A" else []) for p in range(len(it) - width + 1) if it}
-            forms = {p: [w for w in ws if literal(w)] for p, ws in forms.items()}
-            used = [p for p, ws in forms.items() if ws]
-            shifts = defaultdict(list)
-            for p in used:
-                for a in range(len(dt) - width + 1):
-                    if dt[a:a + width] in forms[p]:
-                        shifts[a - p].append(p)
+            places = range(len(it) - width + 1) if it else ()
+            literal = {p for p in places if sum(x not in "#%@" for x in it[p:p + width]) >= decontam.WINDOW // 2}
+            named = ["@"] + it[1:width] if ir and ir[0] >= "A" else None
+            used = {p for p in places if p in literal or p == 0 and named and sum(x not in "#%@" for x in named) >= decontam.WINDOW // 2}
+            whole = {p for p in places if width == decontam.WINDOW or p in literal}
+            found = defaultdict(lambda: (set(), set()))
+            by_plain, by_template = defaultdict(set), defaultdict(set)
+            for p in whole:
+                by_plain[tuple(ip[p:p + width])].add(p)
+            for p in literal:
+                by_template[tuple(it[p:p + width])].add(p)
+            if named and 0 in used:
+                by_template[tuple(named)].add(0)
+            for a in range(len(dt) - width + 1 if it else 0):
+                for p in by_plain.get(tuple(dp[a:a + width]), ()):
+                    found[a - p][1].add(p)
+                for p in by_template.get(tuple(dt[a:a + width]), ()):
+                    found[a - p][0].add(p)
             best = None
-            for shift, at in shifts.items():
-                if len(at) < min(decontam.ENOUGH, len(used)):
+            for shift, (at, same) in found.items():
+                if same and len(same) >= min(decontam.ENOUGH, len(whole)):
+                    got = (len(same), -(shift + min(same)), True, len(whole))
+                elif at and len(at) >= min(decontam.ENOUGH, len(used)):
+                    kept, equal = [], True
+                    for group in stretches(at, width, lambda q: it[q] == dt[q + shift]):  # noqa: B023
+                        slots = {(ir[p], dr[p + shift]) for p in range(group[0], group[-1] + width) if it[p] in "#%@"}
+                        if len(slots) == len({a for a, _ in slots}):
+                            kept += group
+                            equal &= all(a == b for a, b in slots)
+                    if not kept or len(kept) < min(decontam.ENOUGH, len(used)):
+                        continue
+                    got = (len(kept), -(shift + min(kept)), equal, len(used))
+                else:
                     continue
-                slots = {(ir[p], dr[p + shift]) for p in range(min(at), max(at) + width) if it[p] in "#%@" and dt[p + shift] == it[p]}
-                if len(slots) == len({a for a, _ in slots}):
-                    best = max(best or (-1,), (len(at), -(shift + min(at)), all(a == b for a, b in slots), len(used)))
+                best = max(best or (-1,), got)
             if best:
                 out[d, item] = (best[0], best[0] / best[3], -best[1], best[2])
     return out
@@ -77,6 +107,49 @@ def test_layout(spark):
     assert len(got) == 6 and len(set(got.values())) == 1 and got[1, 10][3]
 
 
+TABLE = "12 km 450 kg 7 h 33 19 Rome 8 4 15 Oslo 16 23 42 Bern 99 kg 5 km 71 64 Lima 3 and 58 12 km 9"
+DENSE = "we saw that Anna Lee, Omar Diaz, Karl Stone, Ida Berg and Tom Reed met Ole Lund, Eva Ross, Max Wolf and Ana Cruz in Rome, Oslo and Bern with Jan Kos"
+
+
+def test_copies_without_literal_words(spark):
+    """Tables of numbers, other case, a value altered, a middle rewritten: each a leak; the values alone, or few of them, are none."""
+    altered = QUESTION.replace("go in 9 hours", "go in 8 hours")  # 9 stands for 9 and for 8, but most windows are equal
+    middle = QUESTION.replace("while Anna Lee waits 20 minutes in Boston", "and then it stands for 20 minutes or so")
+    docs = [(1, TABLE), (2, "words before, " + TABLE + " and words behind"), (3, DENSE), (4, DENSE.lower()), (5, DENSE.upper()), (6, altered), (7, middle), (8, TABLE[:30]), (9, "12 9 7 4"), (10, QUESTION.lower())]
+    items = [(20, TABLE), (21, DENSE), (22, QUESTION)]
+    got, *_ = run(spark, docs, items)
+    assert got == brute(docs, items)
+    assert set(got) == {(1, 20), (2, 20), (3, 21), (4, 21), (5, 21), (6, 22), (7, 22), (10, 22)}
+    assert all(got[k][3] for k in [(1, 20), (2, 20), (3, 21), (4, 21), (5, 21), (6, 22), (10, 22)])
+
+
+def test_stretches_are_judged_one_by_one(spark):
+    """A name that stands for two others ends a stretch only where words differ in between."""
+    item = "the old miller of Dover sold seven sacks to Anna and then went home to count them; on the next day the tall baker of the town paid Anna for all of it at once"
+    two = item.replace("Anna", "Olga").replace("paid Olga", "paid Irma")
+    apart = two.replace("count them", "weigh these")
+    docs, items = [(1, two), (2, apart)], [(5, item)]
+    got, *_ = run(spark, docs, items)
+    assert got == brute(docs, items) and (2, 5) in got
+
+
+def test_sql(spark):
+    """The SQL, written on its own, on copies of every kind."""
+    import duckdb
+    import pandas as pd
+
+    from tabspark.llm.oracles import LEAKS
+
+    item = "the old miller of Dover sold seven sacks to Anna and then went home to count them; on the next day the tall baker of the town paid Anna for all of it at once"
+    docs = [(1, TABLE), (2, DENSE.upper()), (3, QUESTION.replace(" ", "\n")), (4, OTHER), (5, item.replace("Anna", "Olga").replace("paid Olga", "paid Irma").replace("count them", "weigh these")), (6, None), (7, "x " + OTHER + " " + TABLE)]
+    items = [(20, TABLE), (21, DENSE), (22, QUESTION), (23, item), (24, "short but full of words"), (25, "")]
+    con = duckdb.connect()
+    for name, rows, key in (("documents", docs, "doc_id"), ("benchmark", items, "item_id")):
+        con.register(name, pd.DataFrame(rows, columns=[key, "text"]))
+    want = {(r[0], r[1]): tuple(r[2:]) for r in con.execute(LEAKS).fetchall()}
+    assert run(spark, docs, items)[0] == want == brute(docs, items)
+
+
 def test_documents(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
@@ -94,6 +167,6 @@ def test_odd_inputs(spark, monkeypatch, limit):
     docs = [(1, None), (2, ""), (3, "a b Short, but FULL of words c"), (4, "12 34 56 78 90 12 34 56 78"), (5, "w " * 20_000 + "one two three four five six seven eight nine ten eleven twelve thirteen " * 2), (6, "@ one two three @ four"), (None, "short but full of words")]
     got, d, b = run(spark, docs + docs[2:3], items)
     assert got == brute([x for x in docs if x[0] is not None], [x for x in items if x[0] is not None])
-    assert (3, 1) in got and (5, 5) in got and len(got) == 2
+    assert set(got) == {(3, 1), (5, 5), (4, 2)}
     assert run(spark, docs, [])[0] == {} and run(spark, [], items)[0] == {}
-    assert sorted(str(r["doc_id"]) for r in decontam.without_leaks(d, b).collect()) == ["1", "2", "4", "6", "None"]
+    assert sorted(str(r["doc_id"]) for r in decontam.without_leaks(d, b).collect()) == ["1", "2", "6", "None"]
