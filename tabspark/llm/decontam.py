@@ -3,8 +3,8 @@
 Texts become words in a canonical form: numbers, units after numbers, and names (capitalised words inside a sentence) become the typed
 placeholders # % and @, other words are lower-cased, punctuation and layout go. Windows of WINDOW template words of the benchmark
 items are hash-joined with those of the documents, and beside them windows of the plain lower-cased words. Windows that agree on item and
-relative position form an alignment. Enough plain windows make it a verbatim leak, whatever stands elsewhere: tables of numbers, copies in
-other case, copies with a value altered. Otherwise its stretches of equal template words are judged one by one: one counts if its slots are
+relative position form an alignment. Enough plain windows in a row make it a verbatim leak, whatever stands elsewhere: tables of numbers, copies in
+other case, copies with a value altered. (So every fifth plain window of a document will do to find the documents to look into; those are looked into whole.) Otherwise its stretches of equal template words are judged one by one: one counts if its slots are
 consistent, that is, each value of the item always stands for the same value in the document; enough windows in such stretches are a leak, most often a
 re-parameterised question (a verbatim one if all values are equal).
 
@@ -49,9 +49,9 @@ def template(words: str) -> Column:
     return F.expr(f"transform({words}, (w, i) -> CASE WHEN w < ':' THEN '#' WHEN w < 'A' THEN '@' WHEN w IN ({units}) AND i > 0 AND {words}[greatest(i, 1) - 1] < ':' THEN '%' ELSE w END)")
 
 
-def windows(words: str, width: str) -> Column:
-    """Hashes of all windows of `width` words, in order."""
-    return F.expr(f"IF(size({words}) >= {width}, transform(sequence(0, size({words}) - {width}), i -> xxhash64(slice({words}, i + 1, {width}))), CAST(array() AS array<bigint>))")
+def windows(words: str, width: str, step: int = 1) -> Column:
+    """Hashes of all windows of `width` words, in order, or of every `step`-th."""
+    return F.expr(f"IF(size({words}) >= {width}, transform(sequence(0, size({words}) - {width}, {step}), i -> xxhash64(slice({words}, i + 1, {width}))), CAST(array() AS array<bigint>))")
 
 
 def _items(benchmark: DataFrame, key: str, text: str, window: int) -> DataFrame:
@@ -70,6 +70,8 @@ def _items(benchmark: DataFrame, key: str, text: str, window: int) -> DataFrame:
     return used.select("item", "form", "raw", "words", "width", "w.plain", F.col("w.pos").alias("pos"), F.col("w.hash").alias("hash"))
 
 
+#: Whether that many of the sorted places follow one another.
+_IN_A_ROW = "size(same) >= {need} AND exists(sequence(0, greatest(size(same) - {need}, 0)), i -> get(same, i + {need} - 1) = get(same, i) + {need} - 1)"
 #: Windows of an alignment, in order, that begin or end a stretch of words with equal templates; then the stretches and their slots.
 _DIFFER = "exists(sequence({}, {} - 1), q -> item_words[q] <> words[q + shift])"
 _FIRSTS = f"filter(sequence(0, size(at) - 1), i -> i = 0 OR (at[i] > at[greatest(i, 1) - 1] + width AND {_DIFFER.format('at[i - 1] + width', 'at[i]')}))"
@@ -91,7 +93,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
 
     docs = docs.filter(F.col(key).isNotNull()).select(F.col(key).alias("doc"), F.col(text).alias("text"))
     split = docs.withColumn("raw", raw_words(F.col("text"))).select("doc", template("raw").alias("words"), plain("raw").alias("plain"))
-    either = [F.when(F.col("words") == F.col("plain"), windows("words", str(w))).otherwise(F.concat(windows("words", str(w)), windows("plain", str(w)))) for w in widths]
+    # a verbatim leak has as many plain windows in a row as `step`: one of them is at a multiple of it
+    need = items.filter(F.col("plain") & (F.col("width") == window)).groupBy("item").agg(F.countDistinct("pos").alias("n")).agg(F.min("n")).first()[0]
+    step = max(min(enough, need or enough), 1)
+    either = [F.concat(windows("words", str(w)), windows("plain", str(w), step if w == window else 1)) for w in widths]
     hashed = split.select("doc", F.explode(F.concat(*either) if widths else F.array().cast("array<bigint>")).alias("hash"))
     touched = settled(hashed.join(known, "hash", "left_semi").select("doc").distinct(), "touched")
     ids = F.broadcast(touched) if touched.count() <= BROADCAST_IDS else touched
@@ -106,7 +111,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
         F.sort_array(F.collect_set(F.when(~F.col("plain"), F.col("pos")))).alias("at"), F.sort_array(F.collect_set(F.when(F.col("plain"), F.col("pos")))).alias("same"), F.max("width").alias("width"))
     totals = items.groupBy("item").agg(F.countDistinct(F.when(~F.col("plain"), F.col("pos"))).alias("total"), F.countDistinct(F.when(F.col("plain"), F.col("pos"))).alias("total_same"),
                                        F.min_by("raw", "form").alias("item_raw"), F.min_by("words", "form").alias("item_words"))
-    held = aligned.join(totals, "item").withColumn("copied", F.expr(f"size(same) > 0 AND size(same) >= least({enough}, total_same)"))
+    held = aligned.join(totals, "item").withColumn("copied", F.expr(_IN_A_ROW.format(need=f"least({enough}, total_same)")))
     held = held.filter(F.expr(f"copied OR (size(at) > 0 AND size(at) >= least({enough}, total))")).join(near.select("copy", "doc", "raw", "words"), "copy")
     verbatim = held.filter("copied").select("doc", "item", "shift", F.size("same").alias("n"), F.col("same")[0].alias("first"), F.lit(True).alias("verbatim"), F.col("total_same").alias("total"))
     judged = held.filter("NOT copied").withColumn("firsts", F.expr(_FIRSTS)).withColumn("lasts", F.expr(_LASTS)).withColumn("stretches", F.expr(_STRETCHES)).withColumn("good", F.expr(_CONSISTENT))

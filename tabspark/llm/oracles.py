@@ -37,7 +37,9 @@ dw AS (SELECT id AS doc, width, kind, spot, array_to_string(CASE WHEN kind = 'pl
   SELECT t.id, t.w, t.p, k.width, k.kind, unnest(range(0, len(t.w) - k.width + 1)) AS spot FROM t CROSS JOIN (SELECT DISTINCT width, kind FROM iw) k WHERE t.side = 'd')),
 met AS (SELECT DISTINCT doc, item, kind, width, spot - pos AS shift, pos FROM dw JOIN iw USING (width, kind, win)),
 al AS (SELECT doc, item, kind, shift, count(*) AS n, min(pos) AS start_pos FROM met GROUP BY ALL),
-copied AS (SELECT doc, item, shift, n, start_pos, total, true AS verbatim FROM al JOIN total USING (item, kind) WHERE kind = 'plain' AND n >= least({decontam.ENOUGH}, total)),
+rows_of AS (SELECT doc, item, shift, max(n) AS longest FROM (SELECT doc, item, shift, count(*) AS n FROM (
+  SELECT *, pos - row_number() OVER (PARTITION BY doc, item, shift ORDER BY pos) AS island FROM met WHERE kind = 'plain') GROUP BY doc, item, shift, island) GROUP BY ALL),
+copied AS (SELECT doc, item, shift, n, start_pos, total, true AS verbatim FROM al JOIN total USING (item, kind) JOIN rows_of USING (doc, item, shift) WHERE kind = 'plain' AND longest >= least({decontam.ENOUGH}, total)),
 other AS (SELECT al.doc, al.item, al.shift, total, i.raw AS ir, i.w AS iw, d.raw AS dr, d.w AS dw FROM al JOIN total USING (item, kind) JOIN items i USING (item)
   JOIN (SELECT DISTINCT id, raw, w FROM t WHERE side = 'd') d ON d.id = al.doc
   WHERE kind = 'template' AND n >= least({decontam.ENOUGH}, total) AND NOT EXISTS (SELECT 1 FROM copied c WHERE c.doc = al.doc AND c.item = al.item AND c.shift = al.shift)),

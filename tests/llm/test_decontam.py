@@ -61,7 +61,7 @@ def brute(docs, items):
                     found[a - p][0].add(p)
             best = None
             for shift, (at, same) in found.items():
-                if same and len(same) >= min(decontam.ENOUGH, len(whole)):
+                if any(same.issuperset(range(p, p + min(decontam.ENOUGH, len(whole)))) for p in same):
                     got = (len(same), -(shift + min(same)), True, len(whole))
                 elif at and len(at) >= min(decontam.ENOUGH, len(used)):
                     kept, equal = [], True
