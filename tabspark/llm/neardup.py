@@ -6,8 +6,8 @@ the prefix asked for adapts to the region: it starts at LEAST values and grows w
 full and dense ones only with their closest, in chains that hold a group together. Candidates whose signatures
 agree too little for the threshold (by SIGMAS standard deviations) go; the others are confirmed on their full sets. Best candidates are
 confirmed first, and a candidate whose two sides are already connected needs no check, as it cannot change a class. Then all pairs of a
-dense region whose sets are still in different classes are compared by signature, in cells of bounded size, and confirmed in rounds, until no
-pair that agrees enough is left undecided.
+dense region whose sets are still in different classes are compared by signature, in cells of bounded size, and those that agree enough are
+confirmed in the same cell, so that no pair but the links leaves it.
 
 A tree's order is cut into range partitions of bounded size that also break ties by id, so a huge group is spread; rows at the cuts are compared
 across them. Sets leave the tasks that made them only for documents with candidates.
@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -34,10 +35,8 @@ from tabspark.llm.components import components
 
 TREES, DEPTH, LEAST, REGION, REACH = 16, 12, 5, 16, 2
 SIGMAS = 4.0
-#: Dense regions: sets on either side of a cell, and the most alike of a cell that are confirmed first.
-BLOCK, CLOSEST = 8192, 48
-#: Sets, and bytes of them, in a block of those that are compared in full.
-SIDE, SIDE_BYTES = 1024, 8_000_000
+#: Dense regions: sets, and bytes of them, on either side of a cell.
+BLOCK, SIDE_BYTES = 8192, 16_000_000
 #: Rows of a tree's order in one range partition, and word hashes a worker keeps at hand.
 ROWS, REMEMBERED = 200_000, 150_000
 #: Ids of documents with candidates are broadcast up to this many (8 bytes each); beyond, they are joined by a shuffle.
@@ -191,53 +190,57 @@ def candidates(folded: DataFrame, threshold: float) -> tuple[DataFrame, DataFram
     return inside.union(ends.union(heads).groupBy("part").applyInPandas(across, "a bigint, b bigint")).distinct(), dense
 
 
-def undecided(dense: DataFrame, folded: DataFrame, classes: DataFrame | None, threshold: float, low: float, high: float, closest: int | None = None) -> DataFrame:
-    """Pairs (a, b) of dense regions in different classes (ca, cb) and of fitting sizes whose signatures agree in a share of low to below high, and that share.
+def linked(dense: DataFrame, folded: DataFrame, contents: DataFrame, classes: DataFrame | None, threshold: tuple[int, int]) -> DataFrame:
+    """Links (a, b) of dense regions: enough pairs of sets in different classes that reach the threshold to connect all classes that such pairs connect.
 
-    A region's sets outside of its largest class are compared with all its others, in cells of BLOCK by BLOCK sets. `closest`: only so many of a cell for each of
-    the former. A pair is made in the first of the trees that bring it together.
+    A region's sets outside of its largest class are compared with all its others by signature, in cells of bounded size, and those that agree enough on their full
+    sets, in the same place: only links leave a cell, at most one for each class in it. The likelier ones of a set come first, and a pair whose classes are connected
+    by others needs no check. A pair is compared in the first of the trees that bring it together.
     """
-    region = ["tree", "prefix"]
+    over, under = threshold
+    level, region = over / under, ["tree", "prefix"]
+    floor = _floor(level)
     rows = dense.select("id", "n", "tree", F.expr(f"substring(stretch, 1, {2 * LEAST})").alias("prefix"))
     rows = rows.withColumn("class", F.col("id")) if classes is None else rows.join(
         classes.select(F.col("node").alias("id"), F.col("component").alias("class")), "id", "left").withColumn("class", F.coalesce("class", "id"))
     rows = settled(rows, "dense")
-    regions = rows.groupBy(*region, "class").agg(F.count("*").alias("k")).groupBy(*region).agg(
-        F.sum("k").alias("size"), F.max("k").alias("top"), F.max_by("class", F.struct("k", "class")).alias("largest")).filter("size > top")
-    regions = settled(regions.select(*region, "largest", F.ceil((F.col("size") - F.col("top")) / BLOCK).alias("owns"), F.ceil(F.col("size") / BLOCK).alias("others")), "regions")
+    regions = rows.groupBy(*region, "class").agg(F.count("*").alias("k"), F.sum("n").alias("s")).groupBy(*region).agg(
+        F.sum("k").alias("size"), F.sum("s").alias("shingles"), F.max(F.struct("k", "class", "s")).alias("top")).filter("size > top.k")
+    cells = lambda sets_, shingles_: f"greatest(ceil(({sets_}) / {BLOCK}), ceil(8 * ({shingles_}) / {SIDE_BYTES}))"
+    regions = settled(regions.selectExpr(*region, "top.class AS largest", f"{cells('size - top.k', 'shingles - top.s')} AS owns", f"{cells('size', 'shingles')} AS others"), "regions")
     mixed = rows.join(F.broadcast(regions) if regions.count() <= BROADCAST_IDS else regions, region).withColumn("outside", F.expr("class <> largest"))
-    mixed = mixed.join(folded.select("id", "sign"), "id")
-    own = mixed.filter("outside").selectExpr(*region, "true AS own", "id", "n", "class", "outside", "sign", "pmod(xxhash64(id), owns) AS x", "explode(sequence(0L, others - 1)) AS y")
-    every = mixed.selectExpr(*region, "false AS own", "id", "n", "class", "outside", "sign", "explode(sequence(0L, owns - 1)) AS x", "pmod(xxhash64(id), others) AS y")
+    mixed = mixed.join(folded.select("id", "sign").join(contents, "id"), "id").selectExpr("*", "pmod(xxhash64(id), owns) AS p", "pmod(xxhash64(id), others) AS q")
+    placed = mixed.selectExpr(*region, "id", "class", "outside", "sign", "keys", "p", "q", """explode(array_union(
+        transform(sequence(0L, owns - 1), x -> struct(x AS x, q AS y)), if(outside, transform(sequence(0L, others - 1), y -> struct(p AS x, y AS y)), array()))) AS cell""")
+    placed = placed.selectExpr(*region, "cell.x", "cell.y", "id", "class", "outside", "outside AND p = cell.x AS own", "q = cell.y AS other", "sign", "keys")
 
     def work(cell: pa.Table) -> pa.Table:
-        ids, sizes, group, outside, own = (cell.column(c).to_numpy() for c in ("id", "n", "class", "outside", "own"))
+        ids, outside, own, other = (cell.column(c).to_numpy() for c in ("id", "outside", "own", "other"))
+        group, tree, others = cell.column("class").to_numpy().copy(), cell.column("tree")[0].as_py(), np.flatnonzero(other)
         signs = np.frombuffer(b"".join(cell.column("sign").to_pylist()), "u2").reshape(len(ids), TREES * DEPTH)
-        starts, tree, others = signs.reshape(len(ids), TREES, DEPTH)[:, :, :LEAST], cell.column("tree")[0].as_py(), np.flatnonzero(~own)
-        left, right, alike = [np.zeros(0, "i8")], [np.zeros(0, "i8")], [np.zeros(0)]
-        for i in np.flatnonzero(own):
-            j = others[(group[others] != group[i]) & (np.minimum(sizes[others], sizes[i]) >= threshold * np.maximum(sizes[others], sizes[i]) - 1e-9)]
-            if closest is None:  # pairs with both sets outside of the largest class are met twice
-                j = j[~outside[j] | (ids[j] > ids[i])]
+        starts = signs.reshape(len(ids), TREES, DEPTH)[:, :, :LEAST]
+        sizes = pc.binary_length(cell.column("keys")).to_numpy() // 8
+        values, codes = np.unique(np.frombuffer(b"".join(cell.column("keys").to_pylist()), "u8"), return_inverse=True)
+        at, seen, links = np.concatenate([[0], np.cumsum(sizes, dtype="i8")]), np.zeros(len(values), bool), []
+        for i in np.flatnonzero(own).tolist():
+            j = others[(group[others] != group[i]) & (np.minimum(sizes[others], sizes[i]) >= level * np.maximum(sizes[others], sizes[i]) - 1e-9)]
+            j = j[~outside[j] | (ids[j] > ids[i])]  # pairs with both sets outside of the largest class are met twice
             agree = _agreement(signs[j], signs[i])
-            fits = (agree >= low) & (agree < high)
-            j, agree = j[fits], agree[fits]
-            if closest is not None:
-                best = np.argsort(-agree, kind="stable")[:closest]
-                j, agree = j[best], agree[best]
-            elif len(j):
-                fresh_ = ~(starts[j, :tree] == starts[i, :tree]).all(2).any(1)
-                j, agree = j[fresh_], agree[fresh_]
-            left.append(np.full(len(j), i))
-            right.append(j)
-            alike.append(agree)
-        i, j = np.concatenate(left), np.concatenate(right)
-        swap = ids[i] > ids[j]
-        i, j = np.where(swap, j, i), np.where(swap, i, j)
-        return pa.table([pa.array(x) for x in (ids[i], ids[j], group[i], group[j], np.concatenate(alike))], ["a", "b", "ca", "cb", "agree"])
-
-    found = own.unionByName(every).groupBy(*region, "x", "y").applyInArrow(work, "a bigint, b bigint, ca bigint, cb bigint, agree double")
-    return found if closest is None else found.distinct()
+            fits = (agree >= floor) & ~(starts[j, :tree] == starts[i, :tree]).all(2).any(1)
+            mine = codes[at[i]:at[i + 1]]
+            seen[mine] = True
+            for k in j[fits][np.argsort(-agree[fits], kind="stable")].tolist():
+                if group[k] == group[i]:
+                    continue
+                common = int(np.count_nonzero(seen[codes[at[k]:at[k + 1]]]))
+                if under * common >= over * int(sizes[i] + sizes[k] - common):
+                    group[group == group[k]] = group[i]
+                    links.append((min(ids[i], ids[k]), max(ids[i], ids[k])))
+            seen[mine] = False
+        a, b = np.array(links, "i8").reshape(-1, 2).T
+        return pa.table([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return placed.groupBy(*region, "x", "y").applyInArrow(work, "a bigint, b bigint").distinct()
 
 
 def _agreement(many: np.ndarray, one: np.ndarray) -> np.ndarray:
@@ -246,50 +249,6 @@ def _agreement(many: np.ndarray, one: np.ndarray) -> np.ndarray:
     return ((folded * np.uint64(0x0101010101010101)) >> np.uint64(56)) / (TREES * DEPTH)
 
 
-def confirmed_in_blocks(pairs: DataFrame, contents: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Links (a, b): enough pairs (a, b, ca, cb, agree) whose full sets reach the threshold to connect all classes that such pairs connect.
-
-    Sets are cut into blocks of like sizes, and a set goes once to each pair of blocks that needs it. In there the best pairs come first, and one whose classes
-    are connected by others needs no check.
-    """
-    over, under = threshold
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    mine = settled(contents.join(ids, "id", "left_semi").select("id", F.octet_length("keys").alias("bytes")).withColumn("scale", F.floor(F.log2("bytes")).cast("int")), "sizes")
-    count = {r["scale"]: max(math.ceil(r["n"] / SIDE), math.ceil(r["bytes"] / SIDE_BYTES)) for r in mine.groupBy("scale").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).collect()}
-    if not count:
-        return pairs.select("a", "b").limit(0)
-    many = F.create_map(*[F.lit(x) for s, k in count.items() for x in (s, k)])
-    block = mine.select("id", (F.col("scale") * F.lit(1 << 40) + F.pmod(F.xxhash64("id"), many[F.col("scale")])).alias("block"))
-    side = lambda c, d: block.select(F.col("id").alias(c), F.col("block").alias(d))
-    placed = settled(pairs.join(side("a", "p"), "a").join(side("b", "q"), "b").select("a", "b", "ca", "cb", "agree", F.least("p", "q").alias("x"), F.greatest("p", "q").alias("y")), "cells")
-    needed = placed.selectExpr("x AS u", "y AS v", "a AS id").union(placed.select("x", "y", "b")).distinct().join(contents, "id")
-
-    def work(cell: pa.Table, held: pa.Table) -> pa.Table:
-        keys = {i: np.frombuffer(k.as_buffer(), "u8") for i, k in zip(held.column("id").to_pylist(), held.column("keys"))}
-        a, b, ca, cb, agree = (cell.column(c).to_numpy() for c in ("a", "b", "ca", "cb", "agree"))
-        parent, links = {}, []
-
-        def find(c: int) -> int:
-            while (up := parent.get(c, c)) != c:
-                parent[c] = parent.get(up, up)
-                c = up
-            return c
-
-        for k in np.lexsort((b, a, -agree)).tolist():
-            p, q = find(int(ca[k])), find(int(cb[k]))
-            if p == q:
-                continue
-            x, y = keys[int(a[k])], keys[int(b[k])]
-            at = np.searchsorted(x, y)
-            common = int((x[np.minimum(at, len(x) - 1)] == y).sum())
-            if under * common >= over * (len(x) + len(y) - common):
-                parent[max(p, q)] = min(p, q)
-                links.append(k)
-        return pa.table([pa.array(a[links]), pa.array(b[links])], ["a", "b"])
-
-    return placed.groupBy("x", "y").cogroup(needed.groupBy("u", "v")).applyInArrow(work, "a bigint, b bigint")
-
-
 def _floor(threshold: float) -> float:
     return threshold - SIGMAS * math.sqrt(threshold * (1 - threshold) / (TREES * DEPTH))
 
@@ -364,14 +323,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
             side = lambda c: classes.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
             left = left.join(side("a"), "a", "left").join(side("b"), "b", "left").filter("of_a IS NULL OR of_b IS NULL OR of_a <> of_b")
             pending = settled(left.select("a", "b", "agree"), "pairs")
-    # dense regions: the closest of each set, then all that are left, the likelier ones first
-    deviation = (level - _floor(level)) / SIGMAS
-    for low, high, closest in ((_floor(level), 2.0, CLOSEST), (level - deviation, 2.0, None), (_floor(level), level - deviation, None)):
-        more = settled(undecided(dense, folded, classes, level, low, high, closest), "pairs")
-        found = None if more.isEmpty() else checkpoint(confirmed_in_blocks(more, contents, threshold))
-        if found is not None and not found.isEmpty():
-            links = found if links is None else links.union(found)
-            classes = components(links)
+    # dense regions: all pairs that are left
+    found = checkpoint(linked(dense, folded, contents, classes, threshold))
+    if not found.isEmpty():
+        links = found if links is None else links.union(found)
+        classes = components(links)
     prints = folded.select("print", "id")
     if classes is not None:
         prints = prints.join(classes.withColumnRenamed("node", "id"), "id", "left").select("print", F.coalesce("component", "id").alias("component_id"))

@@ -85,6 +85,43 @@ def test_dense_group_of_sparse_links(spark, monkeypatch, rows_, block, side):
     assert run(spark, rows) == brute(rows, 3, 85, 100)
 
 
+def rows_on_the_way(monkeypatch):
+    """The row counts of what `neardup` writes or checkpoints from now on."""
+    made = []
+    for name in ("settled", "checkpoint"):
+        def counted(df, *more, whole=getattr(neardup, name)):
+            out = whole(df, *more)
+            made.append(out.count())
+            return out
+        monkeypatch.setattr(neardup, name, counted)
+    return made
+
+
+def around_a_base(seed, *kinds):
+    """Copies of a base that is not there; kinds: how many, least and most edits."""
+    rng = random.Random(seed)
+    base = [f"{rng.choice(string.ascii_lowercase)}{k}" for k in range(500)]
+    for n, least, most in kinds:
+        for _ in range(n):
+            w = list(base)
+            for k in rng.sample(range(500), rng.randint(least, most)):
+                w[k] = "new" + str(rng.randrange(10 ** 6))
+            yield " ".join(w)
+
+
+@pytest.mark.parametrize("block,side_bytes", [(8192, 16_000_000), (64, 16_000_000), (8192, 200_000)])
+def test_dense_group_makes_no_pairs(spark, monkeypatch, block, side_bytes):
+    """Most of a group are not quite alike: what is written on the way grows with the group, not with its square."""
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "SIDE_BYTES", side_bytes)
+    made = rows_on_the_way(monkeypatch)
+    rows = list(enumerate(around_a_base(8, (100, 5, 6), (300, 11, 12))))
+    want = brute(rows, 3, 85, 100)
+    assert 250 < len({r[2] for r in want}) < 350
+    assert run(spark, rows) == want
+    assert max(made) <= len(rows) * neardup.TREES * (neardup.REACH + 2)
+
+
 def test_many_range_partitions(spark, monkeypatch):
     monkeypatch.setattr(neardup, "ROWS", 60)
     rng = random.Random(2)
