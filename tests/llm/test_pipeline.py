@@ -8,10 +8,10 @@ from conftest import SF
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tabspark.llm import langid
+from tabspark.llm import langid, neardup
 from tabspark.llm.common import vocabulary_file
 from test_decontam import brute as leaked
-from test_neardup import brute as near
+from test_neardup import around_a_base, brute as near, rows_on_the_way
 from test_secrets import brute as secret
 
 
@@ -44,6 +44,14 @@ def test_near_duplicates(stages):
     assert len(after) < len(before)
 
 
+def test_near_duplicates_of_a_dense_group(spark, monkeypatch):
+    made = rows_on_the_way(monkeypatch)
+    rows = list(enumerate(around_a_base(3, (20, 4, 4), (480, 9, 9))))
+    after = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), SF)
+    assert sorted(r["doc_id"] for r in after.collect()) == [r[0] for r in near(rows, 5, 80, 100) if r[3]]
+    assert max(made) <= len(rows) * neardup.TREES * (neardup.REACH + 2)
+
+
 def test_decontamination(spark, stages):
     _, before, after = stages[2]
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
