@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabspark.functions.statistics import ratio
-from tabspark.functions.types import name_sql, q
+from tabspark.functions.types import name_sql, number_sql, q
 from tabspark.operators.aggregate import collect_aggregates
 
 # Columns stacked in one scan; more are done in several scans, each reading only its own columns.
@@ -63,6 +63,17 @@ def numeric_stats(df: DataFrame, columns: dict[str, Column], target: Column | No
     return _by_column(_stack(df, exprs, keep), list(columns), aggs, empty)
 
 
+def inside_spans(df: DataFrame, limits: dict[str, tuple[Column, float, float]]) -> dict[str, dict]:
+    """name -> least and greatest value within the inclusive limits, and the number of values that are not (NaN never is)."""
+    if len(limits) > STACK:
+        return in_parts(limits, lambda part: inside_spans(df, part))
+    low, high = ("array(" + ", ".join(number_sql(x[k]) for x in limits.values()) + ")" for k in (1, 2))
+    rows = _stack(df, [c.cast("double") for c, _, _ in limits.values()])
+    inside = F.expr(f"v BETWEEN get({low}, f) AND get({high}, f)")
+    aggs = {"least": F.min(F.when(inside, F.col("v"))), "greatest": F.max(F.when(inside, F.col("v"))), "outside": F.count_if(~inside)}
+    return _by_column(rows, list(limits), aggs, {"least": None, "greatest": None, "outside": 0})
+
+
 def present_counts(df: DataFrame, columns: dict[str, Column]) -> dict[str, int]:
     """name -> values that are neither null nor NaN."""
     if len(columns) > STACK:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -11,7 +13,8 @@ from tabspark.functions.types import categorical_columns, dbl, numeric_columns,
 from tabspark.operators.aggregate import class_cells, collect_aggregates, long_values, per_feature, small_frame, value_counts
 from tabspark.operators.mapping import ValueMap, with_lookups
 from tabspark.operators.moments import correlation_pairs, dense_correlation, symmetric
-from tabspark.operators.mutual_info import categorical_information, numeric_information
+from tabspark.operators.measured import Measured
+from tabspark.operators.mutual_info import EDGES, categorical_information, numeric_information
 from tabspark.operators.ordering import average_ranks, running_totals
 from tabspark.operators.quantiles import medians, quantiles
 
@@ -36,14 +39,14 @@ def target_eda(df: DataFrame, target: str) -> DataFrame:
 
 # ---- univariate -------------------------------------------------------------------------------
 
-def numeric_univariate(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """(feature, n, mean, median, std, min, max, skew, kurtosis) over non-null values."""
+def numeric_univariate(df: DataFrame, columns: list[str] | None = None, measured: Measured | None = None) -> DataFrame:
+    """(feature, n, mean, median, std, min, max, skew, kurtosis) over non-null values; ``measured`` saves the scans."""
     columns = numeric_columns(df) if columns is None else columns
-    mid = medians(df, {c: dbl(c) for c in columns})
-    raw = per_feature(df, columns, lambda c: {
-        "n": F.count(q(c)), "mean": F.avg(dbl(c)), "median": F.max(F.lit(mid[c]).cast("double")),
-        "std": F.when(F.count(q(c)) > 1, F.stddev_samp(dbl(c))), "min": F.min(dbl(c)), "max": F.max(dbl(c)),
-        "g1": F.skewness(dbl(c)), "g2": F.kurtosis(dbl(c))})
+    if not columns:
+        raise ValueError("no features given")
+    measured = measured or Measured(df, columns)
+    rows = [(c, s["n"], s["mean"], measured.median(c), s["std"], s["lo"], s["hi"], s["g1"], s["g2"]) for c in columns for s in [measured.stats[c]]]
+    raw = small_frame(df.sparkSession, rows, "feature string, n bigint, mean double, median double, std double, min double, max double, g1 double, g2 double")
     flat = F.col("min") == F.col("max")
     return raw.select("feature", "n", "mean", "median", "std", "min", "max",
                       adjusted_skew(F.col("n"), F.col("g1"), flat).alias("skew"),
@@ -164,20 +167,24 @@ def target_relationships(df: DataFrame, target: str, numeric: list[str], categor
     return out.select("feature", "type", "mean_diff", "cohen_d", "mutual_info", "chi2_score")
 
 
-def feature_insights(df: DataFrame, columns: list[str]) -> DataFrame:
-    return numeric_univariate(df, columns).select("feature", "mean", "skew", "kurtosis")
+def feature_insights(df: DataFrame, columns: list[str], measured: Measured | None = None) -> DataFrame:
+    return numeric_univariate(df, columns, measured).select("feature", "mean", "skew", "kurtosis")
+
 
+def importance(df: DataFrame, target: str, top_n: int | None = None, measured: Measured | None = None) -> DataFrame:
+    """(feature, mutual_info) of all columns: numeric nulls take the median, a categorical null is a level.
 
-def importance(df: DataFrame, target: str, top_n: int | None = None) -> DataFrame:
-    """(feature, mutual_info) of all columns: numeric nulls take the median, a categorical null is a level."""
+    ``measured`` has the filled quantiles `EDGES` of the rows with a target.
+    """
     numeric, categorical = numeric_columns(df, [target]), categorical_columns(df, [target])
     known = df.filter(q(target).isNotNull())
     parts = []
     if numeric:
-        mid = medians(known, {c: dbl(c) for c in numeric})
+        measured = measured or Measured(known, numeric, filled=EDGES)
+        mid = {c: measured.median(c) for c in numeric}
         present = [c for c in numeric if mid[c] is not None]
         if present:
-            parts.append(numeric_information(known, present, target, fill=mid))
+            parts.append(numeric_information(known, present, target, fill=mid, edges={c: sorted(set(measured.filled_quantiles(c))) for c in present}))
     if categorical:
         parts.append(categorical_information(known, categorical, target, null_as_level=True))
     out = parts[0]
@@ -451,13 +458,25 @@ class EDAOrchestrator:
 
         def mi() -> DataFrame:
             if "mi" not in ranking:
-                ranking["mi"] = importance(df, self.target)
+                ranking["mi"] = importance(df, self.target, measured=shared() if ranked() else None)
             return ranking["mi"]
 
+        @cache
+        def ranked() -> bool:
+            """Whether the ranking is asked for and over all rows, as the other sections are."""
+            return bool({"importance", "summary"} & set(chosen)) and df.filter(q(self.target).isNull()).isEmpty()
+
+        @cache
+        def shared() -> Measured:
+            """The numeric columns and quantiles of the chosen sections together."""
+            columns = first_num if {"box", "feature_insights"} & set(chosen) else []
+            return Measured(df, columns + (numeric_columns(df, [self.target]) if ranked() else []),
+                            plotdata.QUARTILES if "box" in chosen else (), EDGES if ranked() else ())
+
         makers = {
             "target": lambda: target_eda(df, self.target),
             "target_distribution": lambda: plotdata.target_distribution(df, self.target),
-            "box": lambda: plotdata.box_stats(df, first_num),
+            "box": lambda: plotdata.box_stats(df, first_num, measured=shared()),
             "box_by_target": lambda: plotdata.box_stats(df, first_num, self.target),
             "histogram": lambda: plotdata.histogram(df, first_num),
             "density": lambda: plotdata.kde(df, first_num),
@@ -472,7 +491,7 @@ class EDAOrchestrator:
             "projection": projection,
             "summary": lambda: summary_report(df, self.target, mi()),
             "target_relationships": lambda: target_relationships(df, self.target, first_num, first_cat),
-            "feature_insights": lambda: feature_insights(df, first_num),
+            "feature_insights": lambda: feature_insights(df, first_num, shared()),
         }
         needs_num = {"box", "box_by_target", "histogram", "density", "density_by_target", "numeric_bivariate", "heatmap", "projection", "feature_insights"}
         needs_cat = {"categories", "target_rates", "category_vs_target"}

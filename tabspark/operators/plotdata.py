@@ -8,13 +8,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabspark.functions.scalars import keep_null, nan_to_null
 from tabspark.functions.types import categorical_columns, dbl, q
-from tabspark.operators.aggregate import class_cells, collect_aggregates, long_values, per_feature, small_frame, value_counts
+from tabspark.operators.aggregate import class_cells, collect_aggregates, long_values, small_frame, value_counts
+from tabspark.operators.columnwise import inside_spans
 from tabspark.operators.eda import PCAModel, outlier_limits, target_eda, top_categories, _flags
+from tabspark.operators.measured import Measured
 from tabspark.operators.ordering import running_totals
 from tabspark.operators.profiling import missing_profile
 from tabspark.operators.quantiles import quantiles
 from tabspark.operators.sampling import bounded_sample
 
+QUARTILES = (0.25, 0.5, 0.75)
 KDE_POINTS = 200
 # Bins of a density are this part of its bandwidth wide; only filled bins are kept.
 KDE_FINE = 8
@@ -64,24 +67,27 @@ def histogram(df: DataFrame, features: list[str], bins: int | None = None) -> Da
                     (F.col("origin") + (F.col("bin") + 1) * F.col("width")).alias("high"), "n"))
 
 
-def box_stats(df: DataFrame, features: list[str], target: str | None = None) -> DataFrame:
-    """(feature[, target_value], q1, median, q3, whisker_low, whisker_high, fliers): box plot numbers."""
+def box_stats(df: DataFrame, features: list[str], target: str | None = None, measured: Measured | None = None) -> DataFrame:
+    """(feature[, target_value], q1, median, q3, whisker_low, whisker_high, fliers): box plot numbers; ``measured`` (without a target) saves scans."""
     fields = ["q1", "median", "q3", "whisker_low", "whisker_high", "fliers"]
     if target is not None:
         return _box_by_class(df, features, target).select("feature", "target_value", *fields)
-    quart = quantiles(df, {c: dbl(c) for c in features}, [0.25, 0.5, 0.75])
-
-    def stats(c: str) -> dict:
-        e, (q1, med, q3) = dbl(c), quart[c]
-        if q1 is None:
-            nothing = F.max(F.lit(None).cast("double"))
-            return {**dict.fromkeys(fields[:5], nothing), "fliers": F.count_if(F.lit(False))}
-        inside = e.between(F.lit(q1 - 1.5 * (q3 - q1)), F.lit(q3 + 1.5 * (q3 - q1)))
-        return {"q1": F.max(F.lit(q1)), "median": F.max(F.lit(med)), "q3": F.max(F.lit(q3)),
-                "whisker_low": F.min(F.when(inside, e)), "whisker_high": F.max(F.when(inside, e)),
-                "fliers": F.count_if(~inside)}
-
-    return per_feature(df, features, stats).select("feature", *fields)
+    if not features:
+        raise ValueError("no features given")
+    measured = measured or Measured(df, features, QUARTILES)
+    quart = {c: tuple(measured.quantile(c, p) for p in QUARTILES) for c in features}
+    fences = {c: (q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)) for c, (q1, _, q3) in quart.items() if q1 is not None}
+    spans = {c: {"least": None, "greatest": None, "outside": 0} for c in features}
+    crossed = {}
+    for c, (low, high) in fences.items():
+        s = measured.stats[c]
+        if not s["nan"] and low <= s["lo"] and s["hi"] <= high:  # no value is outside: the whiskers are the ends
+            spans[c] = {"least": s["lo"], "greatest": s["hi"], "outside": 0}
+        else:
+            crossed[c] = (dbl(c), low, high)
+    spans |= inside_spans(df, crossed) if crossed else {}
+    rows = [(c, *quart[c], *spans[c].values()) for c in features]
+    return small_frame(df.sparkSession, rows, "feature string, q1 double, median double, q3 double, whisker_low double, whisker_high double, fliers bigint")
 
 
 def _box_by_class(df: DataFrame, features: list[str], target: str) -> DataFrame:
